@@ -102,12 +102,20 @@ def strict_text(c: Column) -> Column:
     return replace_literals(whitespace_to_space(c), [(seq, b"") for seq in STRICT_REMOVALS])
 
 
-def valid_prefix(c: Column, n: int) -> Column:
-    """First ``n`` characters of ``c``; bytes that decode to nothing are dropped."""
-    readable = F.when(F.is_valid_utf8(c), c).otherwise(
-        F.replace(F.make_valid_utf8(c), F.lit("\ufffd"), F.lit(""))
+def decodable(c: Column) -> Column:
+    """``c`` without the bytes that are no UTF-8 text."""
+    pieces = F.split(to_latin1(c), java_quote(b"\xef\xbf\xbd".decode("latin-1")), -1)
+    cleaned = F.transform(
+        pieces, lambda p: F.replace(F.make_valid_utf8(from_latin1(p)), F.lit("\ufffd"), F.lit(""))
     )
-    return F.substring(readable, 1, n)
+    return F.when(F.is_valid_utf8(c), c).otherwise(F.array_join(cleaned, "\ufffd"))
+
+
+def raw_fields(c: Column, delimiter: str) -> Column:
+    """Fields of a line with every byte kept, also where the line is no valid UTF-8."""
+    latin = delimiter.encode("utf-8").decode("latin-1")
+    bytewise = F.transform(F.split(to_latin1(c), java_quote(latin), -1), from_latin1)
+    return F.when(F.is_valid_utf8(c), split_literal(c, delimiter)).otherwise(bytewise)
 
 
 def split_literal(c: Column, delimiter: str) -> Column:

@@ -44,7 +44,7 @@ def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = N
         lines = lines.withColumn("block", F.lit(0).cast("bigint"))
     counted = lines.select(
         "file", "block",
-        F.floor(F.col("line_no") / chunk_lines).cast("bigint").alias("chunk"),
+        F.expr(f"line_no div {int(chunk_lines)}").alias("chunk"),
         F.col("line_no").cast("bigint").alias("line_no"),
         field_count(F.col("value"), delimiter).alias("n"),
         F.col("value").cast("binary").alias("value"),

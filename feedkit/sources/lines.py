@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,9 +35,8 @@ def number_lines(lines: DataFrame) -> DataFrame:
     splits = lines.groupBy("file", "block").agg(
         F.min("line_no").alias("first"), F.count("*").alias("n")
     )
-    before = F.sum("n").over(
-        _by_block().rowsBetween(_by_block().unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.sum("n").over(earlier)
     shifts = splits.select(
         "file", "block", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift")
     )
@@ -46,12 +45,6 @@ def number_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def _by_block():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("file").orderBy("block")
-
-
 def fields_of(lines: DataFrame, delimiter: str, schema: T.StructType | Sequence[str]) -> DataFrame:
     """Split lines into named text columns; a missing field is NULL."""
     names = schema.fieldNames() if isinstance(schema, T.StructType) else list(schema)
