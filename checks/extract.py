@@ -17,7 +17,7 @@ ORDER_FIELDS_SQL = """
     CAST(o_custkey AS VARCHAR),
     coalesce(replace(replace(replace(o_orderstatus, chr(9), ' '), chr(10), ' '), chr(13), ' '), ''),
     CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR),
-    strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'),
+    CAST(o_orderdate AS VARCHAR),
     coalesce(replace(replace(replace(o_orderpriority, chr(9), ' '), chr(10), ' '), chr(13), ' '), '')
 """
 WINDOW_SQL = "CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-01-31'"

@@ -72,9 +72,10 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedp
 )
 def unique_violations(spark, sf):
     # The table has no line number, so every other column tells rows apart.
-    kept, uv = load.unique_violations(table(spark, sf, "lineitem"), LINE_KEY, LINE_ORDER + LINE_KEY)
-    shown = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"]
-    return kept.select(*shown, F.lit(True).alias("kept")).unionAll(uv.select(*shown, F.lit(False).alias("kept")))
+    marked = load.mark_first(table(spark, sf, "lineitem"), LINE_KEY, LINE_ORDER + LINE_KEY)
+    return marked.select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", F.col("_first").alias("kept")
+    )
 
 
 @query(

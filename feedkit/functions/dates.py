@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,11 +39,32 @@ def as_of_date(as_of: AsOf) -> Column:
 
 
 def parse_date(c: Column, fmt: str, default: Column | None = None) -> Column:
-    """Timestamp of the text, or ``default`` (NULL) where it does not parse."""
-    parsed = F.try_to_timestamp(c, F.lit(pattern(fmt))).cast("timestamp_ntz")
+    """Moment (without time zone) of the text, or ``default`` (NULL) where it does not parse."""
+    day_pattern, time_pattern = re.fullmatch(r"(.*?)((?:HH)?(?:mm)?(?:ss)?)", pattern(fmt)).groups()
+    if time_pattern:
+        # Day and time apart: going through a time zone would bend times in its clock changes.
+        clock = r"([01][0-9]|2[0-3])" + r"[0-5][0-9]" * (len(time_pattern) // 2 - 1)
+        n = len(day_pattern)
+        day = F.when(F.rlike(c, F.lit(f"^.{{{n}}}{clock}$")), F.try_to_date(F.left(c, F.lit(n)), day_pattern))
+        part = [F.substring(c, n + 1 + 2 * i, 2).try_cast("int") for i in range(len(time_pattern) // 2)]
+        parts = part + [F.lit(0)] * (3 - len(part))
+        parsed = day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), *parts)
+    else:
+        parsed = F.try_to_date(c, day_pattern).cast("timestamp_ntz")
     return parsed if default is None else F.coalesce(parsed, default.cast("timestamp_ntz"))
 
 
+# Where the text of a moment, yyyy-MM-dd HH:mm:ss, has each part.
+PARTS = {"yyyy": (1, 4), "MM": (6, 2), "dd": (9, 2), "HH": (12, 2), "mm": (15, 2), "ss": (18, 2)}
+
+
+def render_date(moment: Column, fmt: str) -> Column:
+    """Text of a moment without time zone in a named format."""
+    shown = moment.cast("timestamp_ntz").cast("string")
+    pieces = re.findall(r"yyyy|MM|dd|HH|mm|ss|[^a-zA-Z]", pattern(fmt))
+    return F.concat(*[F.substring(shown, *PARTS[p]) if p in PARTS else F.lit(p) for p in pieces])
+
+
 def is_valid_date(c: Column, fmt: str) -> Column:
     return parse_date(c, fmt).isNotNull()
 
@@ -59,12 +81,12 @@ def date_reformat(c: Column, f_in: str, f_out: str, days_back: int = 0, as_of: A
         .when(c == "yesterday", F.date_sub(day, 1).cast("timestamp_ntz"))
         .otherwise(parse_date(c, f_in))
     )
-    return F.date_format(moment - F.make_dt_interval(days=F.lit(int(days_back))), pattern(f_out))
+    return render_date(moment - F.make_dt_interval(days=F.lit(int(days_back))), f_out)
 
 
 def date_shift(c: Column, n: int, fmt: str, on_error: str = "keep") -> Column:
     """Text date moved by ``n`` days.  Bad text is kept, made NULL or raised."""
-    moved = F.date_format(parse_date(c, fmt) + F.make_dt_interval(days=F.lit(int(n))), pattern(fmt))
+    moved = render_date(parse_date(c, fmt) + F.make_dt_interval(days=F.lit(int(n))), fmt)
     if on_error == "keep":
         return F.coalesce(moved, c)
     if on_error == "null":
@@ -94,16 +116,18 @@ def month_token(d: Column, offset: int = 0) -> Column:
 
 
 def format_timestamp(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss`` of a timestamp, with or without time zone."""
+    return F.substring(c.cast("string"), 1, 19)
 
 
 def format_date(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+    """``yyyy-MM-dd`` of a date or timestamp."""
+    return F.substring(c.cast("string"), 1, 10)
 
 
-def zero_date_guard(c: Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    """Timestamp of the text; zero dates and other impossible dates give NULL."""
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+def zero_date_guard(c: Column, fmt: str | None = None) -> Column:
+    """Moment of the text; zero dates and other impossible dates give NULL."""
+    return c.try_cast("timestamp_ntz") if fmt is None else parse_date(c, fmt)
 
 
 def path_tokens(pattern_text: Column | str, as_of: AsOf = None, original: Column | None = None,

@@ -51,7 +51,7 @@ def _loose(field: T.StructField) -> Column:
         return F.coalesce(dates.format_date(dated), F.lit(""))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         first = F.lit("0000-01-01").cast(kind)
-        return F.coalesce(dates.format_timestamp(F.when(c >= first, c)), F.lit(""))
+        return F.coalesce(F.when(c >= first, c).cast("string"), F.lit(""))
     if _is_uuid(field):
         return text.binary_to_uuid(c)
     if isinstance(kind, T.StringType):
@@ -79,8 +79,8 @@ def clean_columns(df: DataFrame, style: str = "loose") -> DataFrame:
     """Every column as cleaned text, by its type.
 
     ``loose`` turns every NULL into ``''`` and control characters into spaces.
-    ``strict`` also removes odd byte sequences, and leaves columns that are declared
-    not nullable as they are.  Whether 16 bytes are a UUID is not in a Spark type, so
+    ``strict`` also removes odd byte sequences, cuts timestamps to seconds, and leaves
+    columns that are declared not nullable as they are.  Whether 16 bytes are a UUID is not in a Spark type, so
     every binary column counts as one.
     """
     rule = {"loose": _loose, "strict": _strict}[style]
@@ -122,7 +122,7 @@ def fixed_width_record(df: DataFrame, delimiter: str, width: int = RECORD_WIDTH,
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.substring(dates.format_timestamp(c), 1, 19)
+            c = dates.format_timestamp(c)
         fields.append(F.concat(F.lit(mark), text.null_to_empty(c, trim=True), F.lit(mark)))
     joined = F.concat_ws(delimiter, *fields)
     return df.select(F.rpad(F.substring(joined, 1, width), width, " ").alias(name))

@@ -69,13 +69,12 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], position:
     Positions match by a union and an aggregate, memberships by semi and anti joins, so an
     element that fills much of both lists stays spread out.
     """
-    sides = left.select(position, *keys, F.lit(True).alias("_left")).unionAll(
-        right.select(position, *keys, F.lit(False).alias("_left"))
+    sides = left.select(position, *keys, F.lit(1).alias("_side")).unionAll(
+        right.select(position, *keys, F.lit(2).alias("_side"))
     )
-    seen = sides.groupBy(position, *keys).agg(
-        F.max("_left").alias("_l"), F.min("_left").alias("_b")
-    )
-    both, l_only, r_only = seen.where("_l and not _b"), seen.where("_b"), seen.where("not _l")
+    # One column says it all, so that every use below reads the same exchange.
+    seen = sides.groupBy(position, *keys).agg(F.bit_or("_side").alias("_in"))
+    both, l_only, r_only = seen.where("_in = 3"), seen.where("_in = 1"), seen.where("_in = 2")
 
     def tagged(rows, status):
         return rows.select(position, *keys, F.lit(status).alias("status"))
