@@ -283,10 +283,9 @@ def remove_mbc(spark, sf):
     """,
 )
 def split_over_length(spark, sf):
-    normal, over, refused = feed.split_over_length(document_lines(spark, sf), "\t", {1: 2000, 3: 100})
-    parts = [(normal, "normal"), (over, "over"), (refused, "refused")]
-    out = [p.select(F.col("line_no").alias("doc_id"), F.lit(name).alias("part"), "value") for p, name in parts]
-    return out[0].unionAll(out[1]).unionAll(out[2])
+    marked = feed.mark_over_length(document_lines(spark, sf), "\t", {1: 2000, 3: 100})
+    part = F.when(F.col("kind") == "good", "normal").otherwise(F.col("kind"))
+    return marked.select(F.col("line_no").alias("doc_id"), part.alias("part"), "value")
 
 
 LOB_ID_SQL = "sha256('documents' || chr(31) || CAST(doc_id AS VARCHAR) || chr(31) || '1')"

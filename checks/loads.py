@@ -8,7 +8,7 @@ from checks.feeds import ORDER_SCHEMA, plain_orders
 from checks.registry import query, table
 from feedkit.operators import keys, load, reports, tables
 from feedkit.plans.load_job import LoadSpec, tag_rows
-from feedkit.plans.storage import scratch_database
+from feedkit.plans.storage import materialize, scratch_database
 
 
 def order_lines(spark, sf):
@@ -49,12 +49,10 @@ STAGED_SQL = f"""
     """,
 )
 def stage_typed(spark, sf):
-    staged, et = load.stage_typed(order_lines(spark, sf), "|", ORDER_SCHEMA)
-    shown = ["line_no", "reason", "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
-    return (
-        staged.withColumn("reason", F.lit(None).cast("string")).select(*shown)
-        .unionByName(et.select("line_no", "reason"), allowMissingColumns=True)
-    )
+    tagged = load.typed_lines(order_lines(spark, sf), "|", ORDER_SCHEMA)
+    fits = F.col("reason").isNull()
+    typed = [F.when(fits, F.col(c)).alias(c) for c in ("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")]
+    return tagged.select("line_no", "reason", *typed)
 
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -287,7 +285,7 @@ def double_lines(spark, sf):
 )
 def load_metrics(spark, sf):
     spec = LoadSpec(ORDER_SCHEMA, ["o_orderkey"], delimiter="pipe")
-    tagged = tag_rows(double_lines(spark, sf), spec)
+    tagged = materialize(tag_rows(double_lines(spark, sf), spec))
     good = tagged.where("kind = 'good'").select(*ORDER_SCHEMA.fieldNames())
     deleted = keys.rows_to_replace(target_orders(spark, sf), good, ["o_orderkey"])
     return load.load_metrics(tagged, deleted)

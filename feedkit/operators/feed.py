@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from feedkit.functions import text
 from feedkit.operators import bytecut
+from feedkit.plans.once import compute_once
 
 cloudpickle.register_pickle_by_value(bytecut)
 
@@ -50,7 +51,7 @@ def truncate_columns(lines: DataFrame, delimiter: str, limits: Limits, column: s
     reason = _field_checks(limits, fields)
     short = F.array_join(F.transform(fields, cut), delimiter)
     return (
-        lines.withColumn("_fields", text.raw_fields(F.col(column), delimiter))
+        compute_once(lines, "_fields", text.raw_fields(F.col(column), delimiter))
         .withColumn("reason", reason)
         .withColumn("kind", F.when(F.col("reason").isNull(), "good").otherwise("error"))
         .withColumn(column, F.when(F.col("reason").isNull(), short).otherwise(F.col(column)))
@@ -93,7 +94,7 @@ def mark_over_length(lines: DataFrame, delimiter: str, limits: Limits, column: s
     for at, n in limits.items():
         over = over | (F.octet_length(F.get(fields, F.lit(at))) > n)
     return (
-        lines.withColumn("_fields", text.raw_fields(F.col(column), delimiter))
+        compute_once(lines, "_fields", text.raw_fields(F.col(column), delimiter))
         .withColumn("reason", _field_checks(limits, fields))
         .withColumn("kind", F.when(F.col("reason").isNotNull(), "error").when(over, "over").otherwise("good"))
         .drop("_fields")
@@ -124,7 +125,7 @@ def externalize_lobs(lines: DataFrame, delimiter: str, limits: Limits, keys: Seq
         return F.sha2(F.concat_ws("\x1f", *key_text, at.cast("string")), 256)
 
     wanted = sorted(limits)
-    split = lines.withColumn("_fields", text.raw_fields(F.col(column), delimiter))
+    split = compute_once(lines, "_fields", text.raw_fields(F.col(column), delimiter))
     swapped = F.transform("_fields", lambda f, i: F.when(i.isin(wanted), reference(i)).otherwise(f))
     rows = split.withColumn(column, F.array_join(swapped, delimiter)).drop("_fields")
     places = F.explode(F.array(*[F.lit(at) for at in wanted])).alias("field")

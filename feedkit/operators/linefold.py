@@ -20,6 +20,9 @@ from bisect import bisect_right
 from collections import deque
 from itertools import chain, groupby
 
+import numpy as np
+import pyarrow as pa
+
 START = (-1, -1)
 
 
@@ -45,16 +48,6 @@ class Line:
             self.table[carry] = (len(pieces) - 1, left)
         return self.table[carry]
 
-    def is_plain(self):
-        """No delimiter and no part of one at either end: the line changes no count."""
-        if self.count:
-            return False
-        if len(self.delimiter) == 1:
-            return True
-        if self.text[:1] not in [self.delimiter[k:k + 1] for k in range(len(self.delimiter))]:
-            return self.effect(0) == (0, 0)
-        return all(self.effect(k) == (0, 0) for k in range(len(self.delimiter)))
-
 
 def extend(classes, prev, line):
     """Add a line to every class, and a class for the window that starts with it."""
@@ -95,51 +88,103 @@ def merge(classes, want=None):
     classes[:] = kept
 
 
-def chunks(batches, keys=("file", "block", "chunk")):
-    """Split sorted batches into ``(key, rows)`` where rows is an iterator of tuples."""
-    rows = chain.from_iterable(b.itertuples(index=False, name=None) for b in batches)
-    return groupby(rows, key=lambda r: r[: len(keys)])
+def pieces(batches):
+    """Sorted Arrow batches -> ``(key, columns)``: rows of one chunk, in one or more pieces."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        hashes, blocks, chunks = (batch.column(c).to_numpy() for c in ("hash", "block", "chunk"))
+        changes = (np.diff(hashes) != 0) | (np.diff(blocks) != 0) | (np.diff(chunks) != 0)
+        cuts = (np.flatnonzero(changes) + 1).tolist()
+        for at, to in zip([0, *cuts], [*cuts, batch.num_rows]):
+            for name, first, end in same_file(batch.column("file"), at, to):
+                part = batch.slice(first, end - first)
+                key = (name, int(blocks[at]), int(chunks[at]))
+                yield key, [part.column(c) for c in ("line_no", "n", "width", "edge", "value")]
+
+
+def same_file(files, at, to):
+    """Stretches of one file in sorted rows; more than one only if two files share a hash."""
+    if files[at].as_py() == files[to - 1].as_py():
+        return [(files[at].as_py(), at, to)]
+    out = []
+    for name, group in groupby(range(at, to), key=lambda i: files[i].as_py()):
+        rows = list(group)
+        out.append((name, rows[0], rows[-1] + 1))
+    return out
+
+
+def grouped(batches):
+    """Pieces of one chunk after the other: ``(key, iterator of columns)``."""
+    for key, group in groupby(pieces(batches), key=lambda p: p[0]):
+        yield key, (columns for _, columns in group)
+
+
+def output(rows, schema):
+    """Rows as an Arrow batch."""
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema.names)
+
+
+NOTES = pa.schema([("file", pa.string()), ("block", pa.int64()), ("chunk", pa.int64()), ("summary", pa.string())])
+STATES = pa.schema([("file", pa.string()), ("block", pa.int64()), ("chunk", pa.int64()), ("state", pa.string())])
+RECORDS = pa.schema([
+    ("file", pa.string()), ("block", pa.int64()), ("line_no", pa.int64()), ("kind", pa.string()),
+    ("value", pa.binary()), ("record_block", pa.int64()), ("record_line", pa.int64()),
+])
+
+
+def in_batches(rows, schema, size=8192):
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= size:
+            yield output(held, schema)
+            held = []
+    yield output(held, schema)
 
 
 def summarize(delimiter):
-    """Batches of lines -> one row per chunk: what the chunk does to an incoming window."""
+    """Lines -> one row per chunk: what the chunk does to an incoming window."""
 
     def run(batches):
-        import pandas as pd
-
-        out = []
-        for (file, block, chunk), rows in chunks(batches):
-            out.append((file, block, chunk, chunk_summary(rows, delimiter)))
-            if len(out) >= 256:
-                yield pd.DataFrame(out, columns=["file", "block", "chunk", "summary"])
-                out = []
-        yield pd.DataFrame(out, columns=["file", "block", "chunk", "summary"])
+        yield from in_batches(((*key, chunk_summary(parts, delimiter)) for key, parts in grouped(batches)), NOTES)
 
     return run
 
 
-def chunk_summary(rows, delimiter):
-    classes, prev, last = [], START, START
+def edges(columns, last):
+    """The lines of a piece that can change a count, as ``(index, line_no, n, gap before)``.
+
+    All lines in between are plain: no delimiter, and no part of one at either end.
+    """
+    numbers = columns[0].to_numpy()
+    if numbers[0] <= last or (np.diff(numbers) <= 0).any():
+        raise ValueError("lines of a chunk are not in order")
+    at = np.flatnonzero(columns[3].to_numpy(zero_copy_only=False))
+    plain_before = np.diff(at, prepend=-1) > 1
+    return zip(at.tolist(), numbers[at].tolist(), columns[1].to_numpy()[at].tolist(), plain_before.tolist())
+
+
+def chunk_summary(parts, delimiter):
+    classes, prev, last = [], START, START[1]
     groups = {START: [START]}  # window now -> entries into this chunk that lead to it
     head, in_head, gap, want = [], True, False, 0
-    for _, _, _, line_no, n, width, text in rows:
-        pos = (0, int(line_no))
-        if pos <= last:
-            raise ValueError("lines of a chunk are not in order")
-        want = int(width) - 1
-        if n >= width:
-            if in_head:
-                head.append([pos[1], gap, int(n) - 1, None])
-                groups.setdefault(START, []).append(pos)
-                in_head = False
-            groups = {pos: [e for entries in groups.values() for e in entries]}
-            classes, prev, last = [], pos, pos
-            continue
-        line = Line(pos, int(n) - 1, text, delimiter)
-        if line.is_plain():
-            rest_line(classes, prev)
-            gap = True
-        else:
+    for columns in parts:
+        width, texts = columns[2][0].as_py(), columns[4]
+        want, index = width - 1, -1
+        for index, line_no, n, plain in edges(columns, last):
+            pos, gap = (0, line_no), gap or plain
+            if n >= width:
+                if in_head:
+                    head.append([line_no, gap, n - 1, None])
+                    groups.setdefault(START, []).append(pos)
+                groups = {pos: [e for entries in groups.values() for e in entries]}
+                classes, prev, in_head, gap = [], pos, False, False
+                continue
+            if gap:
+                rest_line(classes, prev)
+            line = Line(pos, n - 1, None if len(delimiter) == 1 else texts[index].as_py(), delimiter)
             extend(classes, prev, line)
             moved = {}
             for after, entries in groups.items():
@@ -147,12 +192,15 @@ def chunk_summary(rows, delimiter):
             groups = moved
             if in_head:
                 table = None if len(delimiter) == 1 else [line.effect(k) for k in range(len(delimiter))]
-                head.append([pos[1], gap, line.count, table])
+                head.append([line_no, gap, line.count, table])
                 groups.setdefault(pos, []).append(pos)
-                gap = False
             merge(classes, want)
             in_head = in_head and bool(classes) and classes[0][0] == START
-        prev = last = pos
+            prev, gap = pos, False
+        gap = gap or index < len(texts) - 1
+        last = columns[0][-1].as_py()
+    if gap:
+        rest_line(classes, prev)
     return json.dumps({
         "want": want,
         "head": head,
@@ -160,26 +208,22 @@ def chunk_summary(rows, delimiter):
         "gap": gap,
         "out": [[e[1], after[1]] for after, entries in groups.items() for e in entries],
         "classes": [[c[0][1], c[1], c[2]] for c in classes],
-        "last": last[1],
+        "last": last,
     })
 
 
 def connect(delimiter):
-    """Batches of chunk summaries -> one row per chunk: the window that comes in, and what
+    """Chunk summaries in order -> one row per chunk: the window that comes in, and what
     becomes of the lines still open at its end."""
 
     def run(batches):
-        import pandas as pd
-
-        columns = ["file", "block", "chunk", "state"]
-        out = []
-        for (file,), rows in chunks(batches, keys=("file",)):
-            for row in file_states(rows, delimiter):
-                out.append((file, *row))
-                if len(out) >= 1024:
-                    yield pd.DataFrame(out, columns=columns)
-                    out = []
-        yield pd.DataFrame(out, columns=columns)
+        rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(4))))
+        states = (
+            (file, *state)
+            for file, group in groupby(rows, key=lambda r: r[0])
+            for state in file_states(group, delimiter)
+        )
+        yield from in_batches(states, STATES, 1024)
 
     return run
 
@@ -240,71 +284,89 @@ def file_states(rows, delimiter):
 
 
 def fold(delimiter, parts_only=False):
-    """Batches of lines, each chunk led by its state -> records, rejected lines and the
-    parts of records that reach over a chunk's end."""
+    """Lines, each chunk led by its state -> records, refused lines, and the parts of
+    records that reach over a chunk's end (or these parts only)."""
 
     def run(batches):
-        import pandas as pd
-
-        columns = ["file", "block", "line_no", "kind", "value", "record_block", "record_line"]
-        out = []
-        for (file, block, chunk), rows in chunks(batches):
-            for row in chunk_records(rows, block, delimiter):
-                if parts_only and row[1] != "part":
-                    continue
-                out.append((file, block, *row))
-                if len(out) >= 8192:
-                    yield pd.DataFrame(out, columns=columns)
-                    out = []
-        yield pd.DataFrame(out, columns=columns)
+        rows = (
+            (file, block, *row)
+            for (file, block, _), parts in grouped(batches)
+            for row in chunk_records(parts, block, delimiter, parts_only)
+        )
+        yield from in_batches(rows, RECORDS)
 
     return run
 
 
-def chunk_records(rows, block, delimiter):
-    first = next(rows)
-    if first[3] != -1:
+def open_from(numbers, block, tail):
+    """Index of the first of these lines that lies after ``tail``."""
+    if tail is None or tail[0] > block:
+        return len(numbers)
+    return bisect_right(numbers, tail[1]) if tail[0] == block else 0
+
+
+def chunk_records(parts, block, delimiter, parts_only):
+    columns = next(parts)
+    if columns[0][0].as_py() != -1:
         raise ValueError("a chunk of lines has no state")
-    state = json.loads(first[6])
+    state = json.loads(columns[4][0].as_py())
     start, after = tuple(state["start"]), tuple(state["after"])
     classes = [[tuple(a), c, m] for a, c, m in state["classes"]]
-    tail = state["tail"]
-    prev, held = start, deque()  # held: lines of this chunk inside the window
+    tail = tuple(state["tail"]) if state["tail"] is not None else None
+    prev, last, gap, held = start, START[1], False, deque()  # held: this chunk's lines in the window
 
-    def rejected(limit):
-        while held and (limit is None or held[0][0] <= limit):
-            pos, text = held.popleft()
-            yield pos[1], "error", text, -1, -1
+    def refused(limit):
+        while held and (limit is None or (block, held[0][0]) <= limit):
+            line_no, text = held.popleft()
+            if not parts_only:
+                yield line_no, "error", text, -1, -1
 
     def joined(kind, record):
-        row = (held[0][0][1], kind, b"".join(text for _, text in held), *record)
+        row = (held[0][0], kind, b"".join(text for _, text in held), *record)
         held.clear()
         return row
 
-    for _, _, _, line_no, n, width, text in rows:
-        pos, want = (block, int(line_no)), int(width) - 1
-        if n >= width:
-            yield from rejected(None)
-            yield pos[1], "good" if n == width else "error", text, -1, -1
-            after, classes, prev = pos, [], pos
+    for columns in chain([[c[1:] for c in columns]], parts):
+        if not len(columns[0]):
             continue
-        line = Line(pos, int(n) - 1, text, delimiter)
-        held.append((pos, text))
-        if line.is_plain():
-            rest_line(classes, prev)
-        else:
-            extend(classes, prev, line)
-            after, record = settle(classes, want, pos, after)
+        numbers, texts = columns[0].to_pylist(), columns[4]
+        width, done = columns[2][0].as_py(), 0
+        values = texts.to_numpy(zero_copy_only=False)
+        for index, line_no, n, plain in edges(columns, last):
+            pos, gap = (block, line_no), gap or plain
+            if parts_only and after >= start:
+                break
+            held.extend(zip(numbers[done:index], values[done:index]))
+            done = index + 1
+            if n >= width:
+                yield from refused(None)
+                if not parts_only:
+                    yield line_no, "good" if n == width else "error", values[index], -1, -1
+                after, classes, prev, gap = pos, [], pos, False
+                continue
+            held.append((line_no, values[index]))
+            if gap:
+                rest_line(classes, prev)
+            extend(classes, prev, Line(pos, n - 1, values[index], delimiter))
+            after, record = settle(classes, width - 1, pos, after)
             if record is not None:
-                yield from rejected(record)
-                yield joined("part", record) if record < start else joined("good", (-1, -1))
+                yield from refused(record)
+                row = joined("part", record) if record < start else joined("good", (-1, -1))
+                if row[1] == "part" or not parts_only:
+                    yield row
             else:
-                yield from rejected(after)
-            merge(classes, want)
-        prev = pos
+                yield from refused(after)
+            merge(classes, width - 1)
+            prev, gap = pos, False
+        if parts_only and after >= start:
+            # Of the rest only the lines still open at the end matter: those after ``tail``.
+            done = max(done, open_from(numbers, block, tail))
+        gap = gap or done < len(numbers)
+        held.extend(zip(numbers[done:], values[done:]))
+        last = numbers[-1]
     if held and tail is not None:
-        yield from rejected(tuple(tail))
+        yield from refused(tail)
         if held:
-            yield joined("part", tuple(tail))
+            yield joined("part", tail)
     else:
-        yield from rejected(None)
+        yield from refused(None)

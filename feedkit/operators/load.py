@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from feedkit.functions import text
 from feedkit.operators import keys as key_joins
+from feedkit.plans.once import compute_once
 
 LINE_KEY = ["file", "block", "line_no"]
 
@@ -20,8 +21,8 @@ DATETIME_WIDTH = 30
 DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _problem(field: T.StructField, c: Column) -> Column:
-    """What is wrong with the text of one field, or NULL."""
+def _problem(field: T.StructField, c: Column, typed: Column) -> Column:
+    """What is wrong with the text ``c`` of one field that became ``typed``, or NULL."""
     kind = field.dataType
     if isinstance(kind, (T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
         raise ValueError(f"column {field.name}: {kind.simpleString()} cannot be loaded from text")
@@ -35,7 +36,7 @@ def _problem(field: T.StructField, c: Column) -> Column:
         )
     width = DATETIME_WIDTH if isinstance(kind, DATETIME_TYPES) else NUMBER_WIDTH
     too_long = F.when(F.length(c) > width, f"{field.name}: longer than {width}")
-    unfit = F.when((c != "") & c.try_cast(kind).isNull(), f"{field.name}: not {kind.simpleString()}")
+    unfit = F.when((c != "") & typed.isNull(), f"{field.name}: not {kind.simpleString()}")
     return F.coalesce(problem, too_long, unfit)
 
 
@@ -45,18 +46,19 @@ def typed_lines(lines: DataFrame, delimiter: str, schema: T.StructType) -> DataF
     All lines stay: ``reason`` is NULL for the good ones, and ``value`` is kept for the others.
     """
     n = len(schema.fields)
-    fields = F.col("_fields")
-    split = lines.withColumn("_fields", text.split_literal(F.col("value"), delimiter))
-    count = F.when(F.size(fields) != n, F.concat(F.size(fields).cast("string"), F.lit(f" fields, not {n}")))
-    problems = [_problem(f, F.get(fields, F.lit(i))) for i, f in enumerate(schema.fields)]
+    texts = [F.get("_fields", F.lit(i)) for i in range(n)]
+    split = compute_once(lines, "_fields", text.split_literal(F.col("value"), delimiter))
+    cast = compute_once(split, "_typed", F.struct(*[
+        F.nullif(c, F.lit("")).try_cast(f.dataType).alias(f.name) for f, c in zip(schema.fields, texts)
+    ]))
+    count = F.when(F.size("_fields") != n, F.concat(F.size("_fields").cast("string"), F.lit(f" fields, not {n}")))
+    problems = [_problem(f, c, F.col("_typed")[f.name]) for f, c in zip(schema.fields, texts)]
     reason = F.coalesce(count, F.nullif(F.concat_ws("; ", *problems), F.lit("")))
-    typed = [
-        F.nullif(F.get(fields, F.lit(i)), F.lit("")).try_cast(f.dataType).alias(f.name)
-        for i, f in enumerate(schema.fields)
-    ]
     key = [c for c in LINE_KEY if c in lines.columns]
-    flagged = split.withColumn("reason", reason)
-    return flagged.select(*key, *typed, "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("value"))
+    flagged = compute_once(cast, "reason", reason)
+    return flagged.select(
+        *key, "_typed.*", "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
+    )
 
 
 def stage_typed(lines: DataFrame, delimiter: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -80,19 +82,27 @@ def unique_violations(staged: DataFrame, keys: Sequence[str],
     return marked.where("_first").drop("_first"), marked.where("NOT _first").drop("_first")
 
 
-def mark_first(staged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Adds ``_first``: is this row the first of its key?"""
+def first_rows(staged: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str) -> DataFrame:
+    """The order of the first row of each key as ``_w_0, _w_1, ...``, with a true ``flag``."""
     if len(order) == 1:
         winners = staged.groupBy(*keys).agg(F.min(order[0]).alias("_w_0"))
     else:
         winners = staged.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_w")).select(
             *[F.col("_w")[c].alias(f"_w_{i}") for i, c in enumerate(order)]
         )
-    winners = winners.select(*[f"_w_{i}" for i in range(len(order))]).withColumn("_won", F.lit(True))
+    return winners.select(*[f"_w_{i}" for i in range(len(order))], F.lit(True).alias(flag))
+
+
+def meet(staged: DataFrame, firsts: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Add the flag of ``first_rows``; rows that are no first have NULL."""
     same = [F.col(c).eqNullSafe(F.col(f"_w_{i}")) for i, c in enumerate(order)]
-    return staged.join(winners, same, "left").select(
-        *staged.columns, F.col("_won").isNotNull().alias("_first")
-    )
+    return staged.join(firsts, same, "left").drop(*[f"_w_{i}" for i in range(len(order))])
+
+
+def mark_first(staged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Adds ``_first``: is this row the first of its key?"""
+    met = meet(staged, first_rows(staged, keys, order, "_won"), order)
+    return met.select(*staged.columns, F.col("_won").isNotNull().alias("_first"))
 
 
 def duplicate_rows(staged: DataFrame, order: Sequence[str] = LINE_KEY) -> DataFrame:

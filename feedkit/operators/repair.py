@@ -43,8 +43,7 @@ def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = N
     if "block" not in lines.columns:
         lines = lines.withColumn("block", F.lit(0).cast("bigint"))
     counted = lines.select(
-        "file", "block",
-        F.expr(f"line_no div {int(chunk_lines)}").alias("chunk"),
+        "file", "block", F.expr(f"line_no div {int(chunk_lines)}").alias("chunk"),
         F.col("line_no").cast("bigint").alias("line_no"),
         field_count(F.col("value"), delimiter).alias("n"),
         F.col("value").cast("binary").alias("value"),
@@ -55,30 +54,30 @@ def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = N
         first = F.min_by("n", F.struct("block", "line_no")).alias("width")
         counted = counted.join(counted.groupBy("file").agg(first), "file")
         in_order = False
+    mark = delimiter.encode("utf-8")
     kept = counted.where(F.rlike(F.col("value").cast("string"), F.lit(r"[^ \t\n\r\x0b\f]"))).select(
-        *KEYS, "line_no", "n", "width", "value"
+        F.xxhash64(*KEYS).alias("hash"), *KEYS, "line_no", "n", "width", can_count(mark).alias("edge"), "value"
     )
 
-    mark = delimiter.encode("utf-8")
     counts = kept.withColumn("value", F.lit(None).cast("binary")) if len(mark) == 1 else kept
     if not in_order:
-        counts = _sorted(counts, KEYS, "line_no")
-    notes = counts.mapInPandas(
+        counts = _sorted(counts)
+    notes = counts.mapInArrow(
         linefold.summarize(mark), "file string, block bigint, chunk bigint, summary string"
     )
     states = (
         notes.repartition("file").sortWithinPartitions(*KEYS)
-        .mapInPandas(linefold.connect(mark), "file string, block bigint, chunk bigint, state string")
+        .mapInArrow(linefold.connect(mark), "file string, block bigint, chunk bigint, state string")
         .select(
-            *KEYS, F.lit(-1).cast("bigint").alias("line_no"), F.lit(0).alias("n"), F.lit(0).alias("width"),
-            F.col("state").cast("binary").alias("value"),
+            F.xxhash64(*KEYS).alias("hash"), *KEYS, F.lit(-1).cast("bigint").alias("line_no"), F.lit(0).alias("n"),
+            F.lit(0).alias("width"), F.lit(False).alias("edge"), F.col("state").cast("binary").alias("value"),
         )
     )
-    led = _sorted(kept.unionByName(states), KEYS, "line_no")
+    led = _sorted(kept.unionByName(states))
     schema = ("file string, block bigint, line_no bigint, kind string, value binary, "
               "record_block bigint, record_line bigint")
-    whole = led.mapInPandas(linefold.fold(mark), schema).where("kind <> 'part'")
-    parts = led.mapInPandas(linefold.fold(mark, parts_only=True), schema)
+    whole = led.mapInArrow(linefold.fold(mark), schema).where("kind <> 'part'")
+    parts = led.mapInArrow(linefold.fold(mark, parts_only=True), schema)
     pieces = F.array_sort(F.collect_list(F.struct("block", "line_no", "value")))
     stitched = (
         parts.groupBy("file", "record_block", "record_line").agg(pieces.alias("p"))
@@ -95,8 +94,21 @@ def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = N
     )
 
 
-def _sorted(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order)
+def can_count(mark: bytes) -> Column:
+    """Can a line change a delimiter count, also together with its neighbours?"""
+    test = (F.col("n") > 1) | (F.col("n") >= F.col("width"))
+    if len(mark) > 1:
+        value = F.col("value")
+        starts = [mark[k:k + 1] for k in range(len(mark))]
+        test = test | F.substring(value, 1, 1).isin(*sorted(set(starts)))
+        for k in range(1, len(mark)):
+            test = test | F.endswith(value, F.lit(mark[:k]))
+    return test
+
+
+def _sorted(df: DataFrame) -> DataFrame:
+    """Rows of a chunk together and in order; the hash makes most comparisons cheap."""
+    return df.repartition(*KEYS).sortWithinPartitions("hash", *KEYS, "line_no")
 
 
 def good_and_error(repaired: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedkit.functions import text
 from feedkit.operators import feed, keys, repair
+from feedkit.plans.once import compute_once
 from feedkit.plans.storage import materialize
 
 
@@ -26,6 +27,14 @@ class FeedSpec:
 
 Step = Callable[[DataFrame], DataFrame]
 
+# Steps that make other rows of the lines; all others change or refuse each line by itself.
+WIDE = {"repair_linefeeds"}
+
+COLUMNS = ["file", "block", "line_no", "kind", "value", "failed_step"]
+
+# A file may hold much of all lines: rows join the list of failed files under this many salts.
+SALTS = 16
+
 
 def steps_of(spec: FeedSpec) -> dict[str, Step]:
     """The built-in steps.  A step whose result has ``kind`` can refuse lines."""
@@ -44,33 +53,78 @@ def transform_chain(lines: DataFrame, names: Sequence[str | Step], spec: FeedSpe
 
     A file with a line that a step refuses stops there: its lines come out as that step
     left them, marked with the step's name.  Other files go on.  Over-length lines leave
-    the chain where they are found.  ``keep`` is called on the result of each step that
-    can refuse lines, since it is read several times; by default it is checkpointed.
+    the chain where they are found.
+
+    A step is a built-in name or a function of lines that changes ``value``, or adds
+    ``kind``, and keeps all other columns and rows.  Neighbouring steps run as one stage:
+    a first pass finds the files that fail and where, a second applies the steps up to
+    there.  ``keep`` is called on what ``repair_linefeeds`` gives, since it is read more
+    than once; by default it is checkpointed.
     """
-    columns = ["file", "block", "line_no", "kind", "value", "failed_step"]
     built_in = steps_of(spec)
     if "block" not in lines.columns:
         lines = lines.withColumn("block", F.lit(0).cast("bigint"))
-    current, finished = lines, []
+    current = lines.select("file", "block", "line_no", "value")
+    finished, stage = [], []
 
-    def done(rows, step):
-        finished.append(rows.withColumn("failed_step", F.lit(step).cast("string")).select(*columns))
+    def run_stage():
+        nonlocal current
+        if stage:
+            out = _stage(current, stage)
+            finished.append(out.where("kind <> 'good' OR failed_step IS NOT NULL"))
+            current = out.where("kind = 'good' AND failed_step IS NULL").select(*current.columns)
+            stage.clear()
 
     for name in names:
-        step = built_in[name] if isinstance(name, str) else name
-        out = step(current)
-        if "kind" not in out.columns:
-            current = out
+        if name not in WIDE:
+            stage.append((name, built_in[name]) if isinstance(name, str) else (name.__name__, name))
             continue
-        out = keep(out.select("file", "block", "line_no", "kind", "value"))
+        run_stage()
+        out = keep(built_in[name](current))
         failed = out.where("kind = 'error'")
-        label = name if isinstance(name, str) else name.__name__
-        done(keys.semi(out, failed, ["file"]), label)
-        passed = keys.anti(out, failed, ["file"])
-        done(passed.where("kind = 'over'"), None)
-        current = passed.where("kind = 'good'").drop("kind")
-    done(current.withColumn("kind", F.lit("good")), None)
-    result = finished[0]
-    for part in finished[1:]:
+        stopped = keys.semi(out, failed, ["file"])
+        finished.append(stopped.withColumn("failed_step", F.lit(name)).select(*COLUMNS))
+        current = keys.anti(out, failed, ["file"]).select(*current.columns)
+    if stage:
+        last = _stage(current, stage)
+    else:
+        last = current.withColumns({"kind": F.lit("good"), "failed_step": F.lit(None).cast("string")})
+    result = last.select(*COLUMNS)
+    for part in finished:
         result = result.unionAll(part)
     return result
+
+
+def _stage(lines: DataFrame, steps: Sequence[tuple[str, Step]]) -> DataFrame:
+    """Row-wise steps on all lines, for each file up to the step that refuses one of them."""
+    if not any("kind" in step(lines).columns for _, step in steps):
+        done = _apply(lines.withColumn("_limit", F.lit(None).cast("int")), steps)
+    else:
+        tried = _apply(lines.withColumn("_limit", F.lit(None).cast("int")), steps)
+        limits = tried.where("kind = 'error'").groupBy("file").agg(F.min("_step").alias("_limit"))
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+        salted = lines.withColumn("_salt", F.pmod(F.xxhash64("line_no"), F.lit(SALTS)).cast("int"))
+        done = _apply(salted.join(limits.select("*", salts), ["file", "_salt"], "left").drop("_salt"), steps)
+    label = F.lit(None).cast("string")
+    for k, (name, _) in enumerate(steps):
+        label = F.when(F.col("_limit") == k, name).otherwise(label)
+    gone = (F.col("kind") == "over") & (F.col("_step") < F.col("_limit"))
+    return done.withColumn("failed_step", F.when(~F.coalesce(gone, F.lit(False)), label)).select(*COLUMNS)
+
+
+def _apply(lines: DataFrame, steps: Sequence[tuple[str, Step]]) -> DataFrame:
+    rows = lines.withColumns({"_kind": F.lit("good"), "_step": F.lit(None).cast("int")})
+    for k, (_, step) in enumerate(steps):
+        out = step(rows.withColumn("_before", F.col("value")))
+        live = (F.col("_kind") == "good") & F.coalesce(F.lit(k) <= F.col("_limit"), F.lit(True))
+        value = F.when(live, F.col("value")).otherwise(F.col("_before"))
+        kind, at = F.col("_kind"), F.col("_step")
+        if "kind" in out.columns:
+            kind = F.when(live, F.col("kind")).otherwise(kind)
+            at = F.when(live & (F.col("kind") != "good"), F.lit(k)).otherwise(at)
+        after = compute_once(out, "_after", F.struct(value.alias("value"), kind.alias("kind"), at.alias("step")))
+        rows = after.select(
+            "file", "block", "line_no", "_limit", F.col("_after.value").alias("value"),
+            F.col("_after.kind").alias("_kind"), F.col("_after.step").alias("_step"),
+        )
+    return rows.withColumnRenamed("_kind", "kind")

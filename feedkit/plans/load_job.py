@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,29 +25,25 @@ class LoadSpec:
     mode: str = "upsert"
 
 
-def tag_rows(lines: DataFrame, spec: LoadSpec,
-             keep: Callable[[DataFrame], DataFrame] = materialize) -> DataFrame:
+def tag_rows(lines: DataFrame, spec: LoadSpec) -> DataFrame:
     """All lines, typed and tagged: ``kind`` is good, et, uv or duplicate.
 
     A row equal to an earlier one is a duplicate; another row with a key that is taken
-    violates uniqueness.
+    violates uniqueness.  The first row of a key is also the first of its equals, so both
+    firsts are found apart, and rows meet them by their place in the input.
     """
     order = load.LINE_KEY
     names = spec.schema.fieldNames()
-    typed = keep(load.typed_lines(lines, text.delimiter_of(spec.delimiter), spec.schema))
+    typed = load.typed_lines(lines, text.delimiter_of(spec.delimiter), spec.schema)
     staged = typed.where("reason IS NULL")
-    firsts = load.mark_first(staged, names, order)
-    unique = load.mark_first(firsts.where("_first").drop("_first"), list(spec.keys), order)
-    columns = [*order, *names, "reason", "value"]
-
-    def tagged(rows, kind):
-        return rows.select(*columns, F.lit(kind).alias("kind"))
-
-    return (
-        tagged(typed.where("reason IS NOT NULL"), "et")
-        .unionAll(tagged(firsts.where("NOT _first"), "duplicate"))
-        .unionAll(tagged(unique.where("_first"), "good"))
-        .unionAll(tagged(unique.where("NOT _first"), "uv"))
+    firsts = load.first_rows(staged, names, order, "_first_row")
+    keyed = load.first_rows(staged, spec.keys, order, "_first_key")
+    kind = (
+        F.when(F.col("reason").isNotNull(), "et").when(F.col("_first_row").isNull(), "duplicate")
+        .when(F.col("_first_key").isNull(), "uv").otherwise("good")
+    )
+    return load.meet(load.meet(typed, firsts, order), keyed, order).select(
+        *order, *names, "reason", "value", kind.alias("kind")
     )
 
 

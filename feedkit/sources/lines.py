@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedkit.functions import text
+from feedkit.plans.once import compute_once
 
 
 def scan_lines(spark: SparkSession, path: str | Sequence[str], **options: str) -> DataFrame:
@@ -48,7 +49,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
 def fields_of(lines: DataFrame, delimiter: str, schema: T.StructType | Sequence[str]) -> DataFrame:
     """Split lines into named text columns; a missing field is NULL."""
     names = schema.fieldNames() if isinstance(schema, T.StructType) else list(schema)
-    parts = lines.withColumn("_fields", text.split_literal(F.col("value"), delimiter))
+    parts = compute_once(lines, "_fields", text.split_literal(F.col("value"), delimiter))
     return parts.select(
         *[F.get("_fields", F.lit(i)).alias(name) for i, name in enumerate(names)]
     )
