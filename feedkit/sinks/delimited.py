@@ -11,9 +11,6 @@ from feedkit.operators import extract
 # Line ends a job may ask for by word.
 NEWLINES = {"windows": "\r\n", "unix": "\n"}
 
-# A character that no text may hold; it only has to be something the CSV writer can look for.
-NO_SEPARATOR = "\uffff"
-
 
 def header_row(df: DataFrame, delimiter: str, enclosed_by: str = "") -> DataFrame:
     """The column names as a record, in a partition of its own."""
@@ -43,20 +40,16 @@ def write_transcoded(lines: DataFrame, path: str, charset: str = "UTF-8", newlin
                      header: str | None = None, column: str = "value", mode: str = "error") -> int:
     """Stripped lines in another charset and with another line end; returns how many.
 
-    A line that holds U+FFFF, which is no character, raises.
+    A character that the charset lacks raises.
     """
     if newline not in NEWLINES:
         raise ValueError(f"newline is one of {', '.join(NEWLINES)}; Spark needs one between records")
     seen = Observation("written")
     stripped = F.regexp_replace(F.col(column), r"^\s+|\s+$", "")
-    bad = F.raise_error(F.lit("a line holds U+FFFF")).cast("string")
-    out = lines.select(
-        F.when(F.contains(stripped, F.lit(NO_SEPARATOR)), bad).otherwise(stripped).alias("record")
-    ).observe(seen, F.count(F.lit(1)).alias("n"))
+    out = lines.select(stripped.alias("record")).observe(seen, F.count(F.lit(1)).alias("n"))
     if header is not None:
         out = lines.sparkSession.range(0, 1, 1, 1).select(F.lit(header).alias("record")).unionAll(out)
-    out.write.mode(mode).options(
-        sep=NO_SEPARATOR, quote="", escapeQuotes=False, encoding=charset, lineSep=NEWLINES[newline],
-        emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    ).csv(path)
+    # The text writer writes the bytes of a string as they are.
+    encoded = out.select(F.encode("record", charset).cast("string").alias("record"))
+    encoded.write.mode(mode).options(lineSep=NEWLINES[newline], encoding=charset).text(path)
     return seen.get["n"]
