@@ -77,18 +77,30 @@ def from_latin1(c: Column) -> Column:
 def replace_literals(c: Column, pairs: Sequence[tuple[BytesLike, BytesLike]]) -> Column:
     """Apply literal replacements one after the other, in the given order.
 
-    Keys that are whole UTF-8 text replace directly.  If any key is part of a
-    character the text goes through ISO-8859-1, where one byte is one character.
+    Keys that are whole UTF-8 text replace directly.  Keys that are part of a character
+    need the text as ISO-8859-1, where one byte is one character; a value without a certain
+    byte of any such key skips that.
     """
     raw = [(as_bytes(old), as_bytes(new)) for old, new in pairs if old]
-    if all(is_utf8(old) and is_utf8(new) for old, new in raw):
-        for old, new in raw:
-            c = F.replace(c, F.lit(old.decode()), F.lit(new.decode()))
-        return c
-    c = to_latin1(c)
-    for old, new in raw:
-        c = F.replace(c, F.lit(old.decode("latin-1")), F.lit(new.decode("latin-1")))
-    return from_latin1(c)
+    partial = [old for old, new in raw if not (is_utf8(old) and is_utf8(new))]
+    if not partial:
+        return _replace_each(c, raw, "utf-8")
+    bytewise = from_latin1(_replace_each(to_latin1(c), raw, "latin-1"))
+    signs = sorted({max(old) for old in partial})
+    if any(sign in new for _, new in raw for sign in signs):
+        return bytewise
+    binary = c.cast("binary")
+    has_sign = F.lit(False)
+    for sign in signs:
+        has_sign = has_sign | F.contains(binary, F.lit(bytes([sign])))
+    whole = [(old, new) for old, new in raw if old not in partial]
+    return F.when(has_sign, bytewise).otherwise(_replace_each(c, whole, "utf-8"))
+
+
+def _replace_each(c: Column, pairs: Sequence[tuple[bytes, bytes]], charset: str) -> Column:
+    for old, new in pairs:
+        c = F.replace(c, F.lit(old.decode(charset)), F.lit(new.decode(charset)))
+    return c
 
 
 def replace_mapping(c: Column, mapping: Mapping[BytesLike, BytesLike]) -> Column:

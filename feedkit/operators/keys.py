@@ -44,6 +44,16 @@ def anti(df: DataFrame, other: DataFrame, keys: Sequence[str], nulls: bool = Fal
     return _member(df, other, keys, "left_anti", nulls)
 
 
+def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], spread_by: str, how: str = "inner") -> DataFrame:
+    """Join a table with one row per key, when a key may hold much of ``df``.
+
+    Each small row comes once per salt, and rows choose a salt by ``spread_by``.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_salt")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("int"))
+    return salted.join(small.select("*", salts), [*keys, "_salt"], how).drop("_salt")
+
+
 def delete_by_keys(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows that stay; a NULL key never matches."""
     return anti(target, staged, keys)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.operators import linefold
+from feedkit.operators.keys import join_small
 
 # The helpers travel with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(linefold)
@@ -52,7 +53,7 @@ def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = N
         counted = counted.withColumn("width", F.lit(int(n_columns)))
     else:
         first = F.min_by("n", F.struct("block", "line_no")).alias("width")
-        counted = counted.join(counted.groupBy("file").agg(first), "file")
+        counted = join_small(counted, counted.groupBy("file").agg(first), ["file"], "line_no")
         in_order = False
     mark = delimiter.encode("utf-8")
     kept = counted.where(F.rlike(F.col("value").cast("string"), F.lit(r"[^ \t\n\r\x0b\f]"))).select(

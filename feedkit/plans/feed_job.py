@@ -20,6 +20,7 @@ class FeedSpec:
 
     delimiter: str = text.DEFAULT_DELIMITER
     n_columns: int | None = None
+    in_order: bool = False
     limits: Mapping[int, int] = field(default_factory=dict)
     replacements: Mapping[text.BytesLike, text.BytesLike] = field(default_factory=dict)
     prefixes: Mapping[text.BytesLike, int] = field(default_factory=dict)
@@ -32,14 +33,11 @@ WIDE = {"repair_linefeeds"}
 
 COLUMNS = ["file", "block", "line_no", "kind", "value", "failed_step"]
 
-# A file may hold much of all lines: rows join the list of failed files under this many salts.
-SALTS = 16
-
 
 def steps_of(spec: FeedSpec) -> dict[str, Step]:
     """The built-in steps.  A step whose result has ``kind`` can refuse lines."""
     return {
-        "repair_linefeeds": lambda df: repair.repair_linefeeds(df, spec.delimiter, spec.n_columns),
+        "repair_linefeeds": lambda df: repair.repair_linefeeds(df, spec.delimiter, spec.n_columns, in_order=spec.in_order),
         "replace_chars": lambda df: feed.replace_chars(df, "value", spec.replacements),
         "truncate_columns": lambda df: feed.truncate_columns(df, spec.delimiter, spec.limits),
         "remove_mbc": lambda df: feed.remove_mbc(df, "value", spec.prefixes),
@@ -102,9 +100,7 @@ def _stage(lines: DataFrame, steps: Sequence[tuple[str, Step]]) -> DataFrame:
     else:
         tried = _apply(lines.withColumn("_limit", F.lit(None).cast("int")), steps)
         limits = tried.where("kind = 'error'").groupBy("file").agg(F.min("_step").alias("_limit"))
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-        salted = lines.withColumn("_salt", F.pmod(F.xxhash64("line_no"), F.lit(SALTS)).cast("int"))
-        done = _apply(salted.join(limits.select("*", salts), ["file", "_salt"], "left").drop("_salt"), steps)
+        done = _apply(keys.join_small(lines, limits, ["file"], "line_no", "left"), steps)
     label = F.lit(None).cast("string")
     for k, (name, _) in enumerate(steps):
         label = F.when(F.col("_limit") == k, name).otherwise(label)

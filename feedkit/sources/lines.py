@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedkit.functions import text
+from feedkit.operators.keys import join_small
 from feedkit.plans.once import compute_once
 
 
@@ -41,7 +42,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
     shifts = splits.select(
         "file", "block", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift")
     )
-    return lines.join(shifts, ["file", "block"]).select(
+    return join_small(lines, shifts, ["file", "block"], "line_no").select(
         "file", "block", (F.col("line_no") + F.col("shift")).alias("line_no"), "value"
     )
 
