@@ -136,7 +136,12 @@ def split_literal(c: Column, delimiter: str) -> Column:
 
 
 def java_quote(literal: str) -> str:
-    """``literal`` as a Java regular expression that matches just itself."""
+    """``literal`` as a Java regular expression that matches just itself.
+
+    Java splits at a single (escaped) character without compiling a pattern for each row.
+    """
+    if len(literal) == 1 and ord(literal) < 0x10000:
+        return literal if literal.isalnum() or literal not in ".$|()[{^?*+\\" else "\\" + literal
     return "\\Q" + literal.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 

@@ -134,13 +134,15 @@ RECORDS = pa.schema([
 ])
 
 
-def in_batches(rows, schema, size=8192):
-    held = []
+def in_batches(rows, schema, size=8192, size_bytes=1 << 24):
+    """Rows in Arrow batches of at most so many rows, and about so many bytes of values."""
+    held, weight = [], 0
     for row in rows:
         held.append(row)
-        if len(held) >= size:
+        weight += sum(len(v) for v in row if isinstance(v, bytes))
+        if len(held) >= size or weight >= size_bytes:
             yield output(held, schema)
-            held = []
+            held, weight = [], 0
     yield output(held, schema)
 
 

@@ -56,8 +56,9 @@ def transform_chain(lines: DataFrame, names: Sequence[str | Step], spec: FeedSpe
     A step is a built-in name or a function of lines that changes ``value``, or adds
     ``kind``, and keeps all other columns and rows.  Neighbouring steps run as one stage:
     a first pass finds the files that fail and where, a second applies the steps up to
-    there.  ``keep`` is called on what ``repair_linefeeds`` gives, since it is read more
-    than once; by default it is checkpointed.
+    there.  ``keep`` is called on what ``repair_linefeeds`` gives and on the list of failed
+    files, since they are read more than once; by default they are checkpointed, so these
+    passes run at once.
     """
     built_in = steps_of(spec)
     if "block" not in lines.columns:
@@ -68,7 +69,7 @@ def transform_chain(lines: DataFrame, names: Sequence[str | Step], spec: FeedSpe
     def run_stage():
         nonlocal current
         if stage:
-            out = _stage(current, stage)
+            out = _stage(current, stage, keep)
             finished.append(out.where("kind <> 'good' OR failed_step IS NOT NULL"))
             current = out.where("kind = 'good' AND failed_step IS NULL").select(*current.columns)
             stage.clear()
@@ -79,12 +80,15 @@ def transform_chain(lines: DataFrame, names: Sequence[str | Step], spec: FeedSpe
             continue
         run_stage()
         out = keep(built_in[name](current))
-        failed = out.where("kind = 'error'")
-        stopped = keys.semi(out, failed, ["file"])
-        finished.append(stopped.withColumn("failed_step", F.lit(name)).select(*COLUMNS))
-        current = keys.anti(out, failed, ["file"]).select(*current.columns)
+        failed = keep(out.where("kind = 'error'").select("file").distinct())
+        passed = out
+        if not failed.isEmpty():
+            stopped = keys.semi(out, failed, ["file"])
+            finished.append(stopped.withColumn("failed_step", F.lit(name)).select(*COLUMNS))
+            passed = keys.anti(out, failed, ["file"])
+        current = passed.select(*current.columns)
     if stage:
-        last = _stage(current, stage)
+        last = _stage(current, stage, keep)
     else:
         last = current.withColumns({"kind": F.lit("good"), "failed_step": F.lit(None).cast("string")})
     result = last.select(*COLUMNS)
@@ -93,14 +97,14 @@ def transform_chain(lines: DataFrame, names: Sequence[str | Step], spec: FeedSpe
     return result
 
 
-def _stage(lines: DataFrame, steps: Sequence[tuple[str, Step]]) -> DataFrame:
+def _stage(lines: DataFrame, steps: Sequence[tuple[str, Step]],
+           keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Row-wise steps on all lines, for each file up to the step that refuses one of them."""
-    if not any("kind" in step(lines).columns for _, step in steps):
-        done = _apply(lines.withColumn("_limit", F.lit(None).cast("int")), steps)
-    else:
-        tried = _apply(lines.withColumn("_limit", F.lit(None).cast("int")), steps)
-        limits = tried.where("kind = 'error'").groupBy("file").agg(F.min("_step").alias("_limit"))
-        done = _apply(keys.join_small(lines, limits, ["file"], "line_no", "left"), steps)
+    done = _apply(lines.withColumn("_limit", F.lit(None).cast("int")), steps)
+    if any("kind" in step(lines).columns for _, step in steps):
+        limits = keep(done.where("kind = 'error'").groupBy("file").agg(F.min("_step").alias("_limit")))
+        if not limits.isEmpty():
+            done = _apply(keys.join_small(lines, limits, ["file"], "line_no", "left"), steps)
     label = F.lit(None).cast("string")
     for k, (name, _) in enumerate(steps):
         label = F.when(F.col("_limit") == k, name).otherwise(label)
