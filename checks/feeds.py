@@ -362,7 +362,8 @@ def transform_chain_query(spark, sf):
         doc_id = F.split("value", "\t")[0].cast("bigint")
         return rows.withColumn("kind", F.when(doc_id % 97 == 5, "error").otherwise("good"))
 
-    spec = FeedSpec(delimiter="\t", n_columns=4, replacements={"th": "T"}, limits={1: 3000})
+    # Line numbers are sparse here: 100,000 for each document.
+    spec = FeedSpec(delimiter="\t", n_columns=4, replacements={"th": "T"}, limits={1: 3000}, chunk_lines=1 << 34)
     over = FeedSpec(delimiter="\t", limits={1: 2000})
 
     def mark_over(rows):

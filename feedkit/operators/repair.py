@@ -36,7 +36,8 @@ def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = N
     Chunks of lines are folded apart: one pass notes what each chunk does to a window
     that comes in, a pass over these notes (one per ``chunk_lines`` lines) tells each chunk
     what does come in, and a last pass builds the records.  A file without any whole line
-    is folded in parallel like any other.
+    is folded in parallel like any other.  A chunk is a range of ``line_no``, so with sparse
+    numbers ``chunk_lines`` should be that much larger.
 
     ``in_order`` says the rows already come in file order, as ``scan_lines`` gives them;
     the first pass then needs no shuffle.  Lines out of order raise.

@@ -21,6 +21,7 @@ class FeedSpec:
     delimiter: str = text.DEFAULT_DELIMITER
     n_columns: int | None = None
     in_order: bool = False
+    chunk_lines: int = repair.CHUNK_LINES
     limits: Mapping[int, int] = field(default_factory=dict)
     replacements: Mapping[text.BytesLike, text.BytesLike] = field(default_factory=dict)
     prefixes: Mapping[text.BytesLike, int] = field(default_factory=dict)
@@ -37,7 +38,9 @@ COLUMNS = ["file", "block", "line_no", "kind", "value", "failed_step"]
 def steps_of(spec: FeedSpec) -> dict[str, Step]:
     """The built-in steps.  A step whose result has ``kind`` can refuse lines."""
     return {
-        "repair_linefeeds": lambda df: repair.repair_linefeeds(df, spec.delimiter, spec.n_columns, in_order=spec.in_order),
+        "repair_linefeeds": lambda df: repair.repair_linefeeds(
+            df, spec.delimiter, spec.n_columns, spec.chunk_lines, spec.in_order
+        ),
         "replace_chars": lambda df: feed.replace_chars(df, "value", spec.replacements),
         "truncate_columns": lambda df: feed.truncate_columns(df, spec.delimiter, spec.limits),
         "remove_mbc": lambda df: feed.remove_mbc(df, "value", spec.prefixes),
