@@ -88,28 +88,30 @@ def duplicate_rows(spark, sf):
     return load.duplicate_rows(rows, order=["l_shipdate"])
 
 
+# All orders are in the target and all are staged again with a new price, but a third of the
+# target's keys and half of the staged keys are others, and some are NULL on either side.
 def target_orders(spark, sf):
     k = F.col("o_orderkey")
-    rows = plain_orders(spark, sf).where(k % 3 != 0)
-    return rows.withColumn("o_orderkey", F.when(k % 500 != 1, k))
+    key = F.when(k % 3 == 0, -k).when(k % 500 != 1, k)
+    return plain_orders(spark, sf).withColumn("o_orderkey", key)
 
 
 def staged_orders(spark, sf):
     k = F.col("o_orderkey")
-    rows = plain_orders(spark, sf).where(k % 2 == 0).withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    return rows.withColumns({
-        "o_totalprice": F.col("o_totalprice").cast("decimal(18,2)"), "o_orderkey": F.when(k % 1000 != 2, k),
-    })
+    key = F.when(k % 2 == 1, k + 1000000000000).when(k % 1000 != 2, k)
+    price = (F.col("o_totalprice") + 1).cast("decimal(18,2)")
+    return plain_orders(spark, sf).withColumns({"o_totalprice": price, "o_orderkey": key})
 
 
 ORDER_COLUMNS = "o_custkey, o_orderstatus, CAST(o_totalprice {} AS DECIMAL(18,2)) AS o_totalprice, o_orderdate, o_orderpriority"
 TARGET_SQL = f"""
-    SELECT CASE WHEN o_orderkey % 500 <> 1 THEN o_orderkey END AS o_orderkey, {ORDER_COLUMNS.format("")}
-    FROM orders WHERE o_orderkey % 3 <> 0
+    SELECT CASE WHEN o_orderkey % 3 = 0 THEN -o_orderkey WHEN o_orderkey % 500 <> 1 THEN o_orderkey END AS o_orderkey,
+           {ORDER_COLUMNS.format("")} FROM orders
 """
 CHANGED_SQL = f"""
-    SELECT CASE WHEN o_orderkey % 1000 <> 2 THEN o_orderkey END AS o_orderkey, {ORDER_COLUMNS.format("+ 1")}
-    FROM orders WHERE o_orderkey % 2 = 0
+    SELECT CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey + 1000000000000
+                WHEN o_orderkey % 1000 <> 2 THEN o_orderkey END AS o_orderkey,
+           {ORDER_COLUMNS.format("+ 1")} FROM orders
 """
 MATCH_SQL = f"(SELECT 1 FROM ({CHANGED_SQL}) s WHERE s.o_orderkey = t.o_orderkey)"
 
@@ -146,12 +148,13 @@ def tuple_in_filter(spark, sf):
     return kept.select("l_orderkey", "l_suppkey", "l_quantity")
 
 
-# Right list: some orders moved by one place, some missing, some new.
+# Right list: some orders moved by one place, some replaced, some at places the left list lacks.
 LEFT_SQL = "SELECT o_orderkey AS place, o_orderkey * 10 AS item FROM orders"
 RIGHT_SQL = """
-    SELECT o_orderkey AS place, CASE WHEN o_orderkey % 50 = 7 THEN -o_orderkey
-        WHEN o_orderkey % 40 = 3 THEN o_orderkey * 10 + 10 ELSE o_orderkey * 10 END AS item
-    FROM orders WHERE o_orderkey % 60 <> 11
+    SELECT CASE WHEN o_orderkey % 60 = 11 THEN -o_orderkey ELSE o_orderkey END AS place,
+        CASE WHEN o_orderkey % 50 = 7 THEN -o_orderkey WHEN o_orderkey % 40 = 3 THEN o_orderkey * 10 + 10
+             ELSE o_orderkey * 10 END AS item
+    FROM orders
 """
 
 
@@ -170,7 +173,7 @@ def reconcile(spark, sf):
     orders = table(spark, sf, "orders")
     left = orders.select(k.alias("place"), (k * 10).alias("item"))
     item = F.when(k % 50 == 7, -k).when(k % 40 == 3, k * 10 + 10).otherwise(k * 10)
-    right = orders.where(k % 60 != 11).select(k.alias("place"), item.alias("item"))
+    right = orders.select(F.when(k % 60 == 11, -k).otherwise(k).alias("place"), item.alias("item"))
     return keys.reconcile(left, right, ["item"], "place")
 
 
@@ -255,37 +258,30 @@ def full_refresh_rewrite(spark, sf):
     return spark.table(name)
 
 
-def double_lines(spark, sf):
-    """Order lines; some come again unchanged, some again with another customer."""
+def triple_lines(spark, sf):
+    """Every order line, the same line again, and once more with another customer."""
     lines = order_lines(spark, sf)
-    k = F.col("line_no")
-    again = lines.where(k % 11 == 0).withColumn("block", F.lit(1).cast("bigint"))
-    changed = lines.where(k % 13 == 0).withColumns({
-        "block": F.lit(2).cast("bigint"),
-        "value": F.concat(F.substring_index("value", "|", 1), F.lit("|-1"),
-                          F.expr("substring(value, instr(value, '|') + 1)").substr(
-                              F.expr("instr(substring(value, instr(value, '|') + 1), '|')"), F.lit(9999))),
-    })
-    return lines.unionAll(again).unionAll(changed)
+    changed = F.regexp_replace("value", r"^([0-9]+)\|[0-9]+", "$1|-1")
+    copies = F.posexplode(F.array("value", "value", changed)).alias("copy", "text")
+    return lines.select("file", "line_no", copies).select(
+        "file", F.col("copy").cast("bigint").alias("block"), "line_no", F.col("text").alias("value")
+    )
 
 
 @query(
     "load_metrics",
     f"""
-    WITH s AS ({STAGED_SQL})
-    SELECT count(*) + count(*) FILTER (o_orderkey % 11 = 0) + count(*) FILTER (o_orderkey % 13 = 0) AS rows_read,
-           count(*) FILTER (reason IS NULL) AS applied,
-           count(reason) + count(reason) FILTER (o_orderkey % 11 = 0) + count(reason) FILTER (o_orderkey % 13 = 0) AS et,
-           count(*) FILTER (reason IS NULL AND o_orderkey % 13 = 0) AS uv,
-           count(*) FILTER (reason IS NULL AND o_orderkey % 11 = 0) AS duplicates,
-           count(*) FILTER (reason IS NULL AND o_orderkey % 3 <> 0 AND o_orderkey % 500 <> 1) AS deleted,
+    WITH s AS ({STAGED_SQL}), good AS (SELECT o_orderkey FROM s WHERE reason IS NULL)
+    SELECT count(*) * 3 AS rows_read, count(*) FILTER (reason IS NULL) AS applied, count(reason) * 3 AS et,
+           count(*) FILTER (reason IS NULL) AS uv, count(*) FILTER (reason IS NULL) AS duplicates,
+           (SELECT count(*) FROM ({TARGET_SQL}) t WHERE o_orderkey IN (SELECT o_orderkey FROM good)) AS deleted,
            'failed' AS status
     FROM s
     """,
 )
 def load_metrics(spark, sf):
     spec = LoadSpec(ORDER_SCHEMA, ["o_orderkey"], delimiter="pipe")
-    tagged = materialize(tag_rows(double_lines(spark, sf), spec))
+    tagged = materialize(tag_rows(triple_lines(spark, sf), spec))
     good = tagged.where("kind = 'good'").select(*ORDER_SCHEMA.fieldNames())
     deleted = keys.rows_to_replace(target_orders(spark, sf), good, ["o_orderkey"])
     return load.load_metrics(tagged, deleted)
@@ -306,7 +302,7 @@ def reject_snapshot(spark, sf):
     "reject_preview",
     f"""
     WITH et AS (SELECT o_orderkey AS line_no, reason FROM ({STAGED_SQL}) WHERE reason IS NOT NULL),
-         uv AS (SELECT o_orderkey AS line_no FROM orders WHERE o_orderkey % 13 = 0)
+         uv AS (SELECT o_orderkey AS line_no FROM orders)
     SELECT * FROM (SELECT 'et' AS kind, (SELECT count(*) FROM et) AS total, line_no,
                    '{{"reason":"' || reason || '"}}' AS row FROM et ORDER BY line_no LIMIT 200)
     UNION ALL
@@ -316,7 +312,7 @@ def reject_snapshot(spark, sf):
 )
 def reject_preview(spark, sf):
     _, et = load.stage_typed(order_lines(spark, sf), "|", ORDER_SCHEMA)
-    uv = table(spark, sf, "orders").where("o_orderkey % 13 = 0").select(F.col("o_orderkey").alias("line_no"), "o_orderkey")
+    uv = table(spark, sf, "orders").select(F.col("o_orderkey").alias("line_no"), "o_orderkey")
     return load.reject_preview(et.select("line_no", "reason"), uv, ["line_no"], 200)
 
 

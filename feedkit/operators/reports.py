@@ -48,7 +48,7 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def ordered_list_agg(df: DataFrame, group: Sequence[str], position: str, value: str, separator: str = ",",
                      piece: int = 4096) -> DataFrame:
-    """One list text per group, ordered by a whole-number position.
+    """One list text per group, ordered by a whole-number position that is unique in its group.
 
     Pieces of ``piece`` positions are joined to text first, so a large group is sorted and
     joined by many tasks; only its finished pieces meet.
