@@ -134,8 +134,9 @@ def path_tokens(pattern_text: Column | str, as_of: AsOf = None, original: Column
                 random: Column | None = None) -> Column:
     """Expand date, month and random tokens, then slices of the original name.
 
-    ``<ORIGINAL_NAME_a:b>`` is characters ``a`` to ``b`` of ``original``.  A slice
-    token is looked for in the pattern, so the pattern must be a plain string for it.
+    ``<ORIGINAL_NAME_a:b>`` is characters ``a`` to ``b`` of ``original``, counted from the
+    end if negative.  A slice token is looked for in the pattern, so the pattern must be a
+    plain string for it.
     """
     c = F.lit(pattern_text) if isinstance(pattern_text, str) else pattern_text
     day = as_of_date(as_of)
@@ -156,11 +157,16 @@ def path_tokens(pattern_text: Column | str, as_of: AsOf = None, original: Column
     if not isinstance(pattern_text, str):
         raise ValueError("slices of the original name need a plain string pattern")
     for start, end in slices_in(pattern_text):
-        piece = F.substring(original, start + 1, max(end - start, 0))
+        first, last = _place(original, start), _place(original, end)
+        piece = F.substring(original, first + 1, F.greatest(last - first, F.lit(0)))
         c = F.replace(c, F.lit(f"<ORIGINAL_NAME_{start}:{end}>"), piece)
     return c
 
 
+def _place(original: Column, at: int) -> Column:
+    return F.lit(at) if at >= 0 else F.greatest(F.length(original) + at, F.lit(0))
+
+
 def slices_in(pattern_text: str) -> list[tuple[int, int]]:
     """Bounds of the name slices in a pattern."""
     found = []

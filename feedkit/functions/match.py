@@ -53,11 +53,14 @@ def name_like(c: Column, include: Sequence[str] | None = None, exclude: Sequence
 
 
 def expired_by_suffix(name: Column, days_back: int, as_of: Column | dt.date | str) -> Column:
-    """Name ends in ``_YYYYMMDD``, a real date more than ``days_back`` days before ``as_of``."""
+    """Name ends in ``_YYYYMMDD``, a real date, whose start is over ``days_back`` days before ``as_of``.
+
+    ``as_of`` may have a time of day; a plain date counts as its midnight.
+    """
     suffix = F.substring_index(name, "_", -1)
     stamp = F.try_to_date(F.when(F.rlike(name, F.lit(".*_[0-9]{8}$")), suffix), "yyyyMMdd")
-    day = as_of.cast("date") if isinstance(as_of, Column) else F.lit(str(as_of)).cast("date")
-    return F.coalesce(F.datediff(day, stamp) > int(days_back), F.lit(False))
+    moment = (as_of if isinstance(as_of, Column) else F.lit(str(as_of))).cast("timestamp_ntz")
+    return F.coalesce(F.date_add(stamp, int(days_back)).cast("timestamp_ntz") < moment, F.lit(False))
 
 
 def glob_regex(pattern: Column) -> Column:

@@ -128,21 +128,21 @@ def missing_feeds(expected: DataFrame, present: DataFrame, on: Sequence[str]) ->
 
 def missing_feeds_by_pattern(expected: DataFrame, present: DataFrame, pattern: str = "pattern",
                              name: str = "name") -> DataFrame:
-    """Expected rows whose name pattern (``*``, ``?``, ``[..]``) no present name matches.
+    """Expected rows whose name pattern (``*``, ``?``, ``[..]``; several after commas) no
+    present name matches.
 
     The literal start of a pattern is an equi-join key: a name is offered under those of
     its own beginnings that some pattern starts with, then tested against that pattern.
     """
-    patterns = expected.select(
-        F.col(pattern).alias("_p"), match.glob_literal_prefix(F.col(pattern)).alias("_start")
-    ).distinct()
+    single = expected.select(F.col(pattern).alias("_p"), F.explode(F.split(pattern, ",", -1)).alias("_glob"))
+    patterns = single.withColumn("_start", match.glob_literal_prefix(F.col("_glob"))).distinct()
     names = present.select(F.col(name).alias("_n")).distinct()
     lengths = F.explode(F.sequence(F.lit(0), F.length("_n")))
     starts = names.select("_n", lengths.alias("_k")).select("_n", F.substring("_n", F.lit(1), F.col("_k")).alias("_start"))
     offered = semi(starts, patterns, ["_start"])
     found = (
         offered.join(patterns, "_start")
-        .where(F.rlike("_n", match.glob_regex(F.col("_p"))))
+        .where(F.rlike("_n", match.glob_regex(F.col("_glob"))))
         .select(F.col("_p").alias(pattern))
     )
     return anti(expected, found, [pattern])

@@ -84,10 +84,20 @@ def test_date_words(spark):
 def test_path_tokens(spark):
     path = dates.path_tokens("S_<ORIGINAL_NAME_4:11>_<TODAY>", "2024-01-31", F.col("s"))
     assert one(spark, path, s="abc_20240131.csv") == "S_2024013_20240131"
+    path = dates.path_tokens("<ORIGINAL_NAME_-4:99><ORIGINAL_NAME_0:-4><ORIGINAL_NAME_3:1>", "2024-01-31", F.col("s"))
+    assert one(spark, path, s="abc.csv") == ".csvabc"
     path = dates.path_tokens("<NEXT_MONTH><LAST_MONTH><RANDOM>", "2024-01-31", random=F.lit("r"))
     assert one(spark, path) == "202402202312r"
 
 
+@pytest.mark.parametrize("name,as_of,want", [
+    ("t_20240101", "2024-01-11", False), ("t_20240101", "2024-01-12", True), ("t_20240101", "2024-01-11 00:00:01", True),
+    ("t_20240230", "2025-01-01", False), ("t", "2025-01-01", False), ("t_2024010", "2025-01-01", False), (None, "2025-01-01", False),
+])
+def test_expired_by_suffix(spark, name, as_of, want):
+    assert one(spark, match.expired_by_suffix(F.col("s").cast("string"), 10, as_of), s=name) is want
+
+
 def test_season_and_range(spark):
     ts = F.col("t").cast("timestamp_ntz")
     wrap = match.match_season(ts, 11, 15, 2, 10)

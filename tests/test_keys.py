@@ -52,13 +52,13 @@ def test_schema_pairing_of_uneven_lists_raises(spark):
 
 
 def test_missing_feeds_by_pattern(spark):
-    patterns = ["MY_*.xlsx", "ID_?.csv", "*", "US_[ab].txt", "a.b*", "GB_[!x].txt", "\\d+.txt"]
+    patterns = ["MY_*.xlsx", "ID_?.csv", "*", "US_[ab].txt", "a.b*", "GB_[!x].txt", "\\d+.txt", "no*,MY_*", "no,never"]
     expected = spark.createDataFrame([(p,) for p in patterns], "pattern string")
     present = spark.createDataFrame(
         [("MY_1.xls",), ("ID_12.csv",), ("US_c.txt",), ("axb1",), ("GB_y.txt",), ("12.txt",)], "name string"
     )
     got = sorted(r[0] for r in keys.missing_feeds_by_pattern(expected, present).collect())
-    assert got == sorted(["MY_*.xlsx", "ID_?.csv", "US_[ab].txt", "a.b*", "\\d+.txt"])
+    assert got == sorted(["MY_*.xlsx", "ID_?.csv", "US_[ab].txt", "a.b*", "\\d+.txt", "no,never"])
 
 
 @pytest.fixture
