@@ -132,3 +132,20 @@ def test_lines_out_of_order_raise(spark):
     df = spark.createDataFrame(rows, "file string, line_no long, value string").coalesce(1)
     with pytest.raises(Exception, match="not in order"):
         repair.repair_linefeeds(df, "\t", 3, in_order=True).collect()
+
+
+@pytest.mark.parametrize("blob", [
+    b"", b"1\ta\tb", b"\n\n \n", b"\t\t\n\t\t", b"1\ta\r\tb\n2\r\n\tx\ty\n", b"1\t\xff\n\xfe\tb\n", b"1&@\n!&a&@!&b\n",
+])
+def test_odd_files(spark, tmp_path, blob):
+    (tmp_path / "f.txt").write_bytes(blob)
+    delimiter = "&@!&" if b"&" in blob else "\t"
+    pieces = blob.split(b"\n")
+    read = pieces[:-1] if pieces[-1] == b"" else pieces
+    scanned = src.scan_lines(spark, str(tmp_path))
+    raw = scanned.orderBy("block", "line_no").select(F.hex("value")).collect()
+    assert [bytes.fromhex(r[0]) for r in raw] == read
+    good, error = models.repair(read, delimiter.encode(), 3)
+    rows = repair.repair_linefeeds(scanned, delimiter, 3, in_order=True).select("kind", F.hex("value").alias("v")).collect()
+    got = [sorted(bytes.fromhex(r["v"]) for r in rows if r["kind"] == kind) for kind in ("good", "error")]
+    assert got == [sorted(good), sorted(error)]
