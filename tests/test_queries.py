@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import registry
 from checks.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -20,10 +21,10 @@ def test_entry_gives_records(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.SQL)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_agrees(spark, con, name):
     rows, message = compare(spark, con, SF, contract.queries()[name], contract.oracle_sql().get(name))
     assert message == ""
