@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import neardup
+from feedkit.llm import decontaminate, langid, neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,3 +32,42 @@ def op8_near_duplicates(spark, sf):
     found = neardup.near_duplicates(table(spark, sf, "documents"), width=4, percent=80)
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = "regexp_extract_all(" + LOWER + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op2_decontamination",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce({WORDS.format("text")}, []) AS w FROM documents),
+    i AS (SELECT item_id, {WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
+    win AS (SELECT item_id, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p, w FROM i WHERE len(w) > 0),
+    phrase AS (SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS t FROM win),
+    sizes AS (SELECT DISTINCT n FROM phrase),
+    spot AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS p, w FROM d, sizes WHERE len(w) >= n),
+    hit AS (SELECT DISTINCT a.doc_id, a.p, a.n, f.item_id FROM spot a JOIN phrase f ON f.n = a.n AND f.t = array_to_string(a.w[a.p:a.p + a.n - 1], ' ')),
+    covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS k FROM hit) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(t, ',' ORDER BY t)) AS h
+              FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS t FROM hit) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(h, sha256('')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+)
+def op2_decontamination(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated_words(docs, table(spark, sf, "benchmark"))
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["last"] - h["first"] + 1)
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("found").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
