@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedkit.llm import decontaminate, langid, neardup
+from feedkit.llm.bpe import WordBpe, decode, encode
+from feedkit.llm.tokencount import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,3 +74,21 @@ def op10_language_id(spark, sf):
     docs = table(spark, sf, "documents")
     found = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_bpe")
+def op4_bpe(spark, sf):
+    bpe = WordBpe(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = encode(table(spark, sf, "documents").select("doc_id", "text"), bpe)
+    both = decode(encoded.select("doc_id", "ids"), bpe)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    counted = count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
