@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import decontaminate, langid, neardup
+from feedkit.llm import decontaminate, langid, neardup, slots
 from feedkit.llm.bpe import WordBpe, decode, encode
 from feedkit.llm.tokencount import count_tokens
+from feedkit.plans.storage import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -92,3 +93,18 @@ def op7_token_counts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     counted = count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@query("op6_sharding")
+def op6_sharding(spark, sf):
+    docs = table(spark, sf, "documents")
+    slotted = docs.select(
+        "doc_id", slots.record_size("text").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), slots.slot_of(["doc_id", "text"]).alias("slot"))
+    loads = slots.slot_loads(slotted)
+    path = scratch_path(spark, "slot-map")
+    slots.save_map(slots.first_map(loads, 8), path)
+    placed = slots.place(slotted, slots.load_map(spark, path), loads, ["doc_id", "size", "text_crc32"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("position").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), F.col("slot").alias("virtual_slot"))
