@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import chat, decontaminate, langid, neardup, slots
+from feedkit.llm import chat, decontaminate, langid, neardup, pivots, slots
 from feedkit.llm.bpe import WordBpe, decode, encode
 from feedkit.llm.tokencount import count_tokens
 from feedkit.plans.storage import scratch_path
@@ -140,3 +140,20 @@ def op1_chat_format(spark, sf):
         "conv_id", F.size("read_turns").cast("long").alias("n_turns"), F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
         F.length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query(
+    "op5_top_k",
+    """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+               WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op5_top_k(spark, sf):
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), pivots.usable("embedding").alias("vector"))
+    return pivots.top_k(rows, F.col("id") % 50 == 0, 5).withColumnRenamed("id", "vec_id")
