@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import chat, decontaminate, langid, neardup, pivots, slots
+from feedkit.llm import chat, decontaminate, hostarray, langid, neardup, pivots, slots
 from feedkit.llm.bpe import WordBpe, decode, encode
 from feedkit.llm.tokencount import count_tokens
 from feedkit.plans.storage import scratch_path
@@ -157,3 +157,9 @@ def op1_chat_format(spark, sf):
 def op5_top_k(spark, sf):
     rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), pivots.usable("embedding").alias("vector"))
     return pivots.top_k(rows, F.col("id") % 50 == 0, 5).withColumnRenamed("id", "vec_id")
+
+
+@query("op3_html_text")
+def op3_html_text(spark, sf):
+    found = hostarray.main_text(table(spark, sf, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
