@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import chat, decontaminate, hostarray, langid, neardup, pivots, slots
+from feedkit.llm import chat, decontaminate, hostarray, langid, neardup, pivots, pseudolm, slots
 from feedkit.llm.bpe import WordBpe, decode, encode
 from feedkit.llm.tokencount import count_tokens
 from feedkit.plans.storage import scratch_path
@@ -163,3 +163,12 @@ def op5_top_k(spark, sf):
 def op3_html_text(spark, sf):
     found = hostarray.main_text(table(spark, sf, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
+
+
+@query("op9_lm_score")
+def op9_lm_score(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    symbols = pseudolm.learn_symbols(docs)
+    found = pseudolm.score(docs, symbols, pseudolm.train(docs, symbols))
+    mean = F.col("log_likelihood") / F.greatest("n_words", F.lit(1))
+    return found.select("doc_id", "n_words", F.round("log_likelihood", 4).alias("log_likelihood"), F.round(mean, 4).alias("mean_log_likelihood"))
