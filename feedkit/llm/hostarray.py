@@ -17,7 +17,7 @@ LENGTH, PAGES = 8, 2
 # Tokens that one part of a host, or one pack of small hosts, holds on average at most.
 PART_TOKENS = 400_000
 
-_PARSED = "page_id {id}, url {url}, host string, key long, kinds array<tinyint>, texts array<string>, places array<int>, tokens array<int>"
+_PARSED = "page_id {id}, url {url}, host string, kinds array<tinyint>, texts array<string>, places array<int>, tokens array<int>"
 
 
 def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,10 +54,10 @@ def _parse(names: list[str]):
                     firsts.append([first[x] for x in kept])
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in streams])])
                 yield pa.RecordBatch.from_arrays([
-                    *[part.column(names.index(c)) for c in ("page_id", "url", "host", "key")],
+                    *[part.column(names.index(c)) for c in ("page_id", "url", "host")],
                     pa.array(kinds, pa.list_(pa.int8())), pa.array(texts, pa.list_(pa.string())), pa.array(firsts, pa.list_(pa.int32())),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens, pa.int32()))],
-                    ["page_id", "url", "host", "key", "kinds", "texts", "places", "tokens"])
+                    ["page_id", "url", "host", "kinds", "texts", "places", "tokens"])
 
     return run
 
@@ -85,19 +85,15 @@ def window_groups(tokens: np.ndarray, page: np.ndarray, length: int = LENGTH) ->
     return places, group
 
 
-def _distinct_pages(table: pa.Table):
-    """Tokens of a part as one stream: host and token as one number, page of each token, and each page's twin class."""
+def _stream(table: pa.Table):
+    """Tokens of a part as one stream: host and token as one number, the page of each token, the first token of each page."""
     table = table.combine_chunks()
     lists = table["tokens"].combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy())
+    at = lists.offsets.to_numpy().astype(np.int64)
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     hosts = table["host"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-    page = np.repeat(np.arange(len(sizes)), sizes)
-    stream = (hosts[page] << 32) + (flat & 0xFFFFFFFF)
-    # pages with the same stream are one page: a mirror does not make a text boilerplate
-    at = np.concatenate([[0], np.cumsum(sizes)])
-    twins = [hash((int(hosts[k]), flat[at[k]: at[k + 1]].tobytes())) for k in range(len(sizes))]
-    return stream, page, at, np.unique(np.array(twins, np.int64), return_inverse=True)[1]
+    page = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    return (hosts[page] << 32) + (flat & 0xFFFFFFFF), page, at - at[0]
 
 
 def _window_hashes(stream: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
@@ -107,25 +103,23 @@ def _window_hashes(stream: np.ndarray, places: np.ndarray, length: int) -> np.nd
     return value.view(np.int64)
 
 
-def _counts(places, group, page, twin):
-    """Distinct pages of every group."""
+def _counts(places: np.ndarray, group: np.ndarray, page: np.ndarray) -> np.ndarray:
+    """Pages of every group."""
     if not len(places):
         return np.zeros(0, np.int64)
-    pair = np.unique(group.astype(np.int64) * (twin.max() + 1) + twin[page[places]])
-    return np.bincount(pair // (twin.max() + 1), minlength=group[-1] + 1)
+    pair = np.unique(group.astype(np.int64) << 32 | page[places])
+    return np.bincount(pair >> 32, minlength=group[-1] + 1)
 
 
 def _list_windows(length: int):
     """The distinct windows of a part of a large host, with the number of pages that hold each."""
     def run(table: pa.Table) -> pa.Table:
-        stream, page, _, twin = _distinct_pages(table)
+        stream, page, _ = _stream(table)
         places, group = window_groups(stream, page, length)
-        count = _counts(places, group, page, twin)
+        count = _counts(places, group, page)
         first = places[np.searchsorted(group, np.arange(len(count)))] if len(count) else places
-        n = len(first)
-        return pa.table({"host": pa.array([table["host"][0].as_py()] * n, pa.string()), "pack": pa.array([table["pack"][0].as_py()] * n, pa.int64()),
-                         "part": pa.array([table["part"][0].as_py()] * n, pa.int64()),
-                         "window": pa.array(_window_hashes(stream, first, length), pa.int64()), "pages": pa.array(count, pa.int64())})
+        same = {c: pa.array([table[c][0].as_py()] * len(first), table[c].type) for c in ("group_host", "pack", "part")}
+        return pa.table(same | {"window": pa.array(_window_hashes(stream, first, length), pa.int64()), "pages": pa.array(count, pa.int64())})
 
     return run
 
@@ -133,9 +127,9 @@ def _list_windows(length: int):
 def _cover(length: int, least: int):
     """For each page the tokens (positions) in substrings that ``least`` pages of the host repeat."""
     def run(key, pages: pa.Table, shared: pa.Table) -> pa.Table:
-        stream, page, at, twin = _distinct_pages(pages)
+        stream, page, at = _stream(pages)
         places, group = window_groups(stream, page, length)
-        repeated = _counts(places, group, page, twin) >= least
+        repeated = _counts(places, group, page) >= least
         hit = repeated[group] if len(group) else np.zeros(0, bool)
         if shared.num_rows:
             hit |= np.isin(_window_hashes(stream, places, length), shared["window"].to_numpy())
@@ -144,40 +138,38 @@ def _cover(length: int, least: int):
         np.add.at(edge, places[hit] + length, -1)
         covered = np.cumsum(edge[:-1]) > 0
         lists = [np.flatnonzero(covered[at[k]: at[k + 1]]).astype(np.int32) for k in range(pages.num_rows)]
-        return pa.table({"of": pages["key"], "covered": pa.array(lists, pa.list_(pa.int32()))})
+        return pa.table({"of1": pages["s1"], "of2": pages["s2"], "covered": pa.array(lists, pa.list_(pa.int32()))})
 
     return run
 
 
 def covered_tokens(parsed: DataFrame, length: int = LENGTH, least: int = PAGES, part_tokens: int = PART_TOKENS) -> DataFrame:
-    """(of, covered): positions of each page's stream inside host boilerplate.
+    """(of1, of2, covered): positions of a stream inside host boilerplate, for each distinct stream of ``parsed``.
 
-    A host's pages form one stream and one suffix array.  The pages of a large host are dealt to parts of about
-    ``part_tokens`` with an array each; their distinct windows, counted per part first, are summed over
+    A host's distinct streams form one text and one suffix array.  The streams of a large host are dealt to parts
+    of about ``part_tokens`` with an array each; their distinct windows, counted per part first, are summed over
     the host, and every part learns which of its windows other parts repeat.  So the result is that of
-    one array over the host.  Small hosts share tasks.
+    one array over the host.  Small hosts share tasks.  ``s1`` and ``s2`` name a stream.
     """
-    streams = parsed.select("key", "host", "tokens").where(F.size("tokens") > 0)
+    streams = parsed.select("s1", "s2", "host", "tokens").where(F.size("tokens") > 0).distinct()
     hosts = streams.groupBy("host").agg(F.sum(F.size("tokens")).alias("n"))
     hosts = hosts.select(F.col("host").alias("h"), F.ceil(F.col("n") / part_tokens).alias("parts"), "n")
     total = hosts.where("parts = 1").agg(F.sum("n")).first()[0] or 0
     packs = int(total // part_tokens) + 1
-    dealt = streams.join(hosts, F.col("host").eqNullSafe(F.col("h")))
-    dealt = dealt.select(
-        "key", "host", "tokens", "parts",
-        F.when(F.col("parts") > 1, F.lit(-1)).otherwise(F.pmod(F.xxhash64("host"), F.lit(packs))).cast("long").alias("pack"),
-        F.when(F.col("parts") > 1, F.pmod(F.xxhash64("key"), F.col("parts"))).otherwise(0).cast("long").alias("part"))
-    dealt = dealt.withColumn("group_host", F.when(F.col("parts") > 1, F.coalesce("host", F.lit(""))).otherwise(""))
-    large = dealt.where("parts > 1")
-    listed = large.groupBy("group_host", "pack", "part").applyInArrow(
-        _list_windows(length), "host string, pack long, part long, window long, pages long")
-    listed = listed.withColumn("group_host", F.coalesce("host", F.lit("")))
+    large = F.col("parts") > 1
+    dealt = streams.join(hosts, F.col("host").eqNullSafe(F.col("h"))).select(
+        "s1", "s2", "host", "tokens", "parts",
+        F.when(large, F.coalesce("host", F.lit(""))).otherwise("").alias("group_host"),
+        F.when(large, F.lit(-1)).otherwise(F.pmod(F.xxhash64("host"), F.lit(packs))).cast("long").alias("pack"),
+        F.when(large, F.pmod("s1", "parts")).otherwise(0).cast("long").alias("part"))
+    keys = ["group_host", "pack", "part"]
+    listed = dealt.where(large).groupBy(*keys).applyInArrow(
+        _list_windows(length), "group_host string, pack long, part long, window long, pages long")
     common = listed.groupBy("group_host", "window").agg(F.sum("pages").alias("all")).where(F.col("all") >= least)
     common = common.select(F.col("group_host").alias("h"), F.col("window").alias("w"))
-    shared = listed.join(common, (F.col("group_host") == F.col("h")) & (F.col("window") == F.col("w")))
-    shared = shared.select("group_host", "pack", "part", "window")
-    keys = ["group_host", "pack", "part"]
-    return dealt.groupBy(*keys).cogroup(shared.groupBy(*keys)).applyInArrow(_cover(length, least), "of long, covered array<int>")
+    shared = listed.join(common, (F.col("group_host") == F.col("h")) & (F.col("window") == F.col("w"))).select(*keys, "window")
+    return dealt.groupBy(*keys).cogroup(shared.groupBy(*keys)).applyInArrow(
+        _cover(length, least), "of1 long, of2 long, covered array<int>")
 
 
 def unique_runs(kinds: list[int], texts: list[str], places: list[int], gone: set[int], length: int = LENGTH) -> list[str]:
@@ -236,8 +228,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "host-array")
     kinds = dict(pages.dtypes)
     host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
-    rows = pages.select("page_id", "url", "html", host.alias("host"), F.monotonically_increasing_id().alias("key"))
+    rows = pages.select("page_id", "url", "html", host.alias("host"))
     schema = _PARSED.format(id=kinds["page_id"], url=kinds["url"])
-    parsed = scratch.write(rows.mapInArrow(_parse(rows.columns), schema))
-    joined = parsed.drop("tokens", "host").join(covered_tokens(parsed), F.col("key") == F.col("of"), "left")
+    named = {"s1": F.xxhash64("host", "tokens"), "s2": F.xxhash64(F.lit(1), "tokens", "host")}
+    parsed = scratch.write(rows.mapInArrow(_parse(rows.columns), schema).withColumns(named))
+    on = (F.col("s1") == F.col("of1")) & (F.col("s2") == F.col("of2"))
+    joined = parsed.drop("tokens", "host").join(covered_tokens(parsed), on, "left")
     return joined.mapInArrow(_assemble(joined.columns), f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_repeated long")

@@ -125,6 +125,11 @@ def blocks(page: str) -> list[tuple[int, str]]:
             flush()
         if name in VOID or token[3].endswith("/>") and name not in BLOCK:
             continue
+        # these need no end tag
+        if stack and (stack[-1][0] == "p" and name in BLOCK or stack[-1][0] == name == "li"):
+            kind = stack.pop()[1]
+            chrome -= kind == CHROME
+            main -= kind == MAIN
         kind = _kind(name, token[3], main > 0)
         if kind != OPEN and name not in BLOCK:
             flush()
