@@ -75,6 +75,7 @@ def typed_documents(spark, sf):
     return table(spark, sf, "documents").select(
         k,
         F.unhex(F.md5(k.cast("string"))).alias("uid"),
+        F.unhex(F.when(k % 3 == 0, "616263").when(k % 3 == 1, F.concat(F.md5(k.cast("string")), F.lit("00" * 24)))).alias("blob"),
         F.when(k % 7 != 0, F.col("text")).alias("body"),
         F.nullif(F.col("lang"), F.lit("en")).alias("lang"),
         F.when(k % 5 != 0, F.date_add(F.lit("2020-02-27").cast("date"), (k % 400).cast("int"))).alias("day"),
@@ -88,6 +89,7 @@ def typed_documents(spark, sf):
 
 TYPED_SQL = f"""
     SELECT doc_id AS k, {UUID_SQL.format(k="doc_id")} AS uid,
+           CASE doc_id % 3 WHEN 0 THEN '616263' WHEN 1 THEN md5(CAST(doc_id AS VARCHAR)) || repeat('00', 24) ELSE '' END AS blob,
            CASE WHEN doc_id % 7 <> 0 THEN text END AS body, nullif(lang, 'en') AS lang,
            CASE WHEN doc_id % 5 <> 0 THEN DATE '2020-02-27' + CAST(doc_id % 400 AS INTEGER) END AS day,
            CASE WHEN doc_id % 3 <> 0
@@ -111,7 +113,7 @@ CLEAN_REST_SQL = """
 @query(
     "clean_columns",
     f"""
-    SELECT CAST(k AS VARCHAR) AS doc_id, uid, coalesce({spaced("body")}, '') AS body,
+    SELECT CAST(k AS VARCHAR) AS doc_id, uid, blob, coalesce({spaced("body")}, '') AS body,
            coalesce(lang, '') AS lang, {CLEAN_REST_SQL}
     FROM ({TYPED_SQL})
     """,
@@ -129,7 +131,7 @@ def without_sequences(c: str) -> str:
 @query(
     "clean_columns_strict",
     f"""
-    SELECT CAST(k AS VARCHAR) AS doc_id, uid, coalesce({without_sequences(spaced("body"))}, '') AS body,
+    SELECT CAST(k AS VARCHAR) AS doc_id, uid, blob, coalesce({without_sequences(spaced("body"))}, '') AS body,
            coalesce(lang, '') AS lang, {CLEAN_REST_SQL}
     FROM (SELECT * REPLACE (chr(65533) || body || chr(127) || 'x' || chr(1422) AS body) FROM ({TYPED_SQL}))
     """,
@@ -301,7 +303,7 @@ def rtrim_spaces(spark, sf):
     "percent_of",
     """
     SELECT l_orderkey, l_quantity AS q, CAST(CASE WHEN l_discount = 0 THEN 0
-           ELSE CAST(l_discount AS DECIMAL(18,4)) * 100 / 4 END AS DECIMAL(5,1)) AS share
+           ELSE CAST(l_discount AS DECIMAL(18,4)) * 100 / 4 END AS DECIMAL(18,1)) AS share
     FROM lineitem
     """,
 )

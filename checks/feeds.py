@@ -88,15 +88,23 @@ def scan_delimited(spark, sf):
 
 @query(
     "scan_charset",
-    "SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, replace(text, chr(10), ' ') AS text FROM conversations",
+    # every tenth line is blank, every other tenth is only spaces or has a field too many
+    """
+    SELECT CASE conv_id % 10 WHEN 3 THEN '' WHEN 4 THEN '   ' ELSE CAST(conv_id AS VARCHAR) END AS conv_id,
+           CASE WHEN conv_id % 10 NOT IN (3, 4) THEN CAST(turn AS VARCHAR) END AS turn,
+           CASE WHEN conv_id % 10 NOT IN (3, 4) THEN replace(text, chr(10), ' ') END AS text,
+           CASE WHEN conv_id % 10 = 5 THEN 'more&@!&' END AS surplus
+    FROM conversations
+    """,
 )
 def scan_charset(spark, sf):
     path = scratch_path(spark, "talk")
-    talk = table(spark, sf, "conversations").select(
-        F.concat_ws("&@!&", "conv_id", "turn", F.replace("text", F.lit("\n"), F.lit(" "))).alias("value")
-    )
-    delimited.write_transcoded(talk, path, charset="UTF-16LE")
-    return src.scan_charset(spark, path, "UTF-16LE", None, ["conv_id", "turn", "text"])
+    kind = F.col("conv_id") % 10
+    whole = F.concat_ws("&@!&", "conv_id", "turn", F.replace("text", F.lit("\n"), F.lit(" ")))
+    line = F.when(kind == 3, "").when(kind == 4, "   ").when(kind == 5, F.concat(whole, F.lit("&@!&more&@!&"))).otherwise(whole)
+    coded = F.encode(line, "UTF-16LE").cast("string").alias("value")
+    table(spark, sf, "conversations").select(coded).write.option("lineSep", "\n\0").text(path)
+    return src.scan_charset(spark, path, "UTF-16LE", None, ["conv_id", "turn", "text"], surplus="surplus")
 
 
 NATION_OF_SQL = "SELECT c_custkey, c_name, nullif(c_mktsegment, 'BUILDING') AS seg, c_nationkey FROM customer"
@@ -216,14 +224,16 @@ def incremental_load(spark, sf):
     """
     SELECT 'good' AS kind, concat_ws(chr(9), CAST(doc_id AS VARCHAR), replace(text, chr(10), ''), lang, source) AS value
     FROM documents
+    UNION ALL SELECT 'error', concat_ws(chr(9), 'e', doc_id, 1, 2, 3) FROM documents WHERE doc_id % 10 = 1
     """,
 )
 def repair_linefeeds(spark, sf):
     path = scratch_path(spark, "broken")
-    table(spark, sf, "documents").select(
-        F.concat_ws("\t", "doc_id", "text", "lang", "source").alias("value")
-    ).write.text(path)
-    repaired = repair.repair_linefeeds(src.scan_lines(spark, path), "\t", 4, in_order=True)
+    # lines with a field too many stand between the records; small chunks cut through records
+    record = F.concat_ws("\t", "doc_id", "text", "lang", "source")
+    odd = F.when(F.col("doc_id") % 10 == 1, F.concat(F.lit("\n"), F.concat_ws("\t", F.lit("e"), "doc_id", F.lit("1"), F.lit("2"), F.lit("3"))))
+    table(spark, sf, "documents").select(F.concat(record, F.coalesce(odd, F.lit(""))).alias("value")).write.text(path)
+    repaired = repair.repair_linefeeds(src.scan_lines(spark, path), "\t", 4, in_order=True, chunk_lines=100)
     return repaired.select("kind", "value")
 
 
@@ -322,13 +332,16 @@ def externalize_by_key(spark, sf):
 
 @query(
     "lob_load",
-    "SELECT doc_id, text, lang, n_chars FROM documents",
+    "SELECT doc_id, lang || '_' || source AS a, CASE WHEN doc_id % 9 > 0 THEN '_' || lang END AS b, text, source, n_chars FROM documents",
 )
 def lob_load(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    # keys hold the separator and NULLs
+    docs = table(spark, sf, "documents").select(
+        "doc_id", F.concat_ws("_", "lang", "source").alias("a"),
+        F.when(F.col("doc_id") % 9 > 0, F.concat(F.lit("_"), "lang")).alias("b"), "text", "source", "n_chars")
     is_over = F.octet_length("text") > 2000
-    rows, lobs = feed.externalize_by_key(docs.where(is_over), ["doc_id"], ["text"], "documents")
-    return load.lob_load(docs.where(~is_over), rows, lobs, ["text"])
+    rows, lobs = feed.externalize_by_key(docs.where(is_over), ["doc_id", "a", "b"], ["text", "source"], "documents")
+    return load.lob_load(docs.where(~is_over), rows, lobs, ["text", "source"])
 
 
 @query(

@@ -131,7 +131,16 @@ def rows_to_replace(spark, sf):
     f"SELECT * FROM ({TARGET_SQL}) t WHERE NOT EXISTS {MATCH_SQL} UNION ALL SELECT * FROM ({CHANGED_SQL})",
 )
 def upsert_by_key(spark, sf):
-    return load.upsert_by_key(target_orders(spark, sf), staged_orders(spark, sf), ["o_orderkey"])
+    # through a partitioned table, and a second time with the same stamp
+    name = f"{scratch_database(spark)}.orders_t"
+    columns = [*[c for c in target_orders(spark, sf).columns if c != "o_orderstatus"], "o_orderstatus"]
+    target_orders(spark, sf).select(*columns).write.partitionBy("o_orderstatus").saveAsTable(name)
+    first = staged_orders(spark, sf)
+    load.publish_upsert(spark, name, first, ["o_orderkey"], "199701010000")
+    named = first.where("o_orderkey IS NOT NULL")
+    load.publish_upsert(spark, name, named, ["o_orderkey"], "199701010000")
+    assert load.partition_columns(spark, name) == ["o_orderstatus"]
+    return spark.table(name)
 
 
 @query(
@@ -207,14 +216,15 @@ def schema_pairing(spark, sf):
     "missing_feeds",
     """
     SELECT n_nationkey AS nation, d.day FROM nation,
-           LATERAL (SELECT CAST(unnest(generate_series(DATE '1997-01-01', DATE '1997-12-31', INTERVAL 1 DAY)) AS DATE) AS day) d
+           (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS day FROM orders) d
     WHERE (n_nationkey, d.day) NOT IN (
         SELECT c_nationkey, CAST(o_orderdate AS DATE) FROM orders JOIN customer ON o_custkey = c_custkey)
     """,
 )
 def missing_feeds(spark, sf):
-    days = F.explode(F.expr("sequence(date'1997-01-01', date'1997-12-31')")).alias("day")
-    expected = table(spark, sf, "nation").select(F.col("n_nationkey").alias("nation"), days)
+    span = table(spark, sf, "orders").agg(F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("b"))
+    nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("nation"), F.explode(F.expr("array(1)")).alias("one"))
+    expected = nations.join(span.withColumn("one", F.lit(1)), "one").select("nation", F.explode(F.sequence("a", "b")).alias("day"))
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
     present = table(spark, sf, "orders").join(customers, "o_custkey").select(
         "nation", F.col("o_orderdate").cast("date").alias("day")

@@ -26,12 +26,15 @@ def skew_report(spark, sf):
 @query(
     "size_report",
     """
-    SELECT l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS size
-    FROM lineitem GROUP BY ROLLUP (l_suppkey)
+    SELECT l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS size,
+           grouping(l_suppkey) = 1 AS is_total
+    FROM (SELECT * REPLACE (nullif(l_suppkey, 3) AS l_suppkey) FROM lineitem) GROUP BY ROLLUP (l_suppkey)
     """,
 )
 def size_report(spark, sf):
-    lines = table(spark, sf, "lineitem").withColumn("l_extendedprice", F.col("l_extendedprice").cast("decimal(18,2)"))
+    lines = table(spark, sf, "lineitem").withColumns({
+        "l_extendedprice": F.col("l_extendedprice").cast("decimal(18,2)"), "l_suppkey": F.nullif("l_suppkey", F.lit(3)),
+    })
     return reports.size_report(lines, "l_suppkey", "l_extendedprice")
 
 
@@ -39,9 +42,9 @@ def size_report(spark, sf):
     "usage_report",
     """
     SELECT l_suppkey, sum(cur) AS sum_current, sum(most) AS sum_max, sum(peak) AS sum_peak,
-           CAST(CASE WHEN sum(cur) = 0 THEN 0 ELSE sum(cur) / sum(most) * 100 END AS DECIMAL(5,1)) AS usage,
+           CAST(CASE WHEN sum(cur) = 0 THEN 0 ELSE sum(cur) / sum(most) * 100 END AS DECIMAL(18,1)) AS usage,
            (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS groups
-    FROM (SELECT l_suppkey, CASE WHEN l_suppkey % 10 = 0 THEN 0 ELSE l_quantity END AS cur,
+    FROM (SELECT l_suppkey, CASE WHEN l_suppkey % 10 = 0 THEN 0 WHEN l_suppkey % 10 = 1 THEN l_quantity * 1000 ELSE l_quantity END AS cur,
                  l_quantity * 2 + l_linenumber AS most, l_quantity * 3 AS peak FROM lineitem)
     GROUP BY 1
     """,
@@ -49,7 +52,8 @@ def size_report(spark, sf):
 def usage_report(spark, sf):
     q = F.col("l_quantity")
     lines = table(spark, sf, "lineitem").select(
-        "l_suppkey", F.when(F.col("l_suppkey") % 10 == 0, 0.0).otherwise(q).alias("cur"),
+        "l_suppkey",
+        F.when(F.col("l_suppkey") % 10 == 0, 0.0).when(F.col("l_suppkey") % 10 == 1, q * 1000).otherwise(q).alias("cur"),
         (q * 2 + F.col("l_linenumber")).alias("most"), (q * 3).alias("peak"),
     )
     return reports.usage_report(lines, "l_suppkey", "cur", "most", "peak")
@@ -78,17 +82,20 @@ def column_sql(ordinal: int, name: str, kind: str) -> str:
         SELECT CAST({ordinal} AS INTEGER) AS ordinal, '{name}' AS "column", '{kind}' AS type, count(*) AS rows,
                count(*) - count({name}) AS nulls, count(DISTINCT {name}) AS distinct_values,
                CAST(min({name}) AS VARCHAR) AS low, CAST(max({name}) AS VARCHAR) AS high
-        FROM (SELECT * REPLACE (nullif(o_orderstatus, 'F') AS o_orderstatus) FROM orders)
+        FROM (SELECT * REPLACE (nullif(o_orderstatus, 'F') AS o_orderstatus),
+                     '[' || o_orderstatus || ', ' || o_orderpriority || ']' AS pair FROM orders)
     """
 
 
 STAT_COLUMNS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-                ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+                ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"), ("pair", "array<string>")]
 
 
 @query("column_stats", " UNION ALL ".join(column_sql(i + 1, n, k) for i, (n, k) in enumerate(STAT_COLUMNS)))
 def column_stats(spark, sf):
-    orders = table(spark, sf, "orders").withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("F")))
+    orders = table(spark, sf, "orders").withColumns({
+        "o_orderstatus": F.nullif("o_orderstatus", F.lit("F")), "pair": F.array("o_orderstatus", "o_orderpriority"),
+    })
     return reports.column_stats(orders, [n for n, _ in STAT_COLUMNS])
 
 
@@ -134,16 +141,17 @@ def append_rows(spark, sf):
     """
     SELECT source AS feed, count(*) FILTER (n_chars <= 9000) AS good, count(*) FILTER (n_chars > 9000) AS error,
            CASE WHEN count(*) FILTER (n_chars > 9000) > 0 THEN 1 ELSE 0 END AS failed,
-           CASE WHEN count(*) FILTER (n_chars > 9000) > 0 THEN 'failed' ELSE 'ok' END AS status
-    FROM documents GROUP BY 1
+           CASE WHEN count(*) FILTER (n_chars > 9000) > 0 THEN 'failed' ELSE 'ok' END AS status, false AS is_total
+    FROM (SELECT * REPLACE (nullif(source, 'src3') AS source) FROM documents) GROUP BY 1
     UNION ALL
     SELECT NULL, count(*) FILTER (n_chars <= 9000), count(*) FILTER (n_chars > 9000),
            count(DISTINCT CASE WHEN n_chars > 9000 THEN source END),
-           CASE WHEN count(*) FILTER (n_chars > 9000) > 0 THEN 'failed' ELSE 'ok' END
+           CASE WHEN count(*) FILTER (n_chars > 9000) > 0 THEN 'failed' ELSE 'ok' END, true
     FROM documents
     """,
 )
 def run_report(spark, sf):
     kind = F.when(F.col("n_chars") > 9000, "error").otherwise("good")
-    tagged = table(spark, sf, "documents").select(F.col("source").alias("feed"), kind.alias("kind"))
+    tagged = table(spark, sf, "documents").select(
+        F.nullif("source", F.lit("src3")).alias("feed"), kind.alias("kind"))
     return reports.run_report(tagged)

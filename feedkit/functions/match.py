@@ -64,10 +64,22 @@ def expired_by_suffix(name: Column, days_back: int, as_of: Column | dt.date | st
 
 
 def glob_regex(pattern: Column) -> Column:
-    """A shell-style name pattern (``*``, ``?``, ``[..]``) as an anchored regular expression."""
-    quoted = F.regexp_replace(pattern, r"([\\.^$|+(){}])", r"\\$1")
-    stars = F.replace(F.replace(quoted, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit("."))
-    return F.concat(F.lit("(?s)^"), F.replace(stars, F.lit("[!"), F.lit("[^")), F.lit("$"))
+    """A shell-style name pattern (``*``, ``?``, ``[..]``) as an anchored regular expression.
+
+    A ``[`` without a ``]`` behind it stands for itself, and so do ``[``, ``^`` and ``&`` inside brackets.
+    """
+    # sets: an optional "!", a first character that may be "]", others up to "]"
+    pieces = F.regexp_extract_all(pattern, F.lit(r"(?s)(\[!?[^\]][^\]]*\]|\[!?\][^\]]*\]|.)"), F.lit(1))
+
+    def piece(p):
+        body = F.substring(p, F.lit(2), F.length(p) - 2)
+        negated = F.startswith(body, F.lit("!")) & (F.length(body) > 1)
+        inner = F.regexp_replace(F.when(negated, F.substring(body, F.lit(2), F.length(body))).otherwise(body), r"([\\\[\]^&])", r"\\$1")
+        chosen = F.concat(F.when(negated, "[^").otherwise("["), inner, F.lit("]"))
+        plain = F.regexp_replace(p, r"([\\.^$|+(){}\[\]])", r"\\$1")
+        return F.when(p == "*", ".*").when(p == "?", ".").when(F.length(p) > 2, chosen).otherwise(plain)
+
+    return F.concat(F.lit("(?s)^"), F.array_join(F.transform(pieces, piece), ""), F.lit("$"))
 
 
 def glob_literal_prefix(pattern: Column) -> Column:

@@ -65,6 +65,16 @@ def binary_to_uuid(c: Column) -> Column:
     return F.concat_ws("-", *[F.substring(digits, at, n) for at, n in pieces])
 
 
+def binary_to_text(c: Column, is_id: bool = False) -> Column:
+    """16 bytes as by ``binary_to_uuid``, any other number of bytes as lower-case hex digits, whole; NULL is ``''``.
+
+    ``is_id`` says that every value is an id of 16 bytes.
+    """
+    if is_id:
+        return binary_to_uuid(c)
+    return F.when(F.octet_length(c) == 16, binary_to_uuid(c)).otherwise(F.coalesce(F.lower(F.hex(c)), F.lit("")))
+
+
 def to_latin1(c: Column) -> Column:
     """Every byte of ``c`` as one character, so string functions work byte by byte."""
     return F.decode(c.cast("binary"), "ISO-8859-1")
@@ -146,9 +156,9 @@ def java_quote(literal: str) -> str:
 
 
 def percent_of(a: Column, b: Column) -> Column:
-    """``a`` as a percentage of ``b`` with one decimal; 0 when ``a`` is 0."""
+    """``a`` as a percentage of ``b`` with one decimal; 0 when ``a`` is 0, NULL beyond 17 digits."""
     share = F.try_divide(a.cast("double"), b.cast("double")) * 100
-    return F.when(a == 0, F.lit(0).cast("decimal(5,1)")).otherwise(share.cast("decimal(5,1)"))
+    return F.when(a == 0, F.lit(0).cast("decimal(18,1)")).otherwise(share.try_cast("decimal(18,1)"))
 
 
 # Names for the delimiters a job may ask for by word.

@@ -39,10 +39,14 @@ def project_columns(df: DataFrame, columns: str | Sequence[str | int] | None = N
     return df.select(*[df[f"`{name}`"] for name in names])
 
 
-def _is_uuid(field: T.StructField) -> bool:
+def _is_binary(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.BinaryType)
 
 
+def _is_id(field: T.StructField) -> bool:
+    return bool(field.metadata.get("uuid"))
+
+
 def _loose(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
     kind = field.dataType
@@ -52,8 +56,8 @@ def _loose(field: T.StructField) -> Column:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         first = F.lit("0000-01-01").cast(kind)
         return F.coalesce(F.when(c >= first, c).cast("string"), F.lit(""))
-    if _is_uuid(field):
-        return text.binary_to_uuid(c)
+    if _is_binary(field):
+        return text.binary_to_text(c, _is_id(field))
     if isinstance(kind, T.StringType):
         return text.whitespace_to_space(text.null_to_empty(c))
     return F.coalesce(c.cast("string"), F.lit(""))
@@ -66,8 +70,8 @@ def _strict(field: T.StructField) -> Column:
         cleaned = dates.format_timestamp(c)
     elif isinstance(kind, T.DateType):
         cleaned = dates.format_date(c)
-    elif _is_uuid(field):
-        cleaned = text.binary_to_uuid(c)
+    elif _is_binary(field):
+        cleaned = text.binary_to_text(c, _is_id(field))
     elif isinstance(kind, T.StringType):
         cleaned = text.strict_text(c)
     else:
@@ -80,8 +84,8 @@ def clean_columns(df: DataFrame, style: str = "loose") -> DataFrame:
 
     ``loose`` turns every NULL into ``''`` and control characters into spaces.
     ``strict`` also removes odd byte sequences, cuts timestamps to seconds, and leaves
-    columns that are declared not nullable as they are.  Whether 16 bytes are a UUID is not in a Spark type, so
-    every binary column counts as one.
+    columns that are declared not nullable as they are.  Binary values of 16 bytes become UUID texts, others
+    hex digits; a field with ``{"uuid": True}`` in its metadata holds ids only.
     """
     rule = {"loose": _loose, "strict": _strict}[style]
     return df.select(*[rule(field).alias(field.name) for field in df.schema.fields])

@@ -128,10 +128,9 @@ def externalize_lobs(lines: DataFrame, delimiter: str, limits: Limits, keys: Seq
     split = compute_once(lines, "_fields", text.raw_fields(F.col(column), delimiter))
     swapped = F.transform("_fields", lambda f, i: F.when(i.isin(wanted), reference(i)).otherwise(f))
     rows = split.withColumn(column, F.array_join(swapped, delimiter)).drop("_fields")
-    places = F.explode(F.array(*[F.lit(at) for at in wanted])).alias("field")
-    lobs = split.select(*keys, "_fields", places).select(
-        reference(F.col("field")).alias("lob_id"), *keys, "field",
-        F.get("_fields", F.col("field")).alias("content"),
+    contents = F.array(*[F.struct(F.lit(at).alias("field"), F.get("_fields", F.lit(at)).alias("content")) for at in wanted])
+    lobs = split.select(*keys, F.explode(contents).alias("_c")).select(
+        reference(F.col("_c.field")).alias("lob_id"), *keys, "_c.field", "_c.content",
     )
     return rows, lobs
 
@@ -139,9 +138,16 @@ def externalize_lobs(lines: DataFrame, delimiter: str, limits: Limits, keys: Seq
 def externalize_by_key(df: DataFrame, keys: Sequence[str], lob_columns: Sequence[str],
                        table: str) -> tuple[DataFrame, DataFrame]:
     """Replace declared large columns by ``<table>_<key values>_<column>``; contents go to a
-    side table ``(lob_id, keys..., column, content)``.  ``keys`` must identify a row."""
+    side table ``(lob_id, keys..., column, content)``.  ``keys`` must identify a row.
+
+    ``_`` and the backslash inside a key value get a backslash and a NULL is ``\\N``, so no two keys share a reference.
+    """
+    def part(k):
+        value = F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("_"), F.lit("\\_"))
+        return F.coalesce(value, F.lit("\\N"))
+
     def reference(column):
-        return F.concat_ws("_", F.lit(table), *[F.col(k).cast("string") for k in keys], column)
+        return F.concat_ws("_", F.lit(table), *[part(k) for k in keys], column)
 
     rows = df.withColumns({c: reference(F.lit(c)) for c in lob_columns})
     lobs = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +11,12 @@ from pyspark.sql import types as T
 from feedkit.functions import text
 from feedkit.operators import keys as key_joins
 from feedkit.plans.once import compute_once
+from feedkit.plans.storage import materialize
 
 LINE_KEY = ["file", "block", "line_no"]
 
-# Widest text a load accepts for a number and for a date or time.
-NUMBER_WIDTH = 20
-DATETIME_WIDTH = 30
-
-DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+_DAY = r"[+-]?\d{4,}-\d{2}-\d{2}"
+_TIME = r"[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?"
 
 
 def _problem(field: T.StructField, c: Column, typed: Column) -> Column:
@@ -34,10 +32,28 @@ def _problem(field: T.StructField, c: Column, typed: Column) -> Column:
         return problem if width is None else F.coalesce(
             problem, F.when(F.length(c) > int(width), f"{field.name}: longer than {width}")
         )
-    width = DATETIME_WIDTH if isinstance(kind, DATETIME_TYPES) else NUMBER_WIDTH
-    too_long = F.when(F.length(c) > width, f"{field.name}: longer than {width}")
-    unfit = F.when((c != "") & typed.isNull(), f"{field.name}: not {kind.simpleString()}")
-    return F.coalesce(problem, too_long, unfit)
+    width = field.metadata.get("max_length")
+    if width is not None:
+        problem = F.coalesce(problem, F.when(F.length(c) > int(width), f"{field.name}: longer than {width}"))
+    unfit = F.when((c != "") & (typed.isNull() | ~_well_formed(kind, c)), f"{field.name}: not {kind.simpleString()}")
+    return F.coalesce(problem, unfit)
+
+
+def _well_formed(kind: T.DataType, c: Column) -> Column:
+    """Is the text ``c`` whole, where a cast would fill in, leave out or round something?
+
+    A date has year, month and day.  A timestamp has a time to the second too; a zone only where the type has one.
+    A decimal has no digits but zeros beyond its scale.
+    """
+    if isinstance(kind, T.DateType):
+        return F.rlike(c, F.lit(f"^{_DAY}$"))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.rlike(c, F.lit(f"^{_DAY}{_TIME}$"))
+    if isinstance(kind, T.TimestampType):
+        return F.rlike(c, F.lit(f"^{_DAY}{_TIME}( ?(Z|UTC|[+-]\\d{{2}}:?\\d{{2}}))?$"))
+    if isinstance(kind, T.DecimalType):
+        return ~F.rlike(c, F.lit(rf"\.\d{{{kind.scale}}}\d*[1-9]\d*$"))
+    return F.lit(True)
 
 
 def typed_lines(lines: DataFrame, delimiter: str, schema: T.StructType) -> DataFrame:
@@ -71,50 +87,59 @@ def stage_typed(lines: DataFrame, delimiter: str, schema: T.StructType) -> tuple
     )
 
 
-def unique_violations(staged: DataFrame, keys: Sequence[str],
-                      order: Sequence[str] = LINE_KEY) -> tuple[DataFrame, DataFrame]:
-    """The first row of each key, and the rows of a key that is taken already.
+def numbered(staged: DataFrame, order: Sequence[str], keep: Callable[[DataFrame], DataFrame] = materialize) -> DataFrame:
+    """Rows in the order of ``order`` with ``_id``, a whole number that grows with it.  Runs at once.
 
-    ``order`` must tell all rows apart.  The first of a key is found by an aggregate, and
-    rows are told apart by their order, so a key with very many rows stays spread out.
+    The rows are written in order once (``keep``), so what computes them runs once, and firsts and equals are
+    found by hash aggregates over this one number.
     """
-    marked = mark_first(staged, keys, order)
-    return marked.where("_first").drop("_first"), marked.where("NOT _first").drop("_first")
+    return keep(staged.sort(*order).withColumn("_id", F.monotonically_increasing_id()))
 
 
-def first_rows(staged: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str) -> DataFrame:
-    """The order of the first row of each key as ``_w_0, _w_1, ...``, with a true ``flag``."""
-    if len(order) == 1:
-        winners = staged.groupBy(*keys).agg(F.min(order[0]).alias("_w_0"))
-    else:
-        winners = staged.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_w")).select(
-            *[F.col("_w")[c].alias(f"_w_{i}") for i, c in enumerate(order)]
-        )
-    return winners.select(*[f"_w_{i}" for i in range(len(order))], F.lit(True).alias(flag))
+def first_ids(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_first`` of every key that comes more than once, and the key as ``_k_0, _k_1, ...``."""
+    counts = rows.groupBy(*keys).agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    return counts.select("_first", *[F.col(c).alias(f"_k_{i}") for i, c in enumerate(keys)])
+
+
+def meet_first(rows: DataFrame, firsts: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """Adds ``flag``: is this row the first of its key?  Rows of a key that comes once are."""
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(keys)]
+    met = rows.join(firsts, same, "left")
+    return met.select(*rows.columns, (F.coalesce("_first", "_id") == F.col("_id")).alias(flag))
 
 
-def meet(staged: DataFrame, firsts: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Add the flag of ``first_rows``; rows that are no first have NULL."""
-    same = [F.col(c).eqNullSafe(F.col(f"_w_{i}")) for i, c in enumerate(order)]
-    return staged.join(firsts, same, "left").drop(*[f"_w_{i}" for i in range(len(order))])
+def unique_violations(staged: DataFrame, keys: Sequence[str],
+                      order: Sequence[str] = LINE_KEY) -> tuple[DataFrame, DataFrame]:
+    """The first row of each key, and the rows of a key that is taken already.  Runs at once."""
+    marked = mark_first(staged, keys, order)
+    return marked.where("_first").drop("_first"), marked.where("NOT _first").drop("_first")
 
 
 def mark_first(staged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Adds ``_first``: is this row the first of its key?"""
-    met = meet(staged, first_rows(staged, keys, order, "_won"), order)
-    return met.select(*staged.columns, F.col("_won").isNotNull().alias("_first"))
+    """Adds ``_first``: is this row the first of its key in the order of ``order``?  Runs at once.
+
+    Of rows that ``order`` does not tell apart any one may be first.  A key with very many rows stays spread out: its
+    first row is found by an aggregate that combines before the shuffle.
+    """
+    rows = numbered(staged, order)
+    return meet_first(rows, first_ids(rows, keys), keys, "_is_first").select(
+        *staged.columns, F.col("_is_first").alias("_first"))
 
 
 def duplicate_rows(staged: DataFrame, order: Sequence[str] = LINE_KEY) -> DataFrame:
-    """Distinct rows by everything but ``order``, with the first order and the number of copies."""
+    """Distinct rows by everything but ``order``, with the first order and the number of copies.
+
+    One order column is aggregated as it is; several are numbered first, which runs at once.
+    """
     data = [c for c in staged.columns if c not in order]
     present = [c for c in order if c in staged.columns]
-    aggregates = [F.count("*").alias("copies")]
-    if present:
-        aggregates.insert(0, F.min(F.struct(*present)).alias("_o"))
-    out = staged.groupBy(*data).agg(*aggregates)
-    firsts = [F.col("_o")[c].alias(c) for c in present]
-    return out.select(*firsts, *data, "copies")
+    copies = F.count("*").alias("copies")
+    if len(present) < 2:
+        return staged.groupBy(*data).agg(*[F.min(c).alias(c) for c in present], copies).select(*present, *data, "copies")
+    rows = numbered(staged, present)
+    counts = rows.groupBy(*data).agg(F.min("_id").alias("_first"), copies).select("_first", "copies")
+    return rows.join(counts, F.col("_id") == F.col("_first")).select(*present, *data, "copies")
 
 
 def upsert_by_key(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -125,50 +150,105 @@ def upsert_by_key(target: DataFrame, staged: DataFrame, keys: Sequence[str]) ->
 def full_refresh_swap(spark: SparkSession, table: str, staged: DataFrame, stamp: str) -> None:
     """Write the rows next to the table, then rename them into its place.  Runs at once.
 
-    If the second rename fails the old rows are still there as ``<table>_bak_<stamp>``.
+    A table that is there already hands its format, partitioning, comments and properties on, and takes columns by
+    name.  If the second rename fails the old rows are still there as ``<table>_bak_<stamp>``.
     """
     tmp, backup = f"{table}_tmp", f"{table}_bak_{stamp}"
-    staged.write.mode("overwrite").saveAsTable(tmp)
-    if spark.catalog.tableExists(table):
+    there = spark.catalog.tableExists(table)
+    if there and sorted(spark.table(table).columns) == sorted(staged.columns):
+        spark.sql(f"DROP TABLE IF EXISTS {tmp}")
+        spark.sql(f"CREATE TABLE {tmp} LIKE {table}")
+        kept = [r for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if not r["key"].startswith(("transient", "numFiles", "totalSize"))]
+        if kept:
+            pairs = ", ".join(f"{_quoted(r['key'])} = {_quoted(r['value'])}" for r in kept)
+            spark.sql(f"ALTER TABLE {tmp} SET TBLPROPERTIES ({pairs})")
+        _insert(staged, tmp)
+    else:
+        staged.write.mode("overwrite").saveAsTable(tmp)
+    if there:
         spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
     spark.sql(f"ALTER TABLE {tmp} RENAME TO {table}")
     spark.sql(f"DROP TABLE IF EXISTS {backup}")
 
 
+def _quoted(text_: str) -> str:
+    return "'" + text_.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _insert(rows: DataFrame, table: str) -> None:
+    """Replace the partitions that ``rows`` has, or all rows of a table without partitions."""
+    spark = rows.sparkSession
+    names = spark.table(table).columns
+    rows.select(*names).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
 def full_refresh_rewrite(table: str, staged: DataFrame) -> None:
     """Replace all rows of a table, columns by position.  Runs at once."""
     staged.write.insertInto(table, overwrite=True)
 
 
-def publish_upsert(spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str], stamp: str) -> None:
-    """Upsert into a table that Spark cannot change in place: rewrite and swap.  Runs at once."""
-    full_refresh_swap(spark, table, upsert_by_key(spark.table(table), staged, keys), stamp)
+def publish_upsert(spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str], stamp: str,
+                   keep: Callable[[DataFrame], DataFrame] = materialize) -> None:
+    """Upsert into a table that Spark cannot change in place.  Runs at once.
+
+    Of a partitioned table only those partitions are written anew that lose or gain rows; a partition that would
+    be left empty needs the whole table to be rewritten, as a table without partitions always is.
+    """
+    target = spark.table(table)
+    parts = partition_columns(spark, table)
+    if not parts:
+        full_refresh_swap(spark, table, upsert_by_key(target, staged, keys), stamp)
+        return
+    lost = key_joins.rows_to_replace(target, staged, keys).select(*parts)
+    touched = keep(lost.union(staged.select(*parts)).distinct())
+    whole = keep(upsert_by_key(key_joins.semi(target, touched, parts, nulls=True), staged, keys))
+    if key_joins.anti(touched, whole, parts, nulls=True).isEmpty():
+        _insert(whole, table)
+    else:
+        full_refresh_swap(spark, table, upsert_by_key(target, staged, keys), stamp)
 
 
 def lob_load(normal: DataFrame, over: DataFrame, lobs: DataFrame, lob_columns: Sequence[str]) -> DataFrame:
-    """Rows of normal length, and over-length rows with their contents looked up by reference."""
-    for c in lob_columns:
-        content = lobs.select(F.col("lob_id").alias(c), F.col("content").alias("_content"))
-        over = over.join(content, c, "left").withColumn(c, F.col("_content")).drop("_content")
-    return normal.unionByName(over, allowMissingColumns=True)
+    """Rows of normal length, and over-length rows with their contents looked up.
+
+    ``lobs`` is the side table of ``externalize_by_key``: its key columns identify a row, so all
+    contents of a row meet it in one join.  A row whose content is missing raises when it is read.
+    """
+    names = [c for c in lobs.columns if c not in ("lob_id", "column", "field", "content")]
+    place = "column" if "column" in lobs.columns else "field"
+    found = []
+    for i, c in enumerate(lob_columns):
+        mine = F.when(F.col(place) == c, F.struct("lob_id", "content"))
+        found.append(F.max(mine).alias(f"_c_{i}"))
+    contents = lobs.groupBy(*names).agg(*found).select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(names)], *[f"_c_{i}" for i in range(len(lob_columns))])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{i}")) for i, k in enumerate(names)]
+    met = over.join(contents, same, "left")
+    for i, c in enumerate(lob_columns):
+        lost = F.raise_error(F.concat(F.lit("no content for "), F.col(c))).cast("string")
+        met = met.withColumn(c, F.when(F.col(f"_c_{i}.lob_id") == F.col(c), F.col(f"_c_{i}.content")).otherwise(lost))
+    return normal.unionByName(met.select(*over.columns), allowMissingColumns=True)
 
 
 KINDS = {"applied": "good", "et": "et", "uv": "uv", "duplicates": "duplicate"}
 
 
-def load_metrics(tagged: DataFrame, deleted: DataFrame | None = None, kind: str = "kind") -> DataFrame:
-    """One row of counts over rows tagged good, et, uv or duplicate, and deleted target rows.
+def load_metrics(tagged: DataFrame, deleted: DataFrame | int | None = None, kind: str = "kind") -> DataFrame:
+    """One row of counts over rows tagged good, et, uv or duplicate, and deleted target rows (or their number).
 
     ``status`` is ``failed`` when anything was rejected, although the good rows count as applied.
     """
     rows = tagged.select(F.col(kind).alias("k"))
-    if deleted is not None:
+    if isinstance(deleted, DataFrame):
         rows = rows.unionAll(deleted.select(F.lit("deleted").alias("k")))
     k = F.col("k")
     counted = rows.agg(
         F.count_if(k != "deleted").alias("rows_read"),
         *[F.count_if(k == tag).alias(name) for name, tag in KINDS.items()],
-        F.count_if(k == "deleted").alias("deleted"),
+        (F.lit(deleted).cast("long") if isinstance(deleted, int) else F.count_if(k == "deleted")).alias("deleted"),
     )
     return counted.withColumn("status", F.when(F.col("et") + F.col("uv") > 0, "failed").otherwise("ok"))
 
@@ -176,14 +256,14 @@ def load_metrics(tagged: DataFrame, deleted: DataFrame | None = None, kind: str
 def reject_snapshot(spark: SparkSession, rejects: Mapping[str, DataFrame | None], table: str, stamp: str) -> list[str]:
     """Keep each set of rejects as ``<table>_tmp_<kind>_<stamp>``.  Runs at once.
 
-    A set that is not there is no error.  Returns the table names.
+    A set that is not there is no error; a set of the same stamp is replaced.  Returns the table names.
     """
     made = []
     for kind, rows in rejects.items():
         if rows is None:
             continue
         name = f"{table}_tmp_{kind}_{stamp}"
-        rows.write.saveAsTable(name)
+        rows.write.mode("overwrite").saveAsTable(name)
         made.append(name)
     return made
 

@@ -24,8 +24,9 @@ def skew_report(df: DataFrame, group: Sequence[str], size: str) -> DataFrame:
 
 
 def size_report(df: DataFrame, key: str, size: str) -> DataFrame:
-    """Size per key, and one row with a NULL key for the total."""
-    return df.rollup(key).agg(F.sum(size).alias("size")).orderBy(F.asc_nulls_last(key))
+    """Size per key, and one row for the total, told from that of a NULL key by ``is_total``."""
+    sums = df.rollup(key).agg(F.sum(size).alias("size"), (F.grouping(key) == 1).alias("is_total"))
+    return sums.orderBy("is_total", F.asc_nulls_last(key))
 
 
 def usage_report(df: DataFrame, key: str, current: str, maximum: str, peak: str) -> DataFrame:
@@ -34,7 +35,7 @@ def usage_report(df: DataFrame, key: str, current: str, maximum: str, peak: str)
         F.sum(current).alias("sum_current"), F.sum(maximum).alias("sum_max"), F.sum(peak).alias("sum_peak")
     )
     used = sums.withColumn("usage", text.percent_of(F.col("sum_current"), F.col("sum_max")))
-    groups = df.select(key).distinct().agg(F.count("*").alias("groups"))
+    groups = sums.agg(F.count("*").alias("groups"))
     return used.withColumn("groups", groups.scalar())
 
 
@@ -65,21 +66,25 @@ def ordered_list_agg(df: DataFrame, group: Sequence[str], position: str, value:
 
 
 def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: place, type, rows, NULLs, distinct values, smallest and largest as text."""
+    """Per column: place, type, rows, NULLs, distinct values, smallest and largest as text.
+
+    Every named column has a row, of an empty table too.  Maps have no order and so no smallest and largest.
+    """
     names = list(columns or df.columns)
     fields = {f.name: f for f in df.schema.fields}
-    plain = [c for c in names if not isinstance(fields[c].dataType, (T.ArrayType, T.MapType))]
     aggregates = []
-    for c in plain:
-        aggregates += [F.min(c).cast("string").alias(f"min_{c}"), F.max(c).cast("string").alias(f"max_{c}")]
+    for c in names:
+        for name, pick in (("min", F.min), ("max", F.max)):
+            bound = F.lit(None) if _holds_map(fields[c].dataType) else pick(c)
+            aggregates.append(bound.cast("string").alias(f"{name}_{c}"))
     bounds = df.agg(*aggregates).select(F.explode(F.array(*[
         F.struct(
             F.lit(names.index(c) + 1).alias("ordinal"), F.lit(c).alias("column"),
             F.lit(fields[c].dataType.simpleString()).alias("type"),
             F.col(f"min_{c}").alias("low"), F.col(f"max_{c}").alias("high"),
-        ) for c in plain
+        ) for c in names
     ])).alias("b")).select("b.*")
-    values = df.select(*[F.col(c).cast("string").alias(c) for c in plain]).unpivot([], plain, "column", "v")
+    values = df.select(*[F.col(c).cast("string").alias(c) for c in names]).unpivot([], names, "column", "v")
     counts = (
         values.groupBy("column", "v").agg(F.count("*").alias("n"))
         .groupBy("column").agg(
@@ -87,9 +92,14 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
             F.count("v").alias("distinct_values"),
         )
     )
-    return bounds.join(counts, "column").select(
-        "ordinal", "column", "type", "rows", "nulls", "distinct_values", "low", "high"
-    )
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "nulls", "distinct_values")]
+    return bounds.join(counts, "column", "left").select("ordinal", "column", "type", *zero, "low", "high")
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _holds_map(kind.elementType)
 
 
 def analyze_columns(spark: SparkSession, table: str, columns: Sequence[str]) -> None:
@@ -99,12 +109,12 @@ def analyze_columns(spark: SparkSession, table: str, columns: Sequence[str]) ->
 
 
 def run_report(tagged: DataFrame, feed: str = "feed", kind: str = "kind") -> DataFrame:
-    """One row per feed and one with a NULL feed for the whole run: good rows, error rows,
+    """One row per feed and one for the whole run (``is_total``): good rows, error rows,
     failed feeds and a status.  A failed feed fails the run but not the other feeds."""
     per_feed = tagged.groupBy(feed).agg(
         F.count_if(F.col(kind) == "good").alias("good"), F.count_if(F.col(kind) == "error").alias("error")
     )
     return per_feed.rollup(feed).agg(
         F.sum("good").alias("good"), F.sum("error").alias("error"),
-        F.count_if(F.col("error") > 0).alias("failed"),
+        F.count_if(F.col("error") > 0).alias("failed"), (F.grouping(feed) == 1).alias("is_total"),
     ).withColumn("status", F.when(F.col("failed") > 0, "failed").otherwise("ok"))

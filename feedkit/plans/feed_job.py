@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +63,7 @@ def transform_chain(lines: DataFrame, names: Sequence[str | Step], spec: FeedSpe
     files, since they are read more than once; by default they are checkpointed, so these
     passes run at once.
     """
+    spec = replace(spec, delimiter=text.delimiter_of(spec.delimiter))
     built_in = steps_of(spec)
     if "block" not in lines.columns:
         lines = lines.withColumn("block", F.lit(0).cast("bigint"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,48 +20,58 @@ class LoadSpec:
     """What one table's load takes."""
 
     schema: T.StructType
-    keys: Sequence[str]
+    keys: Sequence[str] = ()
     delimiter: str = text.DEFAULT_DELIMITER
     mode: str = "upsert"
+    candidates: Sequence[Sequence[str]] = ()
 
 
 def tag_rows(lines: DataFrame, spec: LoadSpec) -> DataFrame:
-    """All lines, typed and tagged: ``kind`` is good, et, uv or duplicate.
+    """All lines, typed and tagged: ``kind`` is good, et, uv or duplicate.  Runs at once.
 
-    A row equal to an earlier one is a duplicate; another row with a key that is taken
-    violates uniqueness.  The first row of a key is also the first of its equals, so both
-    firsts are found apart, and rows meet them by their place in the input.
+    A row equal to an earlier one is a duplicate; another row with a key that is taken violates uniqueness.  Lines
+    are parsed once, into a table in the order of the input.  Keys are counted by a hash aggregate; only rows of
+    keys that come again are looked at for equals.
     """
     order = load.LINE_KEY
-    names = spec.schema.fieldNames()
-    typed = load.typed_lines(lines, text.delimiter_of(spec.delimiter), spec.schema)
-    staged = typed.where("reason IS NULL")
-    firsts = load.first_rows(staged, names, order, "_first_row")
-    keyed = load.first_rows(staged, spec.keys, order, "_first_key")
+    names, key = spec.schema.fieldNames(), list(spec.keys)
+    rows = load.numbered(load.typed_lines(lines, text.delimiter_of(spec.delimiter), spec.schema), order)
+    fits = rows.where("reason IS NULL")
+    again = load.first_ids(fits, key)
+    keyed = load.meet_first(rows, again, key, "_key_first")
+    repeats = key_joins.semi(fits, again.select(*[F.col(f"_k_{i}").alias(c) for i, c in enumerate(key)]), key, nulls=True)
+    equal = load.first_ids(repeats, names)
+    met = load.meet_first(keyed, equal, names, "_row_first")
     kind = (
-        F.when(F.col("reason").isNotNull(), "et").when(F.col("_first_row").isNull(), "duplicate")
-        .when(F.col("_first_key").isNull(), "uv").otherwise("good")
-    )
-    return load.meet(load.meet(typed, firsts, order), keyed, order).select(
-        *order, *names, "reason", "value", kind.alias("kind")
+        F.when(F.col("reason").isNotNull(), "et").when(~F.col("_row_first"), "duplicate")
+        .when(~F.col("_key_first"), "uv").otherwise("good")
     )
+    return met.select(*order, *names, "reason", "value", kind.alias("kind"))
 
 
 def load_table(spark: SparkSession, table: str, lines: DataFrame, spec: LoadSpec, stamp: str) -> DataFrame:
-    """Load lines into a catalog table, keep the rejects, return the metrics.  Runs at once."""
+    """Load lines into a catalog table, keep the rejects, return the metrics.  Runs at once.
+
+    Rejects are kept before the table changes, and a second try of the same stamp replaces them.  Without ``keys``
+    the first of ``candidates`` that is a key of the good rows is taken.
+    """
+    if spec.mode == "full":
+        load.assert_single_batch(lines)
+    if not spec.keys:
+        fits = load.typed_lines(lines, text.delimiter_of(spec.delimiter), spec.schema).where("reason IS NULL")
+        spec = replace(spec, keys=load.discover_key(fits.select(*spec.schema.fieldNames()).distinct(), spec.candidates))
     tagged = materialize(tag_rows(lines, spec))
     names = spec.schema.fieldNames()
     good = tagged.where("kind = 'good'").select(*names)
-    deleted = None
-    if spec.mode == "full":
-        load.assert_single_batch(lines)
-        load.full_refresh_swap(spark, table, good, stamp)
-    else:
-        deleted = materialize(key_joins.rows_to_replace(spark.table(table), good, spec.keys))
-        load.publish_upsert(spark, table, good, spec.keys, stamp)
     rejects = {
         "et": tagged.where("kind = 'et'").select(*load.LINE_KEY, "value", "reason"),
         "uv": tagged.where("kind = 'uv'").select(*load.LINE_KEY, *names),
     }
     load.reject_snapshot(spark, rejects, table, stamp)
+    deleted = 0
+    if spec.mode == "full":
+        load.full_refresh_swap(spark, table, good, stamp)
+    else:
+        deleted = key_joins.rows_to_replace(spark.table(table), good, spec.keys).count()
+        load.publish_upsert(spark, table, good, spec.keys, stamp)
     return load.load_metrics(tagged, deleted)
