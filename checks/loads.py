@@ -236,18 +236,27 @@ def missing_feeds(spark, sf):
     "missing_feeds_by_pattern",
     """
     WITH e AS (SELECT DISTINCT c_nationkey || '.' || c_mktsegment AS section,
-                      'N' || c_nationkey || '_' || c_mktsegment || '_*[0-6]7.csv' AS pattern FROM customer),
+                      CASE WHEN c_nationkey % 4 = 1 THEN '*' ELSE '' END || 'N' || c_nationkey || '_' || c_mktsegment || '_*[0-6]7.csv'
+                      || CASE WHEN c_nationkey % 4 = 2 THEN '*' ELSE '' END AS pattern FROM customer
+               UNION ALL SELECT 'open' || c_nationkey, 'N' || c_nationkey || '[_*' FROM customer GROUP BY c_nationkey
+               UNION ALL SELECT 'any' || c_nationkey, '*N' || c_nationkey || '_*_1*' FROM customer GROUP BY c_nationkey),
          p AS (SELECT 'N' || c_nationkey || '_' || c_mktsegment || '_' || c_custkey || '.csv' AS name FROM customer)
-    SELECT section, pattern FROM e WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.name GLOB e.pattern)
+    SELECT section, pattern FROM e WHERE section LIKE 'open%' OR NOT EXISTS (SELECT 1 FROM p WHERE p.name GLOB e.pattern)
     """,
 )
 def missing_feeds_by_pattern(spark, sf):
     customers = table(spark, sf, "customer")
     stem = F.concat(F.lit("N"), "c_nationkey", F.lit("_"), "c_mktsegment", F.lit("_"))
+    kind = F.col("c_nationkey") % 4
     expected = customers.select(
         F.concat_ws(".", "c_nationkey", "c_mktsegment").alias("section"),
-        F.concat(stem, F.lit("*[0-6]7.csv")).alias("pattern"),
+        F.concat(F.when(kind == 1, "*").otherwise(""), stem, F.lit("*[0-6]7.csv"), F.when(kind == 2, "*").otherwise("")).alias("pattern"),
     ).distinct()
+    # a bracket that is never closed, and patterns with wildcards at both ends
+    nation = customers.select("c_nationkey").distinct()
+    for label, before, after in (("open", "N", "[_*"), ("any", "*N", "_*_1*")):
+        expected = expected.unionAll(nation.select(
+            F.concat(F.lit(label), "c_nationkey"), F.concat(F.lit(before), "c_nationkey", F.lit(after))))
     present = customers.select(F.concat(stem, "c_custkey", F.lit(".csv")).alias("name"))
     return keys.missing_feeds_by_pattern(expected, present)
 

@@ -69,7 +69,7 @@ def glob_regex(pattern: Column) -> Column:
     A ``[`` without a ``]`` behind it stands for itself, and so do ``[``, ``^`` and ``&`` inside brackets.
     """
     # sets: an optional "!", a first character that may be "]", others up to "]"
-    pieces = F.regexp_extract_all(pattern, F.lit(r"(?s)(\[!?[^\]][^\]]*\]|\[!?\][^\]]*\]|.)"), F.lit(1))
+    pieces = F.regexp_extract_all(pattern, F.lit(r"(?s)(\[!?\][^\]]*\]|\[!?[^\]!][^\]]*\]|\[![^\]]+\]|.)"), F.lit(1))
 
     def piece(p):
         body = F.substring(p, F.lit(2), F.length(p) - 2)
@@ -85,3 +85,8 @@ def glob_regex(pattern: Column) -> Column:
 def glob_literal_prefix(pattern: Column) -> Column:
     """The part of a name pattern before its first wildcard."""
     return F.regexp_extract(pattern, r"^([^*?\[]*)", 1)
+
+
+def glob_literal_suffix(pattern: Column) -> Column:
+    """The part of a name pattern behind its last wildcard."""
+    return F.regexp_extract(pattern, r"([^*?\[\]]*)$", 1)

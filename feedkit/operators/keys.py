@@ -131,17 +131,25 @@ def missing_feeds_by_pattern(expected: DataFrame, present: DataFrame, pattern: s
     """Expected rows whose name pattern (``*``, ``?``, ``[..]``; several after commas) no
     present name matches.
 
-    The literal start of a pattern is an equi-join key: a name is offered under those of
-    its own beginnings that some pattern starts with, then tested against that pattern.
+    A pattern's literal start is an equi-join key, or its literal end if it has no start: a name is offered under
+    those of its own beginnings and ends that some pattern has, then tested against that pattern.  Patterns with
+    neither meet the names in ``SPREAD`` shares, so no key holds all names.
     """
-    single = expected.select(F.col(pattern).alias("_p"), F.explode(F.split(pattern, ",", -1)).alias("_glob"))
-    patterns = single.withColumn("_start", match.glob_literal_prefix(F.col("_glob"))).distinct()
-    names = present.select(F.col(name).alias("_n")).distinct()
-    lengths = F.explode(F.sequence(F.lit(0), F.length("_n")))
-    starts = names.select("_n", lengths.alias("_k")).select("_n", F.substring("_n", F.lit(1), F.col("_k")).alias("_start"))
-    offered = semi(starts, patterns, ["_start"])
+    single = expected.select(F.col(pattern).alias("_p"), F.explode(F.split(pattern, ",", -1)).alias("_glob")).distinct()
+    start, end = match.glob_literal_prefix(F.col("_glob")), match.glob_literal_suffix(F.col("_glob"))
+    shares = F.transform(F.sequence(F.lit(0), F.lit(SPREAD - 1)), lambda k: F.concat(F.lit("any:"), k.cast("string")))
+    marks = F.when(start != "", F.array(F.concat(F.lit("start:"), start)))
+    marks = marks.when(end != "", F.array(F.concat(F.lit("end:"), end))).otherwise(shares)
+    patterns = single.select("_p", "_glob", F.explode(marks).alias("_mark"))
+    names = present.select(F.col(name).alias("_n")).where(F.col("_n").isNotNull()).distinct()
+    lengths = F.when(F.length("_n") > 0, F.sequence(F.lit(1), F.length("_n"))).otherwise(F.array().cast("array<int>"))
+    share = F.concat(F.lit("any:"), F.pmod(F.xxhash64("_n"), F.lit(SPREAD)).cast("string"))
+    offers = F.concat(
+        F.transform(lengths, lambda k: F.concat(F.lit("start:"), F.substring(F.col("_n"), F.lit(1), k))),
+        F.transform(lengths, lambda k: F.concat(F.lit("end:"), F.right(F.col("_n"), k))), F.array(share))
+    offered = semi(names.select("_n", F.explode(offers).alias("_mark")), patterns, ["_mark"])
     found = (
-        offered.join(patterns, "_start")
+        offered.join(patterns, "_mark")
         .where(F.rlike("_n", match.glob_regex(F.col("_glob"))))
         .select(F.col("_p").alias(pattern))
     )

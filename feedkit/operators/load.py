@@ -178,8 +178,14 @@ def _quoted(text_: str) -> str:
 def _insert(rows: DataFrame, table: str) -> None:
     """Replace the partitions that ``rows`` has, or all rows of a table without partitions."""
     spark = rows.sparkSession
-    names = spark.table(table).columns
-    rows.select(*names).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    # the session's setting is the one that an insert obeys
+    spark.conf.set(setting, "dynamic")
+    try:
+        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
