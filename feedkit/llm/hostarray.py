@@ -195,33 +195,28 @@ def _assemble(names: list[str]):
 
     def run(batches):
         for batch in batches:
-            kinds, texts = batch.column(at["kinds"]).to_pylist(), batch.column(at["texts"]).to_pylist()
-            covered = batch.column(at["covered"])
-            made, repeated = [], []
-            for row in range(batch.num_rows):
-                gone = covered[row].as_py() or []
-                repeated.append(len(gone))
-                out = texts[row]
-                if gone and htmlblocks.OPEN in kinds[row]:
-                    out = unique_runs(kinds[row], texts[row], batch.column(at["places"])[row].as_py(), set(gone))
+            made, removed = [], []
+            for kinds, texts, places, gone in zip(*(batch.column(at[c]).to_pylist() for c in ("kinds", "texts", "places", "covered"))):
+                out = unique_runs(kinds, texts, places, set(gone)) if gone else texts
                 made.append("\n".join(out))
+                removed.append(sum(t.count(" ") + 1 for t in texts) - sum(t.count(" ") + 1 for t in out))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(at["page_id"]), batch.column(at["url"]), pa.array(made, pa.string()), pa.array(repeated, pa.int64())],
-                ["page_id", "url", "text", "n_repeated"])
+                [batch.column(at["page_id"]), batch.column(at["url"]), pa.array(made, pa.string()), pa.array(removed, pa.int64())],
+                ["page_id", "url", "text", "n_removed"])
 
     return run
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_repeated) for every row of ``pages(page_id, url, html)``.  Runs at once.
+    """(page_id, url, text, n_removed) for every row of ``pages(page_id, url, html)``.  Runs at once.
 
     ``text``: blocks of the main text in page order, one line each, character references decoded.  Where the markup
     names the main text (article, main) its blocks are it, but for navigation, forms, notices and the like inside.
     On other pages the blocks that markup does not name as something else are taken, without the words inside
     substrings of ``LENGTH`` or more words that ``PAGES`` or more distinct pages of the host repeat; unique runs stay.
 
-    The suffix arrays run over all text outside marked main text, of every page; ``n_repeated`` is the number of its
-    words that the host repeats.  Pages whose streams are equal count as one.  A null html is empty; pages
+    The suffix arrays run over all text outside marked main text, of every page; ``n_removed`` is the number of words
+    that they take from the page.  Pages whose streams are equal count as one.  A null html is empty; pages
     whose url is null or names no host form a host of their own.  Every row stays, also repeated ones.
     """
     spark = pages.sparkSession
@@ -233,5 +228,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     named = {"s1": F.xxhash64("host", "tokens"), "s2": F.xxhash64(F.lit(1), "tokens", "host")}
     parsed = scratch.write(rows.mapInArrow(_parse(rows.columns), schema).withColumns(named))
     on = (F.col("s1") == F.col("of1")) & (F.col("s2") == F.col("of2"))
-    joined = parsed.drop("tokens", "host").join(covered_tokens(parsed), on, "left")
-    return joined.mapInArrow(_assemble(joined.columns), f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_repeated long")
+    out = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_removed long"
+    # only texts of pages that leave something open meet the suffix arrays' result
+    undecided = F.array_contains("kinds", F.lit(htmlblocks.OPEN).cast("byte"))
+    joined = parsed.where(undecided).drop("tokens", "host").join(covered_tokens(parsed), on, "left")
+    joined = joined.select("page_id", "url", "kinds", "texts", "places", "covered").mapInArrow(_assemble(["page_id", "url", "kinds", "texts", "places", "covered"]), out)
+    decided = parsed.where(~undecided).select("page_id", "url", F.array_join("texts", "\n").alias("text"), F.lit(0).cast("long").alias("n_removed"))
+    return decided.unionAll(joined)

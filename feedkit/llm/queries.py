@@ -162,7 +162,7 @@ def op5_top_k(spark, sf):
 @query("op3_html_text")
 def op3_html_text(spark, sf):
     found = hostarray.main_text(table(spark, sf, "pages"))
-    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_removed")
 
 
 @query("op9_lm_score")
