@@ -61,6 +61,11 @@ def load_table(spark: SparkSession, table: str, lines: DataFrame, spec: LoadSpec
         fits = load.typed_lines(lines, text.delimiter_of(spec.delimiter), spec.schema).where("reason IS NULL")
         spec = replace(spec, keys=load.discover_key(fits.select(*spec.schema.fieldNames()).distinct(), spec.candidates))
     tagged = materialize(tag_rows(lines, spec))
+    return load.load_metrics(tagged, load_tagged(spark, table, tagged, spec, stamp))
+
+
+def load_tagged(spark: SparkSession, table: str, tagged: DataFrame, spec: LoadSpec, stamp: str) -> int:
+    """Keep the rejects of tagged rows, put the good ones into the table, return how many rows they replaced.  Runs at once."""
     names = spec.schema.fieldNames()
     good = tagged.where("kind = 'good'").select(*names)
     rejects = {
@@ -68,10 +73,9 @@ def load_table(spark: SparkSession, table: str, lines: DataFrame, spec: LoadSpec
         "uv": tagged.where("kind = 'uv'").select(*load.LINE_KEY, *names),
     }
     load.reject_snapshot(spark, rejects, table, stamp)
-    deleted = 0
     if spec.mode == "full":
         load.full_refresh_swap(spark, table, good, stamp)
-    else:
-        deleted = key_joins.rows_to_replace(spark.table(table), good, spec.keys).count()
-        load.publish_upsert(spark, table, good, spec.keys, stamp)
-    return load.load_metrics(tagged, deleted)
+        return 0
+    deleted = key_joins.rows_to_replace(spark.table(table), good, spec.keys).count()
+    load.publish_upsert(spark, table, good, spec.keys, stamp)
+    return deleted

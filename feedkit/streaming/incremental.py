@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedkit.operators import load
+from feedkit.plans.load_job import LoadSpec, load_tagged, tag_rows
+from feedkit.plans.storage import materialize
 
 
 def incremental_load(spark: SparkSession, directory: str, load_batch: Callable[[DataFrame, int], None],
@@ -54,3 +56,20 @@ def file_status(typed: DataFrame) -> DataFrame:
         F.count("*").alias("lines"), F.count("reason").alias("rejects"),
         (F.count("reason") == 0).alias("clean"),
     )
+
+
+def load_batches(spark: SparkSession, table: str, spec: LoadSpec, status: str) -> Callable[[DataFrame, int], None]:
+    """A ``load_batch`` that loads into a catalog table and says what became of each file.
+
+    Rows are checked for uniqueness and upserted as by ``load_table``, under the batch id as stamp, so a batch that
+    is offered again gives the same table and the same rejects.  ``<status>/batch=<id>`` gets one row per file: its lines,
+    rejects, and whether it may go (``clean``) or must stay.
+    """
+
+    def write(lines, batch_id):
+        tagged = materialize(tag_rows(lines, spec))
+        load_tagged(spark, table, tagged, spec, f"batch_{batch_id}")
+        refused = tagged.withColumn("reason", F.when(F.col("kind") == "uv", "key is taken").otherwise(F.col("reason")))
+        file_status(refused).write.mode("overwrite").parquet(f"{status}/batch={batch_id}")
+
+    return write

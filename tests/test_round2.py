@@ -10,8 +10,9 @@ from feedkit.functions import match, text
 from feedkit.operators import bytecut, extract, feed, keys, load, reports
 from feedkit.plans.feed_job import FeedSpec, transform_chain
 from feedkit.plans.load_job import LoadSpec, load_table
-from feedkit.plans.storage import scratch_database
+from feedkit.plans.storage import scratch_database, scratch_path
 from feedkit.sources import lines as src
+from feedkit.streaming import incremental
 
 
 def feed_lines(spark, values, file="f.txt"):
@@ -163,3 +164,15 @@ def test_firsts_need_no_sort_aggregate(spark):
 def test_transform_jobs_take_delimiters_by_word(spark):
     out = transform_chain(feed_lines(spark, ["1\tabc", "2\td"]), ["truncate_columns"], FeedSpec(delimiter="tab", limits={1: 2}))
     assert sorted((r["kind"], r["value"]) for r in out.collect()) == [("good", "1\tab"), ("good", "2\td")]
+
+
+def test_files_end_with_a_status(spark):
+    table, inbox, ledger, status = f"{scratch_database(spark)}.goods", *(scratch_path(spark, x) for x in ("inbox", "ledger", "status"))
+    spark.createDataFrame([(1, "old", "x")], SCHEMA).write.saveAsTable(table)
+    batch = incremental.load_batches(spark, table, LoadSpec(SCHEMA, ["id"], ","), status)
+    for values in (["1,a,x", "2,b,x"], ["3,c,y", "bad", "3,d,y", "3,c,y"]):
+        spark.createDataFrame([(v,) for v in values], "value string").coalesce(1).write.mode("append").text(inbox)
+        incremental.incremental_load(spark, inbox, batch, ledger)
+    assert sorted(map(tuple, spark.table(table).collect())) == [(1, "a", "x"), (2, "b", "x"), (3, "c", "y")]
+    ends = spark.read.parquet(status).select("lines", "rejects", "clean").collect()
+    assert sorted(map(tuple, ends)) == [(2, 0, True), (4, 2, False)]
