@@ -13,8 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that one piece holds (a single longer text excepted), and that one hashing window holds.
-PIECE_BYTES = 2 << 20
-WINDOW_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+WINDOW_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
