@@ -27,7 +27,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with ``ids``, their tokens, and ``decoded``, what these say."""
     vocabulary = bpe.WordBpe(public_tokenizers.path("word_bpe_49k.json"))
-    return bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    return bpe.encode_and_decode(docs, vocabulary)
 
 
 STAGES = [

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.llm import words
+from feedkit.llm.stored import small_batches
 
 # Words that a task remembers before it starts a new memory.
 MEMORY_WORDS = 200_000
@@ -228,7 +229,7 @@ def encode(docs: DataFrame, bpe: WordBpe, column: str = "text") -> DataFrame:
     if "ids" in docs.columns:
         raise ValueError("column ids is taken")
     schema = docs.select("*", F.array().cast("array<int>").alias("ids")).schema
-    return docs.mapInArrow(_encode(bpe, docs.columns, column), schema)
+    return small_batches(docs).mapInArrow(_encode(bpe, docs.columns, column), schema)
 
 
 def _decode(tokens: list[str], names: list[str], column: str):
@@ -256,7 +257,17 @@ def decode(encoded: DataFrame, bpe: WordBpe, column: str = "ids") -> DataFrame:
     if "decoded" in encoded.columns:
         raise ValueError("column decoded is taken")
     schema = encoded.select("*", F.lit("").alias("decoded")).schema
-    return encoded.mapInArrow(_decode(bpe.tokens, encoded.columns, column), schema)
+    return small_batches(encoded).mapInArrow(_decode(bpe.tokens, encoded.columns, column), schema)
+
+
+def encode_and_decode(docs: DataFrame, bpe: WordBpe, column: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``: both steps in one pass of one Python worker, piece by piece."""
+    taken = {"ids", "decoded"} & set(docs.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are taken")
+    schema = docs.select("*", F.array().cast("array<int>").alias("ids"), F.lit("").alias("decoded")).schema
+    there, back = _encode(bpe, docs.columns, column), _decode(bpe.tokens, [*docs.columns, "ids"], "ids")
+    return small_batches(docs).mapInArrow(lambda batches: back(there(batches)), schema)
 
 
 def plain_text(decoded: str) -> str:

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from feedkit.llm import words
 from feedkit.llm.fmindex import FMIndex
+from feedkit.llm.stored import small_batches
 
 WINDOW = 10
 # Bytes of benchmark text that one pass over the documents takes to the tasks.
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 class Phrases:
@@ -178,7 +179,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     })
     for block in _blocks(items, block_bytes):
         phrases = Phrases([r[1] for r in block], window)
-        out = out.mapInArrow(_scan(phrases, [r[0] for r in block], out.columns), out.schema)
+        out = small_batches(out).mapInArrow(_scan(phrases, [r[0] for r in block], out.columns), out.schema)
     return out.withColumn("found", F.array_sort(F.array_distinct("found")))
 
 
@@ -207,7 +208,7 @@ def _without(schema_names: list[str]):
 
 def remove_spans(found: DataFrame) -> DataFrame:
     """The documents of ``contaminated_words`` with the merged hit ranges cut out of their texts."""
-    return found.mapInArrow(_without(found.columns), found.schema).drop("n_words", "hits", "found")
+    return small_batches(found).mapInArrow(_without(found.columns), found.schema).drop("n_words", "hits", "found")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

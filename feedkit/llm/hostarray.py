@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.llm import htmlblocks, words
-from feedkit.llm.stored import Scratch
+from feedkit.llm.stored import Scratch, small_batches
 
 # A repeated substring has at least this many tokens (a power of two) and stands on this many pages of a host.
 LENGTH, PAGES = 8, 2
@@ -226,7 +226,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", "html", host.alias("host"))
     schema = _PARSED.format(id=kinds["page_id"], url=kinds["url"])
     named = {"s1": F.xxhash64("host", "tokens"), "s2": F.xxhash64(F.lit(1), "tokens", "host")}
-    parsed = scratch.write(rows.mapInArrow(_parse(rows.columns), schema).withColumns(named))
+    parsed = scratch.write(small_batches(rows).mapInArrow(_parse(rows.columns), schema).withColumns(named))
     on = (F.col("s1") == F.col("of1")) & (F.col("s2") == F.col("of2"))
     out = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_removed long"
     # only texts of pages that leave something open meet the suffix arrays' result

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedkit.llm import words
+from feedkit.llm.stored import small_batches
 
 # Labelled rows per language that the fit takes at most (least hashes of their ids), and languages.
 FIT_ROWS, FIT_LANGUAGES = 200, 64
@@ -220,7 +221,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     if taken:
         raise ValueError(f"columns {sorted(taken)} are taken")
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return docs.mapInArrow(_predict(model, docs.columns), schema)
+    return small_batches(docs).mapInArrow(_predict(model, docs.columns), schema)
 
 
 def keep_known(docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedkit.llm import setsketch, words
 from feedkit.llm.components import connected_components
-from feedkit.llm.stored import Scratch
+from feedkit.llm.stored import Scratch, small_batches
 
 # A block of a candidate cluster: documents, and shingles, that it holds on average at most.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 500_000
@@ -51,7 +51,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     """One row per document: set size, set digest, registers and band keys of its shingles."""
     kind = dict(docs.dtypes)["doc_id"]
     plain = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    return plain.mapInArrow(_sketch_batches(width), _SKETCH.format(id=kind))
+    return small_batches(plain).mapInArrow(_sketch_batches(width), _SKETCH.format(id=kind))
 
 
 def _links(left: np.ndarray, right: np.ndarray, regs: np.ndarray, sizes: np.ndarray, sets: list, percent: int):
@@ -211,6 +211,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     full = full.select("k", "n", "regs", "cluster", "x", "y", "side", "pack", "text")
     links = full.groupBy("pack", "x", "y").applyInArrow(_confirm(width, percent), "a long, b long")
     linked = scratch.write(connected_components(links, scratch))
+    scratch.drop_others(member, linked)
 
     reached = linked.select("node", "component")
     joined = member.join(reached, F.col("rep") == F.col("node"), "left").withColumn("c", F.coalesce("component", "rep"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedkit.llm import chat, decontaminate, hostarray, langid, neardup, pivots, pseudolm, slots
-from feedkit.llm.bpe import WordBpe, decode, encode
+from feedkit.llm.bpe import WordBpe, encode_and_decode
 from feedkit.llm.tokencount import count_tokens
 from feedkit.plans.storage import scratch_path
 
@@ -80,8 +80,7 @@ def op10_language_id(spark, sf):
 @query("op4_bpe")
 def op4_bpe(spark, sf):
     bpe = WordBpe(public_tokenizers.path("word_bpe_49k.json"))
-    encoded = encode(table(spark, sf, "documents").select("doc_id", "text"), bpe)
-    both = decode(encoded.select("doc_id", "ids"), bpe)
+    both = encode_and_decode(table(spark, sf, "documents").select("doc_id", "text"), bpe)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),

@@ -1,4 +1,4 @@
-"""Tables written to the shared folder between the steps of a job."""
+"""Tables written to the shared folder between the steps of a job, and batches handed to Python."""
 
 from __future__ import annotations
 
@@ -24,7 +24,33 @@ class Scratch:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark._jvm
         for df in tables:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(df._scratch)
+
+    def drop_others(self, *tables: DataFrame) -> None:
+        """Remove all tables of the job but these."""
+        kept = {df._scratch for df in tables}
+        for k in range(self.used):
+            if f"{self.root}/{k}" not in kept:
+                self._delete(f"{self.root}/{k}")
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+# Rows and bytes that Spark hands to Python at a time.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering its session's Arrow batches to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes.
+
+    The helpers here work on pieces of about a megabyte; Spark's batches of 10,000 texts would only take memory.
+    A session that has set the number of rows itself keeps it.
+    """
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df

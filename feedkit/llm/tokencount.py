@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.llm import words
+from feedkit.llm.stored import small_batches
 
 # Bytes of text that one call of the encoder gets; longer texts go in parts.
 CALL_BYTES = 1 << 20
@@ -109,4 +110,4 @@ def count_tokens(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
         model = f.read()
     kind = PieceCounter if path.endswith(".model") else WordCounter
     schema = docs.select("*", F.lit(0).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_tokens")).schema
-    return docs.mapInArrow(_count(model, kind, docs.columns, column), schema)
+    return small_batches(docs).mapInArrow(_count(model, kind, docs.columns, column), schema)
