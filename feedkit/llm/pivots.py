@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 PIVOTS = 24
 # Rows of a block of candidates and of a block of queries; one task takes one block of each at a time.
 CANDIDATE_ROWS, QUERY_ROWS = 4096, 1024
+# Blocks of candidates that meet one block of queries under one key.
+SHARE = 2
 # The bound is computed in double precision and widened by this share of the sizes that went in.
 SLACK = 1e-9
 
@@ -136,12 +138,19 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, pivots: int = PIVOTS)
         return dealt.groupBy("size", "block").applyInArrow(_pack, _PACKED), counts
 
     asked, q_counts = blocks(whole.where(queries), QUERY_ROWS)
-    stored, _ = blocks(whole, CANDIDATE_ROWS)
-    q = asked.select("size", F.col("block").alias("q"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "rows", "distances")])
-    every = stored.join(q_counts, F.col("size") == F.col("s"))
-    every = every.select(F.col("size").alias("of"), *[F.col(c).alias(f"r_{c}") for c in ("ids", "rows", "distances")],
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("with"))
-    met = q.join(every, (F.col("size") == F.col("of")) & (F.col("q") == F.col("with"))).drop("of", "with")
+    stored, r_counts = blocks(whole, CANDIDATE_ROWS)
+
+    def copies(df, counts, each, prefix, mine, other):
+        """Each block once for every share of blocks of the other side."""
+        met = df.join(counts, F.col("size") == F.col("s"))
+        shares = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_blocks") - 1) / each))).alias(other)
+        return met.select(F.col("size").alias(f"{prefix}size"), mine.alias(f"{prefix}mine"), shares,
+                          *[F.col(c).alias(f"{prefix}{c}") for c in ("ids", "rows", "distances")])
+
+    q = copies(asked, r_counts, SHARE, "q_", F.col("block"), "share")
+    r = copies(stored, q_counts, 1, "r_", F.floor(F.col("block") / SHARE), "with")
+    met = q.join(r, (q.q_size == r.r_size) & (q.q_mine == r["with"]) & (q.share == r.r_mine))
+    met = met.withColumnRenamed("q_size", "size")
     found = met.mapInArrow(_search(k), "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
