@@ -6,6 +6,8 @@ import html
 import re
 
 MAIN, OPEN, CHROME = 0, 1, 2
+# An article whose class names it a part around the article; what it is shows at the page's end.
+_DOUBT = 3
 
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu
@@ -15,11 +17,16 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("iframe noembed noframes script style textarea title xmp".split())
 DROPPED = frozenset("""aside audio button canvas dialog footer form menu nav noscript object search select svg template
 video""".split())
-# Words of class and id that name parts around an article.
+# Class names and ids that name parts around an article; a compound does if all its words are of this set or of BESIDE.
 AROUND = frozenset("""ad ads adv advert advertisement adverts adsense banner breadcrumb breadcrumbs comment comments
 consent cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices
 overlay pagination popup promo promoted promotion recommended related replies reply respond search share sharing
 sidebar sidebars signup skip social sponsor sponsored subscribe subscription teaser toolbar widget widgets""".split())
+BESIDE = frozenset("bar bottom box left main page right site top".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# No class or id closes these; ids of TITLED are made from titles and name no part.
+WHOLE = frozenset("html body main".split())
+TITLED = HEADINGS | frozenset("article p section".split())
 ROLES_AROUND = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 INNER = frozenset("article main".split())
 
@@ -29,30 +36,44 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
 
 
+def _names(value: str, known: frozenset[str]) -> bool:
+    """Is a class name or id made of known words only, but for BESIDE and numbers?"""
+    parts = [x for x in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()) if x and not x.isdigit()]
+    return any(x in known for x in parts) and all(x in known or x in BESIDE for x in parts)
+
+
+_HEADER = frozenset(["header"])
+
+
 def _kind(name: str, rest: str, inside_main: bool) -> int:
     """What an element says about its content; OPEN if nothing."""
     if name in DROPPED:
         return CHROME
-    names: set[str] = set()
-    role = prop = ""
+    classes: list[str] = []
+    role = prop = own_id = ""
     if len(rest) > 1:
         for m in _ATTRIBUTE.finditer(rest):
             key, value = (m[1] or "").lower(), m[2] or m[3] or m[4] or ""
             if m[5] or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
                 return CHROME
-            if key in ("class", "id"):
-                names.update(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()))
+            if key == "class":
+                classes += value.split()
+            elif key == "id":
+                own_id = value
             elif key == "role":
                 role = value.lower()
             elif key == "itemprop":
                 prop = value.lower()
-    if role in ROLES_AROUND or names & AROUND:
-        return CHROME
-    if (name == "header" or "header" in names) and not inside_main:
+    if role in ROLES_AROUND or name == "header" and not inside_main:
         return CHROME
-    if name in INNER or role in INNER or prop == "articlebody":
-        return MAIN
-    return OPEN
+    inner = name in INNER or role in INNER or prop == "articlebody"
+    if name not in WHOLE:
+        names = classes if name in TITLED or "section" in classes else [*classes, own_id]
+        if any(_names(x, AROUND) for x in names):
+            return _DOUBT if inner else CHROME
+        if not inner and not inside_main and name not in HEADINGS and any(_names(x, _HEADER) for x in names):
+            return CHROME
+    return MAIN if inner else OPEN
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
@@ -60,24 +81,26 @@ def blocks(page: str) -> list[tuple[int, str]]:
 
     Elements such as navigation, forms and asides, and elements whose class, id or role names such a part, are
     CHROME with all they hold; ``article`` and ``main`` hold MAIN text.  Where a page marks its main text, all text
-    outside is CHROME; a page that does not has OPEN text, except for blocks that are links only.
+    outside is CHROME; a page that does not has OPEN text, except for blocks that are two or more links only.
+    An article whose class names a part around it goes only where the page has another; where nothing else is
+    marked it is OPEN like the rest.
     Broken markup is taken as it comes: an end tag closes the innermost element of its name or nothing.
     """
     out: list[list] = []
     stack: list[tuple[str, int]] = []
-    chrome = main = links = 0
+    chrome = main = doubt = links = anchors = articles = 0
     text: list[str] = []
     linked = 0
 
     def flush():
-        nonlocal linked
+        nonlocal linked, anchors
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                kind = CHROME if chrome else MAIN if main else OPEN
-                out.append([kind, joined, linked and linked >= sum(map(len, text)) - sum(x.isspace() and len(x) for x in text)])
+                kind = CHROME if chrome else _DOUBT if doubt else MAIN if main else OPEN
+                out.append([kind, joined, anchors > 1 and linked >= sum(map(len, text)) - sum(x.isspace() and len(x) for x in text)])
             text.clear()
-            linked = 0
+            linked = anchors = 0
 
     at, end = 0, len(page)
     while at < end:
@@ -88,6 +111,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
             text.append(piece)
             if links and not piece.isspace():
                 linked += len(piece)
+                anchors += links == 1
+                links = 2
         if token is None:
             break
         at = token.end()
@@ -107,6 +132,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
                     for _, kind in stack[k:]:
                         chrome -= kind == CHROME
                         main -= kind == MAIN
+                        doubt -= kind == _DOUBT
                     del stack[k:]
                     break
             continue
@@ -130,6 +156,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
             kind = stack.pop()[1]
             chrome -= kind == CHROME
             main -= kind == MAIN
+            doubt -= kind == _DOUBT
         kind = _kind(name, token[3], main > 0)
         if kind != OPEN and name not in BLOCK:
             flush()
@@ -137,6 +164,10 @@ def blocks(page: str) -> list[tuple[int, str]]:
             stack.append((name, kind))
             chrome += kind == CHROME
             main += kind == MAIN
+            doubt += kind == _DOUBT
+        articles += name == "article"
     flush()
     marked = any(b[0] == MAIN for b in out)
-    return [(CHROME if k == OPEN and (marked or only_link) else k, t) for k, t, only_link in out]
+    unsure = OPEN if not marked else MAIN if articles == 1 else CHROME
+    out = [(unsure if k == _DOUBT else k, t, only_links) for k, t, only_links in out]
+    return [(CHROME if k == OPEN and (marked or only_links) else k, t) for k, t, only_links in out]

@@ -148,6 +148,20 @@ def test_blocks(page, want):
     assert "\n".join(t for k, t in htmlblocks.blocks(page) if k != htmlblocks.CHROME) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html class='has-banner'><body class='no-sidebar search'><main class='search-results'><p>a</p></main>", "a"),
+    ("<body id=search><p>a</p>", "a"), ("<main class=comments><p>a</p></main>", "a"),
+    ("<p>o</p><article class='post comments-open'><p>a</p></article>", "a"),
+    ("<article class=comments><p>a</p></article>", "a"), ("<main><p>a</p><article class=comments>b</article></main>", "a\nb"),
+    ("<article>a<article class=comment>c</article>b</article>", "a\nb"),
+    ("<article><h2 id=share-prices>a</h2><section id=related-work>b</section><h2 id=login>c</h2><section id=notice>d</section></article>", "a\nb\nc\nd"),
+    ("<h1 class=header>t</h1><p>a</p><div class='share-box'>s</div><div class=siteFooter>f</div>", "t\na"),
+    ("<h2><a href=x>only a link</a></h2><div><a href=x>one</a> <a href=y>two</a></div><p>a</p>", "only a link\na"),
+])
+def test_class_names_close_no_article(page, want):
+    assert "\n".join(t for k, t in htmlblocks.blocks(page) if k != htmlblocks.CHROME) == want
+
+
 def test_windows_of_a_stream():
     r = rng(9)
     tokens, page = r.integers(0, 3, 120), np.sort(r.integers(0, 6, 120))
