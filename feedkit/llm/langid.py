@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from feedkit.llm import words
 from feedkit.llm.stored import small_batches
 
-# Labelled rows per language that the fit takes at most (least hashes of their ids), and languages.
-FIT_ROWS, FIT_LANGUAGES = 200, 64
-LANDMARKS, RIDGE = 160, 1e-3
+# Labelled rows per language that the fit takes at most (least hashes of their ids), and landmarks per language.
+FIT_ROWS = 200
+LANDMARKS, RIDGE = 40, 1e-3
 # Sizes of the n-grams, in bytes of UTF-8, and how they weigh in the kernel.
 ORDERS = {1: 0.15, 2: 0.35, 3: 0.5}
 UNKNOWN = "und"
 
 _SYMBOLS = 156
 _BATCH_BYTES, _BATCH_TEXTS = 1 << 20, 512
+# Cells of a dense block of text by n-gram, in the fit and in a batch of texts.
+_CELLS = 1 << 24
 
 
 def _alphabet() -> np.ndarray:
@@ -105,32 +107,59 @@ def fit(texts_codes: list[dict[int, np.ndarray]], labels: list[str]) -> Model:
     if not languages:
         return Model([], {}, {})
     n = len(labels)
-    # landmarks: every language in turn
+    # landmarks: the first of every language
     turn = {x: 0 for x in languages}
     rank = []
     for x in labels:
         rank.append(turn[x])
         turn[x] += 1
-    marks = np.array(sorted(range(n), key=lambda k: (rank[k], labels[k]))[:LANDMARKS])
-    kernel, codes, marked = np.zeros((n, len(marks))), {}, {}
+    marks = np.array([k for k in range(n) if rank[k] < LANDMARKS])
+    kernel, codes = np.zeros((n, len(marks))), {}
     for order, weight in ORDERS.items():
         codes[order] = np.unique(np.concatenate([texts_codes[k][order] for k in marks]))
-        flags = np.zeros((n, len(codes[order])), np.float32)
-        for k in range(n):
-            at = np.searchsorted(codes[order], texts_codes[k][order])
-            at = np.minimum(at, len(codes[order]) - 1)
-            flags[k, at[codes[order][at] == texts_codes[k][order]]] = 1
-        norm = np.sqrt(np.maximum(flags.sum(axis=1, keepdims=True), 1))
-        marked[order] = weight * flags[marks] / norm[marks]
-        kernel += flags @ marked[order].T / norm
+        there, norm = _known(texts_codes, codes[order], order)
+        # n-grams in blocks, so that no dense table of texts by all n-grams is held
+        for low, high, flags in _flag_blocks(there, n, len(codes[order])):
+            kernel += (flags @ flags[marks].T) * (weight / (norm[:, None] * norm[None, marks]))
     among = kernel[marks]
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     root = vectors / np.sqrt(np.maximum(values, 1e-6))
+    place = {x: k for k, x in enumerate(languages)}
+    target = np.full((n, len(languages)), -1.0)
+    target[np.arange(n), [place[x] for x in labels]] = 1
     features = kernel @ root
-    target = np.array([[1.0 if x == y else -1.0 for y in languages] for x in labels])
     solved = np.linalg.solve(features.T @ features + RIDGE * n * np.eye(features.shape[1]), features.T @ target)
     coefficients = root @ solved
-    return Model(languages, codes, {o: (m.T @ coefficients).astype(np.float32) for o, m in marked.items()})
+    weights = {}
+    for order, weight in ORDERS.items():
+        there, norm = _known([texts_codes[k] for k in marks], codes[order], order)
+        weights[order] = np.zeros((len(codes[order]), len(languages)), np.float32)
+        for low, high, flags in _flag_blocks(there, len(marks), len(codes[order])):
+            weights[order][low:high] = flags.T @ (weight * coefficients / norm[:, None])
+    return Model(languages, codes, weights)
+
+
+def _known(texts_codes, codes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, text) of the known n-grams that each text holds, ordered by place, and the root of each text's number of them."""
+    pairs = []
+    for k, sets in enumerate(texts_codes):
+        at = np.minimum(np.searchsorted(codes, sets[order]), max(len(codes) - 1, 0))
+        at = at[codes[at] == sets[order]] if len(codes) else at[:0]
+        pairs.append(np.stack([at, np.full(len(at), k)]).astype(np.int32))
+    there = np.concatenate(pairs, axis=1)
+    norm = np.sqrt(np.maximum(np.bincount(there[1], minlength=len(texts_codes)), 1))
+    return there[:, np.argsort(there[0], kind="stable")], norm
+
+
+def _flag_blocks(there: np.ndarray, n: int, n_codes: int):
+    """(low, high, flags of n texts by the n-grams low to high), block after block."""
+    step = max(1, _CELLS // n)
+    for low in range(0, n_codes, step):
+        high = min(low + step, n_codes)
+        a, b = np.searchsorted(there[0], [low, high])
+        flags = np.zeros((n, high - low), np.float32)
+        flags[there[1, a:b], there[0, a:b] - low] = 1
+        yield low, high, flags
 
 
 def _fit_sets(batches):
@@ -152,18 +181,19 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_languages: int = FIT_LANGUAGES) -> Model:
+def _labelled(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+
+
+def train(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Fit on labelled rows of ``docs(doc_id, text, lang)`` that are not held out.  Runs at once.
 
-    At most ``fit_rows`` rows of each language take part, those of the least hashes of id and text, and the
-    ``fit_languages`` languages with the most labelled rows (ties by name), so at most
-    12,800 sets of n-grams reach the driver.  Their texts are used whole.
+    Every label that occurs is learned.  At most ``fit_rows`` rows of each language take part, those of the least hashes
+    of id and text, so the driver gets that many sets of n-grams for each language.  Their texts are used whole.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(fit_languages)
-    names = [r["lang"] for r in common.collect()]
+    known = _labelled(docs)
     place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.where(F.col("lang").isin(names)).select("doc_id", "lang", "text")
+    ranked = known.select("doc_id", "lang", "text")
     ranked = ranked.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= fit_rows)
     schema = ", ".join(["lang string", *[f"g{o} array<int>" for o in ORDERS]])
     # ordered, so that the same rows give the same model however they arrive
@@ -187,13 +217,15 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _predict(model: Model, names: list[str]):
     def run(batches):
         score = model.scorer() if model.languages else None
+        # flags of a batch are a dense table, so more n-grams leave fewer texts
+        step = int(np.clip(_CELLS // max([1, *map(len, model.codes.values())]), 1, _BATCH_TEXTS))
         languages = np.array([*model.languages, UNKNOWN], dtype=object)
         for batch in batches:
             data, offsets = words.text_bytes(batch.column(names.index("text")))
             picks, sure = [], []
             for low, high in words.pieces(offsets, _BATCH_BYTES):
-                for start in range(low, high, _BATCH_TEXTS):
-                    stop = min(start + _BATCH_TEXTS, high)
+                for start in range(low, high, step):
+                    stop = min(start + step, high)
                     part, at = data[offsets[start]: offsets[stop]], offsets[start: stop + 1] - offsets[start]
                     pick, value = np.full(stop - start, len(model.languages)), np.zeros(stop - start)
                     letter = _has_letter(part, at)

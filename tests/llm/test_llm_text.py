@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from checks.compare import compare, connect
 from feedkit.llm import bpe, chat, langid, tokencount
 from feedkit.llm.queries import QUERIES, SQL
-from llmtools import DOCS, SF, odd_documents
+from llmtools import DOCS, SF, odd_documents, rng
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -145,6 +145,19 @@ def test_prediction_reads_only_the_text(spark):
     assert a == b
 
 
+def test_every_label_is_learned(spark):
+    r = rng(12)
+    names = [f"l{k:02d}" for k in range(70)]
+    own = {x: ["".join(chr(97 + int(c)) for c in r.integers(0, 26, 5)) for _ in range(12)] for x in names}
+    rows = [(n, " ".join(r.choice(own[x], 20)), x, "s", 1) for n, x in enumerate(x for x in names for _ in range(9 if x != "l69" else 6))]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = langid.train(docs)
+    assert model.languages == names
+    found = langid.predict(docs, model).collect()
+    assert sum(f.lang == f.lang_pred for f in found) >= 0.98 * len(found)
+    assert {f.lang_pred for f in found if f.lang == "l69"} == {"l69"}
+
+
 # chat
 
 
