@@ -10,7 +10,7 @@ from feedkit.llm.stored import Scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter, or without text, go."""
+    """Documents without text or any letter go, and those that the classifier scores below the floor of their language."""
     return langid.keep_known(docs)
 
 

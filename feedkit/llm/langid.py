@@ -15,6 +15,9 @@ from feedkit.llm.stored import small_batches
 # Labelled rows per language that the fit takes at most (least hashes of their ids), and landmarks per language.
 FIT_ROWS = 200
 LANDMARKS, RIDGE = 40, 1e-3
+# A text stays if its language's score is at least this share of 1 / languages (what a text of all languages alike
+# gets), or at least FLOOR; 0.5 is a machine that says neither yes nor no.
+FLOOR_SHARE, FLOOR = 1.5, 0.4
 # Sizes of the n-grams, in bytes of UTF-8, and how they weigh in the kernel.
 ORDERS = {1: 0.15, 2: 0.35, 3: 0.5}
 UNKNOWN = "und"
@@ -256,7 +259,37 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return small_batches(docs).mapInArrow(_predict(model, docs.columns), schema)
 
 
+def _lettered(names: list[str]):
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_has_letter(*words.text_bytes(batch.column(names.index("text"))))))
+
+    return run
+
+
+def floors(docs: DataFrame, model: Model) -> dict[str, float]:
+    """The least score with which a text of each language stays.  Runs at once.
+
+    ``FLOOR_SHARE`` by the number of languages, ``FLOOR`` at most, and less where a labelled row that is not held out
+    and is given its own label has less.
+    """
+    known = _labelled(docs).select(F.col("lang").cast("string").alias("lang"), "text")
+    right = predict(known, model).where(F.col("lang") == F.col("lang_pred"))
+    least = {r["lang"]: r["least"] for r in right.groupBy("lang").agg(F.min("score").alias("least")).collect()}
+    most = min(FLOOR, FLOOR_SHARE / max(1, len(model.languages)))
+    return {x: min(most, least.get(x, most)) for x in model.languages}
+
+
 def keep_known(docs: DataFrame) -> DataFrame:
-    """The rows whose language can be told; the model is learned from the rows' own labels.  Runs at once."""
-    found = predict(docs.select("*"), train(docs))
-    return found.where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    """The rows whose language can be told; the model is learned from the rows' own labels.  Runs at once.
+
+    A row goes if its text is null or has no letter, or if the score of the language it is given is below that
+    language's floor, so that it is of no language more than of all others.  If no language was learned, all rows
+    with a letter stay.
+    """
+    model = train(docs)
+    if not model.languages:
+        return small_batches(docs).mapInArrow(_lettered(docs.columns), docs.schema)
+    limits = F.create_map(*[F.lit(x) for pair in floors(docs, model).items() for x in pair])
+    found = predict(docs.select("*"), model)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= limits[F.col("lang_pred")])).select(*docs.columns)

@@ -156,6 +156,26 @@ def test_every_label_is_learned(spark):
     found = langid.predict(docs, model).collect()
     assert sum(f.lang == f.lang_pred for f in found) >= 0.98 * len(found)
     assert {f.lang_pred for f in found if f.lang == "l69"} == {"l69"}
+    assert langid.keep_known(docs).count() == docs.count()
+
+
+def test_stage_follows_the_classifier(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    by = {}
+    for r in docs.orderBy("doc_id").collect():
+        by.setdefault(r.lang, []).extend(r.text.split()[:40] if len(by.get(r.lang, ())) < 80 else [])
+    mixed = " ".join(" ".join(x) for x in zip(*by.values()))
+    odd = spark.createDataFrame([(-1, mixed, None, "s", 1), (-2, "12 3", None, "s", 1), (-3, None, None, "s", 1)], DOCS)
+    kept = langid.keep_known(docs.unionByName(odd))
+    # every clean document of each language, held out or not, stays; words of all languages alike go
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in docs.collect())
+
+
+def test_stage_without_labels(spark):
+    rows = [(1, "some text", None, "s", 1), (2, "12", None, "s", 1), (3, None, None, "s", 1), (4, "日本", None, "s", 1), (None, "a", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert sorted(r.text for r in langid.keep_known(docs).collect()) == ["a", "some text", "日本"]
+    assert langid.keep_known(docs).columns == docs.columns
 
 
 # chat
