@@ -35,8 +35,8 @@ def distances(matrix: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def best_in_block(queries: np.ndarray, query_ids: np.ndarray, query_table: np.ndarray, rows: np.ndarray,
-                  row_ids: np.ndarray, row_table: np.ndarray, k: int, floor: np.ndarray | None = None):
-    """(query, id, score) of each query's ``k`` best rows of one block; ties go to smaller ids.
+                  row_ids: np.ndarray, row_table: np.ndarray, k: int):
+    """(place of the query, place of the row, score) of each query's ``k`` best rows of one block; ties go to smaller ids.
 
     The largest difference of distances to a pivot is a lower bound of the distance of query and row, and
     so bounds the inner product from above: (|q|^2 + |r|^2 - bound^2) / 2.  Candidates are taken in
@@ -54,7 +54,7 @@ def best_in_block(queries: np.ndarray, query_ids: np.ndarray, query_table: np.nd
         else:
             order = np.arange(len(upper))
             upper = np.full(len(upper), np.inf)
-        have_id, have = np.zeros(0, np.int64), np.zeros(0)
+        have_at, have = np.zeros(0, np.int64), np.zeros(0)
         at, step = 0, 16 * k
         while at < len(order):
             if len(have) >= k and upper[order[at]] < have[-1]:
@@ -63,14 +63,14 @@ def best_in_block(queries: np.ndarray, query_ids: np.ndarray, query_table: np.nd
             at, step = at + step, step * 2
             own = row_ids[part] != query_ids[j]
             part = part[own]
-            have_id = np.concatenate([have_id, row_ids[part]])
+            have_at = np.concatenate([have_at, part])
             have = np.concatenate([have, rows[part] @ queries[j]])
-            first = np.lexsort((have_id, -have))[:k]
-            have_id, have = have_id[first], have[first]
-        out_q.append(np.full(len(have), query_ids[j]))
-        out_id.append(have_id)
+            first = np.lexsort((row_ids[have_at], -have))[:k]
+            have_at, have = have_at[first], have[first]
+        out_q.append(np.full(len(have), j))
+        out_id.append(have_at)
         out_score.append(have)
-    return tuple(np.concatenate(x) if x else np.zeros(0) for x in (out_q, out_id, out_score))
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_q, out_id, out_score))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -86,12 +86,13 @@ def _pack(table: pa.Table) -> pa.Table:
     pivots = np.array(table["pivots"][0].as_py(), np.float64).reshape(-1, width)
     return pa.table({
         "size": pa.array([width], pa.int32()), "block": table["block"].slice(0, 1).cast(pa.int64()),
-        "ids": pa.array([ids.tobytes()], pa.binary()), "rows": pa.array([rows.tobytes()], pa.binary()),
+        "ids": pa.array([ids.tobytes()], pa.binary()),
+        "copies": pa.array([table["copies"].to_numpy().astype(np.int64).tobytes()], pa.binary()), "rows": pa.array([rows.tobytes()], pa.binary()),
         "distances": pa.array([distances(rows, pivots).tobytes()], pa.binary()),
     })
 
 
-_PACKED = "size int, block long, ids binary, rows binary, distances binary"
+_PACKED = "size int, block long, ids binary, copies binary, rows binary, distances binary"
 
 
 def _search(k: int):
@@ -99,14 +100,17 @@ def _search(k: int):
         for batch in batches:
             for r in batch.to_pylist():
                 width = r["size"]
-                side = []
+                side, ids_of, copies = [], [], []
                 for p in ("q_", "r_"):
                     ids = np.frombuffer(r[p + "ids"], np.int64)
+                    ids_of.append(ids)
+                    copies.append(np.minimum(np.frombuffer(r[p + "copies"], np.int64), k))
                     side += [np.frombuffer(r[p + "rows"]).reshape(len(ids), width), ids,
                              np.frombuffer(r[p + "distances"]).reshape(len(ids), -1)]
                 q, i, s = best_in_block(*side, k)
-                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(s.astype(np.int64), pa.int64())],
-                                                 ["query_id", "id", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x.astype(np.int64), pa.int64()) for x in (ids_of[0][q], ids_of[1][i], s, np.minimum(copies[0][q] * copies[1][i], k))],
+                    ["query_id", "id", "score", "copies"])
 
     return run
 
@@ -115,26 +119,28 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, pivots: int = PIVOTS)
     """(query_id, rank, id, score): the ``k`` rows of largest inner product for every query.
 
     ``vectors(id, vector)``: integer vectors, ``queries`` a condition that says which of its rows are queries.
-    A candidate is every row but the query's own; ties go to smaller ids.  Rows with a null id or vector take no part,
-    an id that comes more than once counts once with its least vector, and vectors of different length do not meet.
-    Inner products and squared distances must stay below 2**53.
+    A candidate is every row of another id; ties go to smaller ids.  Rows with a null id or vector take no part, and
+    vectors of different length do not meet.  Each row of a repeated id is a candidate of its own; rows of a
+    repeated query id share one ranking, in which each meets every candidate.  Equal rows are held once, with their number.
+    Vectors of length 0 score 0 with each other, so that the least ids are their best.  Inner products and squared distances must stay below 2**53.
 
     Blocks of queries meet blocks of candidates, every pair one row of some task, so no table is held whole anywhere.
     The pivots are the rows with the least hashes of their ids, ``pivots`` for each length.  Blocks carry the
     distances of their rows to the pivots; those are computed once per row.
     """
     whole = vectors.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).select(F.col("id").cast("long").alias("id"), "vector")
-    whole = whole.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("size", F.size("vector"))
-    place = Window.partitionBy("size").orderBy(F.xxhash64("id"), "id")
+    every = whole.groupBy("id", "vector").agg(F.count("*").alias("copies")).withColumn("size", F.size("vector"))
+    whole = every.where("size > 0")
+    place = Window.partitionBy("size").orderBy(F.xxhash64("id"), "id", "vector")
     chosen = whole.withColumn("n", F.row_number().over(place)).where(F.col("n") <= pivots)
-    table = chosen.groupBy("size").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("id", "vector"))), lambda x: x["vector"])).alias("pivots"))
+    table = chosen.groupBy("size").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", "vector"))), lambda x: x["vector"])).alias("pivots"))
     table = table.withColumnRenamed("size", "of")
 
     def blocks(df, rows):
         """Packed blocks of about ``rows`` rows."""
         counts = df.groupBy("size").agg(F.count("*").alias("c")).select(F.col("size").alias("s"), F.ceil(F.col("c") / rows).alias("n_blocks"))
         dealt = df.join(counts, F.col("size") == F.col("s")).join(table, F.col("size") == F.col("of"))
-        dealt = dealt.select("id", "vector", "size", "pivots", F.pmod(F.xxhash64("id"), "n_blocks").alias("block"), "n_blocks")
+        dealt = dealt.select("id", "vector", "copies", "size", "pivots", F.pmod(F.xxhash64("id", "vector"), "n_blocks").alias("block"), "n_blocks")
         return dealt.groupBy("size", "block").applyInArrow(_pack, _PACKED), counts
 
     asked, q_counts = blocks(whole.where(queries), QUERY_ROWS)
@@ -145,13 +151,19 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, pivots: int = PIVOTS)
         met = df.join(counts, F.col("size") == F.col("s"))
         shares = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_blocks") - 1) / each))).alias(other)
         return met.select(F.col("size").alias(f"{prefix}size"), mine.alias(f"{prefix}mine"), shares,
-                          *[F.col(c).alias(f"{prefix}{c}") for c in ("ids", "rows", "distances")])
+                          *[F.col(c).alias(f"{prefix}{c}") for c in ("ids", "copies", "rows", "distances")])
 
     q = copies(asked, r_counts, SHARE, "q_", F.col("block"), "share")
     r = copies(stored, q_counts, 1, "r_", F.floor(F.col("block") / SHARE), "with")
     met = q.join(r, (q.q_size == r.r_size) & (q.q_mine == r["with"]) & (q.share == r.r_mine))
     met = met.withColumnRenamed("q_size", "size")
-    found = met.mapInArrow(_search(k), "query_id long, id long, score long")
+    found = met.mapInArrow(_search(k), "query_id long, id long, score long, copies long")
+    # of the vectors of length 0 no query needs more than the least k + 1 ids
+    bare = every.where("size = 0").select("id", "copies")
+    asking = bare.where(queries).select(F.col("id").alias("query_id"), F.col("copies").alias("asked"))
+    met = asking.crossJoin(bare.orderBy("id").limit(k + 1)).where(F.col("id") != F.col("query_id"))
+    found = found.unionAll(met.select("query_id", "id", F.lit(0).cast("long").alias("score"), (F.col("asked") * F.col("copies")).alias("copies")))
+    found = found.select("query_id", "id", "score", F.explode(F.sequence(F.lit(1).cast("long"), F.least("copies", F.lit(k).cast("long")))))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")

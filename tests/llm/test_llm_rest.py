@@ -3,6 +3,7 @@
 import html
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,27 @@ def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch, sizes):
     assert pivots.top_k(df.limit(0), F.col("id") % 5 == 0).count() == 0
 
 
+@pytest.mark.parametrize("name", ["repeated", "empty"])
+def test_top_k_query_of_odd_rows_agrees_with_sql(spark, tmp_path, name):
+    r = rng(13)
+    if name == "repeated":
+        ids = [*range(101), 0, 0, 50, 7, 7, 8, 100, 9]
+        rows = [(k, [float(x) for x in r.integers(-2, 3, 3)]) for k in ids] + [(3, [2.0, 2.0, 2.0])] * 7 + [(50, [1.0, 1.0, 1.0])] * 2
+    else:
+        rows = [(k, []) for k in [*range(101), 0, 2, 2, 2]] + [(None, []), (102, None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    got = sorted(tuple(x) for x in QUERIES["op5_top_k"](spark, str(tmp_path)).collect())
+    assert got == sorted(con.sql(SQL["op5_top_k"]).fetchall()) and len(got) == 15
+
+
+def test_top_k_of_mixed_lengths(spark):
+    df = spark.createDataFrame([(0, []), (1, [1]), (2, [3]), (5, []), (6, [2])], "id long, vector array<long>")
+    got = sorted(tuple(x) for x in pivots.top_k(df, F.col("id") < 2, 2).collect())
+    assert got == [(0, 1, 5, 0), (1, 1, 2, 3), (1, 2, 6, 2)]
+
+
 def test_unusable_vectors(spark):
     df = spark.createDataFrame([(1, [0.5, -0.001]), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, None), (5, [float("inf"), 0.0]), (6, [])],
                                "id long, v array<float>")
