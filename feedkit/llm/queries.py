@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import chat, decontaminate, hostarray, langid, neardup, pivots, pseudolm, slots
+from feedkit.llm import chat, decontaminate, hostarray, langid, merkle, neardup, pivots, pseudolm, slots
 from feedkit.llm.bpe import WordBpe, encode_and_decode
 from feedkit.llm.tokencount import count_tokens
 from feedkit.plans.storage import scratch_path
@@ -171,3 +171,66 @@ def op9_lm_score(spark, sf):
     found = pseudolm.score(docs, symbols, pseudolm.train(docs, symbols))
     mean = F.col("log_likelihood") / F.greatest("n_words", F.lit(1))
     return found.select("doc_id", "n_words", F.round("log_likelihood", 4).alias("log_likelihood"), F.round(mean, 4).alias("mean_log_likelihood"))
+
+
+def _levels_sql(before: str, group: str, levels: int) -> str:
+    """Levels of the trees of ``group`` over the nodes ``{before}0`` (group, pos, n, h), and each leaf's way ``{before}way{k}``."""
+    out = []
+    for k in range(levels):
+        here, run, way = f"{before}{k}", f"{before}run{k}", f"{before}way{k}"
+        out.append(f"""
+    {run} AS (SELECT {group}, pos // 3 AS run, max(n) AS n, list(h ORDER BY pos) AS hs FROM {here} GROUP BY 1, 2),
+    {before}{k + 1} AS (SELECT {group}, run AS pos, (n + 2) // 3 AS n, CASE WHEN n = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h FROM {run}),
+    {way}s AS (SELECT w.*, CASE WHEN r.n = 1 THEN '' ELSE array_to_string(hs[1:place % 3], '') END AS lo,
+                      CASE WHEN r.n = 1 THEN '' ELSE array_to_string(hs[place % 3 + 2:], '') END AS hi, r.n AS size
+               FROM {way} w JOIN {run} r ON r.{group} = w.{group} AND r.run = w.place // 3),
+    {before}way{k + 1} AS (SELECT * EXCLUDE (place, proof, folded, lo, hi, size), place // 3 AS place, proof || lo || hi AS proof,
+                           CASE WHEN size = 1 THEN folded ELSE sha256(lo || folded || hi) END AS folded FROM {way}s)""")
+    return ",".join(out)
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _record_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# The register of CRC-32 over the digits of doc_id before its last complement, which turns an odd one into an even sum.
+CRC_SQL = """
+    list_reduce(flatten([[4294967295], flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: [ascii(CAST(doc_id AS VARCHAR)[i]), 0, 0, 0, 0, 0, 0, 0]))]),
+        lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(xor(c, b) >> 1, 3988292384) ELSE xor(c, b) >> 1 END)
+"""
+
+
+@query(
+    "op13_merkle_manifest",
+    f"""
+    WITH leaves AS (SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, {_record_sql("text")} AS leaf,
+                           CASE WHEN doc_id IS NOT NULL AND {CRC_SQL} & 1 = 1 THEN {_record_sql("replace(text, chr(10), '')")} ELSE {_record_sql("text")} END AS seen
+                    FROM documents),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+    a0 AS (SELECT g, pos, n, leaf AS h FROM placed),
+    away0 AS (SELECT doc_id, leaf, g, pos AS place, '' AS proof, seen AS folded FROM placed),
+    {_levels_sql("a", "g", 12)},
+    b0 AS (SELECT 0 AS one, g AS pos, count(*) OVER () AS n, h FROM a12),
+    bway0 AS (SELECT 0 AS one, doc_id, leaf, w.g, h AS subroot, w.g AS place, proof, folded FROM away12 w JOIN a12 t ON t.g = w.g),
+    {_levels_sql("b", "one", 6)}
+    SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h AS verified
+    FROM bway6 w JOIN b6 t ON t.one = w.one
+    """,
+)
+def op13_merkle_manifest(spark, sf):
+    docs = table(spark, sf, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    whole = merkle.record_digest([*fields, F.col("text")])
+    tampered = merkle.record_digest([*fields, F.replace("text", F.lit("\n"), F.lit(""))])
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    rows = docs.select("doc_id", "source", whole.alias("leaf"), F.unhex(F.when(even, tampered)).alias("tampered"))
+    made = merkle.manifest(rows, "source", ["doc_id"])
+    seen = F.coalesce(F.lower(F.hex("tampered")), "leaf")
+    folded = made.select("*", merkle.fold(seen, F.col("path")).alias("folded_root"))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
