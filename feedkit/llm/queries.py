@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import chat, decontaminate, hostarray, langid, merkle, neardup, pivots, pseudolm, slots
+from feedkit.llm import chat, decontaminate, hostarray, langid, lexical, merkle, neardup, pivots, pseudolm, secretscan, slots
 from feedkit.llm.bpe import WordBpe, encode_and_decode
 from feedkit.llm.tokencount import count_tokens
 from feedkit.plans.storage import scratch_path
@@ -173,6 +173,35 @@ def op9_lm_score(spark, sf):
     return found.select("doc_id", "n_words", F.round("log_likelihood", 4).alias("log_likelihood"), F.round(mean, 4).alias("mean_log_likelihood"))
 
 
+@query("op11_secret_scan")
+def op11_secret_scan(spark, sf):
+    found = secretscan.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))
+    kinds = F.transform("secrets", lambda s: s["kind"])
+    count = [F.size(F.array_remove(kinds, k)) for k in secretscan.KINDS]
+    count = [(F.size("secrets") - n).cast("long").alias(f"n_{k}") for n, k in zip(count, secretscan.KINDS)]
+    base = secretscan.span_list(F.filter("secrets", lambda s: s["kind"] != "literal"))
+    return found.select("doc_id", *count, F.sha2(base, 256).alias("base_sha256"), secretscan.span_list(F.col("secrets")).alias("spans"))
+
+
+@query(
+    "op12_ranked_search",
+    f"""
+    WITH t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({WORDS.format("text")}) AS term FROM documents) GROUP BY ALL),
+    size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY doc_id),
+    total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+    q AS (SELECT DISTINCT item_id, unnest({WORDS.format("text")}) AS term FROM benchmark),
+    weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+               FROM t, total WHERE term IN (SELECT term FROM q) GROUP BY term, docs),
+    scored AS (SELECT q.item_id, t.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+               FROM q JOIN t ON t.term = q.term JOIN weight ON weight.term = t.term JOIN size ON size.doc_id = t.doc_id, total GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+    """,
+)
+def op12_ranked_search(spark, sf):
+    return lexical.top_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
+
+
 def _levels_sql(before: str, group: str, levels: int) -> str:
     """Levels of the trees of ``group`` over the nodes ``{before}0`` (group, pos, n, h), and each leaf's way ``{before}way{k}``."""
     out = []
