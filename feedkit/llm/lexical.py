@@ -231,7 +231,7 @@ class Shard:
         self.pair[lists["pair"]] = np.arange(len(lists["pair"]))
         self.most, self.kth = self._tops(lists["impact"], lists["first"], k)
         self.joint_most, self.joint_kth = self._tops(lists["joint"], lists["pair_first"], k)
-        self.touched = 0
+        self.touched = self.looked_up = 0
 
     @staticmethod
     def _tops(values: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -246,15 +246,16 @@ class Shard:
     def _most_of(self, t: int) -> int:
         return int(self.most[self.term[t]]) if self.term[t] >= 0 else 0
 
-    def _bound(self, unit: tuple[int, int, int]) -> tuple[int, int]:
-        """The most that a document takes from a unit, and a score that k documents reach by it alone."""
-        bound = least = 0
-        for t in unit[:2]:
-            if t >= 0 and self.term[t] >= 0:
-                bound, least = max(bound, self.most[self.term[t]]), max(least, self.kth[self.term[t]])
-        if unit[2] >= 0 and self.pair[unit[2]] >= 0:
-            bound, least = max(bound, self.joint_most[self.pair[unit[2]]]), max(least, self.joint_kth[self.pair[unit[2]]])
-        return int(bound), int(least)
+    def _pair_most(self, unit: tuple[int, int, int]) -> int:
+        """The most that a document takes from a pair: with both terms the joint maximum, else the greater of their own."""
+        i = self.pair[unit[2]]
+        return max(self._most_of(unit[0]), self._most_of(unit[1]), int(self.joint_most[i]) if i >= 0 else 0)
+
+    def _reached(self, unit: tuple[int, int, int]) -> int:
+        """A score that k documents reach by this unit alone."""
+        by_term = [int(self.kth[self.term[t]]) for t in unit[:2] if t >= 0 and self.term[t] >= 0]
+        i = self.pair[unit[2]] if unit[2] >= 0 else -1
+        return max([0, *by_term, *([int(self.joint_kth[i])] if i >= 0 else [])])
 
     def _postings(self, t: int) -> tuple[np.ndarray, np.ndarray]:
         i = self.term[t] if t >= 0 else -1
@@ -264,45 +265,54 @@ class Shard:
         return self.lists["place"][here], self.lists["impact"][here]
 
     def _look_up(self, places: np.ndarray, values: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        self.touched += len(docs)
+        self.looked_up += len(docs)
         if not len(places):
             return np.zeros(len(docs), np.int64)
         at = np.minimum(np.searchsorted(places, docs), len(places) - 1)
         return np.where(places[at] == docs, values[at], 0)
 
+    def _left_out(self, units: Sequence[tuple[int, int, int]], theta: int) -> list[tuple[int, tuple[int, int, int]]]:
+        """Terms that all together cannot reach ``theta``, as (bound, unit): pairs where both terms are among them, single terms else.
+
+        Terms come in the order of their own maxima.  One whose partner is in already adds only what their joint bound
+        exceeds the partner's own.
+        """
+        home = {t: u for u in units for t in u[:2] if t >= 0}
+        inside, bound = {}, 0
+        for t in sorted(home, key=self._most_of):
+            unit = home[t]
+            if unit in inside:
+                mine = self._pair_most(unit)
+                more, whole = mine - inside[unit][0], unit
+            else:
+                mine = more = self._most_of(t)
+                whole = (t, -1, -1)
+            if bound + more < theta:
+                bound += more
+                inside[unit] = mine, whole
+        return sorted(inside.values())
+
     def search(self, units: Sequence[tuple[int, int, int]], theta: int) -> tuple[np.ndarray, np.ndarray]:
         """Documents (places) that may score ``theta`` or more, with their scores.
 
-        ``units`` are (term, term, pair), disjoint, or (term, -1, -1).  The units of the least bounds that cannot reach the
-        threshold together make no candidate; what is found in the others is looked up in them, the highest bound first.
+        ``units`` are (term, term, pair), disjoint, or (term, -1, -1).  Terms that cannot reach the threshold together make
+        no candidate; what is found by the others is looked up in them, the highest bound first.
         """
-        limits = [self._bound(u) for u in units]
-        theta = max(theta, 1, *[least for _, least in limits]) if limits else 1
-        order = sorted(range(len(units)), key=lambda i: limits[i][0])
-        below = np.cumsum([0, *[limits[i][0] for i in order]])
-        skip = max(0, int(np.searchsorted(below, theta, side="left")) - 1)
-        # the lesser term of the first unit that counts may still be too little beside the units left out
-        half, more = -1, 0
-        if skip < len(order) and units[order[skip]][1] >= 0:
-            more, lesser = min((self._most_of(t), t) for t in units[order[skip]][:2])
-            half, more = (lesser, more) if below[skip] + more < theta else (-1, 0)
+        theta = max([theta, 1, *[self._reached(u) for u in units]])
+        rest = self._left_out(units, theta)
+        below = np.cumsum([0, *[bound for bound, _ in rest]])
+        skipped = {t for _, unit in rest for t in unit[:2]}
         total = np.zeros(self.size, np.int64)
-        for i in order[skip:]:
-            for t in units[i][:2]:
-                if t != half:
-                    places, impacts = self._postings(t)
-                    total[places] += impacts
-                    self.touched += len(places)
-        docs = np.flatnonzero((total > 0) & (total + (below[skip] + more) >= theta))
+        for t in (t for u in units for t in u[:2] if t not in skipped):
+            places, impacts = self._postings(t)
+            total[places] += impacts
+            self.touched += len(places)
+        docs = np.flatnonzero((total > 0) & (total + below[-1] >= theta))
         scores = total[docs]
-        if half >= 0 and len(docs):
-            scores = scores + self._look_up(*self._postings(half), docs)
-            stay = scores + below[skip] >= theta
-            docs, scores = docs[stay], scores[stay]
-        for j in range(skip - 1, -1, -1):
+        for j in range(len(rest) - 1, -1, -1):
             if not len(docs):
                 break
-            docs, scores = self._add_unit(units[order[j]], docs, scores, theta - int(below[j]))
+            docs, scores = self._add_unit(rest[j][1], docs, scores, theta - int(below[j]))
         return docs, scores
 
     def _add_unit(self, unit: tuple[int, int, int], docs: np.ndarray, scores: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:

@@ -124,5 +124,6 @@ def test_bounds_lose_no_document_and_pairs_touch_fewer():
             tenth = np.sort(impact.sum(axis=1))[-10]
             must = np.flatnonzero(impact.sum(axis=1) >= max(theta, tenth))
             assert set(must) <= set(found[0][1]) and set(must) <= set(found[1][1])
+            assert found[0][0] <= found[1][0]
             by_pairs, by_terms, everything = by_pairs + found[0][0], by_terms + found[1][0], everything + len(lists["place"])
     assert by_pairs < by_terms < everything
