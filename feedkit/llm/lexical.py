@@ -21,8 +21,8 @@ from feedkit.llm import words
 from feedkit.llm.stored import Scratch, small_batches
 
 # A shard is closed at so many documents or postings.
-SHARD_DOCS = 8192
-SHARD_POSTINGS = 1 << 20
+SHARD_DOCS = 2048
+SHARD_POSTINGS = 1 << 18
 # Pairs of item and term that one pass over the documents takes, the terms of one item excepted.
 BLOCK_TERMS = 1 << 19
 
@@ -118,23 +118,38 @@ def query_blocks(items: DataFrame, item: str, column: str, scratch: Scratch, mos
 
 # postings, shard by shard
 
+INTS, LONGS = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
+POSTING_LISTS = {"length": LONGS, "term": INTS, "first": INTS, "place": INTS, "tf": INTS}
+PAIR_LISTS = {"impact": LONGS, "pair": INTS, "pair_first": INTS, "pair_place": INTS, "joint": LONGS}
+SHARD_LISTS = {c: POSTING_LISTS[c] for c in ("length", "term", "first", "place")}
+
+
+def _one_row(ids: pa.Array, values: dict[str, np.ndarray], kinds: dict[str, T.ArrayType]) -> pa.RecordBatch:
+    """A shard as one row of lists."""
+    lists = [ids, *[pa.array(values[c].astype(np.int32 if k == INTS else np.int64)) for c, k in kinds.items()]]
+    rows = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in lists]
+    return pa.RecordBatch.from_arrays(rows, ["id", *kinds])
+
+
+def _shard_type(key: T.DataType, kinds: dict[str, T.ArrayType]) -> T.StructType:
+    return T.StructType([T.StructField("id", T.ArrayType(key)), *[T.StructField(c, k) for c, k in kinds.items()]])
+
 
 def _postings(names: list[str], key: str, column: str, vocabulary: np.ndarray, longest: int):
     """One row for each shard: its documents with their lengths, and the postings of the vocabulary by term and document."""
 
-    def shard(ids: list, lengths: list, held: list, out: pa.Schema) -> pa.RecordBatch:
-        term, place, tf = (np.concatenate([h[k] for h in held]) if held else np.zeros(0, np.int64) for k in range(3))
+    def shard(ids: list, lengths: list, held: list) -> pa.RecordBatch:
+        term, place, tf = (np.concatenate([h[k] for h in held]) for k in range(3))
         order = np.lexsort((place, term))
         term, place, tf = term[order], place[order], tf[order]
         terms, first = np.unique(term, return_index=True)
-        values = (pa.concat_arrays(ids), np.concatenate(lengths), terms, np.append(first, len(term)), place, tf)
-        return pa.RecordBatch.from_arrays([pa.array([v.tolist() if isinstance(v, np.ndarray) else v], f.type) for v, f in zip(values, out)], schema=out)
+        values = {"length": np.concatenate(lengths), "term": terms, "first": np.append(first, len(term)), "place": place, "tf": tf}
+        return _one_row(pa.concat_arrays(ids), values, POSTING_LISTS)
 
     def run(batches):
-        ids, lengths, held, docs, size, out = [], [], [], 0, 0, None
+        ids, lengths, held, docs, size = [], [], [], 0, 0
         for batch in batches:
             keys = batch.column(names.index(key))
-            out = pa.schema([("id", pa.list_(keys.type)), *[(c, pa.list_(pa.int64())) for c in ("length", "term", "first", "place", "tf")]])
             data, offsets = words.text_bytes(batch.column(names.index(column)))
             for low, high in words.pieces(offsets):
                 at = offsets[low: high + 1]
@@ -147,18 +162,17 @@ def _postings(names: list[str], key: str, column: str, vocabulary: np.ndarray, l
                 lengths.append(counts)
                 docs, size = docs + high - low, size + len(pair)
                 if docs >= SHARD_DOCS or size >= SHARD_POSTINGS:
-                    yield shard(ids, lengths, held, out)
+                    yield shard(ids, lengths, held)
                     ids, lengths, held, docs, size = [], [], [], 0, 0
         if docs:
-            yield shard(ids, lengths, held, out)
+            yield shard(ids, lengths, held)
 
     return run
 
 
 def postings(docs: DataFrame, key: str, column: str, vocabulary: np.ndarray, longest: int) -> DataFrame:
     """(id, length, term, first, place, tf) of each shard of ``docs``: term k of a shard has the postings first[k] to first[k + 1]."""
-    longs = T.ArrayType(T.LongType())
-    schema = T.StructType([T.StructField("id", T.ArrayType(docs.schema[key].dataType)), *[T.StructField(c, longs) for c in ("length", "term", "first", "place", "tf")]])
+    schema = _shard_type(docs.schema[key].dataType, POSTING_LISTS)
     return small_batches(docs.select(key, column)).mapInArrow(_postings([key, column], key, column, vocabulary, longest), schema)
 
 
@@ -170,7 +184,7 @@ def term_weight(n: int, df: int) -> int:
 
 
 def _lists(batch: pa.RecordBatch, row: int) -> dict[str, np.ndarray]:
-    return {c: batch.column(i)[row].values.to_numpy(zero_copy_only=False) for i, c in enumerate(batch.schema.names) if c != "id"}
+    return {c: batch.column(i)[row].values.to_numpy(zero_copy_only=False).astype(np.int64) for i, c in enumerate(batch.schema.names) if c != "id"}
 
 
 def pair_lists(rows: dict[str, np.ndarray], weights: np.ndarray, pairs: np.ndarray, n: int, words_in_all: int) -> dict[str, np.ndarray]:
@@ -199,20 +213,13 @@ def pair_lists(rows: dict[str, np.ndarray], weights: np.ndarray, pairs: np.ndarr
             "pair_place": np.concatenate(places) if places else none, "joint": np.concatenate(joint) if joint else none}
 
 
-PAIR_LISTS = ["impact", "pair", "pair_first", "pair_place", "joint"]
-SHARD_LISTS = ["length", "term", "first", "place"]
-
-
 def _index(names: list[str], weights: np.ndarray, pairs: np.ndarray, n: int, words_in_all: int):
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
                 have = _lists(batch, row)
                 have |= pair_lists(have, weights, pairs, n, words_in_all)
-                one = batch.slice(row, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [one.column(names.index("id")), *[pa.array([have[c].tolist()], pa.list_(pa.int64())) for c in (*SHARD_LISTS, *PAIR_LISTS)]],
-                    ["id", *SHARD_LISTS, *PAIR_LISTS])
+                yield _one_row(batch.column(names.index("id"))[row].values, have, SHARD_LISTS | PAIR_LISTS)
 
     return run
 
@@ -388,8 +395,7 @@ def _search_block(docs: DataFrame, key: str, column: str, block: list[tuple], k:
         two = paired(at.tolist(), weights)
         units.append([(a, b, numbers.setdefault((a, b), len(numbers)) if b >= 0 else -1) for a, b in two])
     pairs = np.array(list(numbers), np.int64).reshape(-1, 2)
-    longs = T.ArrayType(T.LongType())
-    schema = T.StructType([found.schema["id"], *[T.StructField(c, longs) for c in (*SHARD_LISTS, *PAIR_LISTS)]])
+    schema = _shard_type(docs.schema[key].dataType, SHARD_LISTS | PAIR_LISTS)
     index = scratch.write(found.mapInArrow(_index(found.columns, weights, pairs, n, words_in_all), schema))
     scratch.drop(found)
     out = T.StructType([T.StructField("number", T.IntegerType()), T.StructField("id", docs.schema[key].dataType), T.StructField("score", T.LongType())])
