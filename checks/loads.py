@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.feeds import ORDER_SCHEMA, plain_orders
 from checks.registry import query, table
-from feedkit.operators import keys, load, reports, tables
+from feedkit.operators import keys, load, publish, reports, tables
 from feedkit.plans.load_job import LoadSpec, tag_rows
 from feedkit.plans.storage import materialize, scratch_database
 
@@ -136,10 +136,10 @@ def upsert_by_key(spark, sf):
     columns = [*[c for c in target_orders(spark, sf).columns if c != "o_orderstatus"], "o_orderstatus"]
     target_orders(spark, sf).select(*columns).write.partitionBy("o_orderstatus").saveAsTable(name)
     first = staged_orders(spark, sf)
-    load.publish_upsert(spark, name, first, ["o_orderkey"], "199701010000")
+    publish.publish_upsert(spark, name, first, ["o_orderkey"], "199701010000")
     named = first.where("o_orderkey IS NOT NULL")
-    load.publish_upsert(spark, name, named, ["o_orderkey"], "199701010000")
-    assert load.partition_columns(spark, name) == ["o_orderstatus"]
+    publish.publish_upsert(spark, name, named, ["o_orderkey"], "199701010000")
+    assert publish.partition_columns(spark, name) == ["o_orderstatus"]
     return spark.table(name)
 
 
@@ -264,8 +264,8 @@ def missing_feeds_by_pattern(spark, sf):
 @query("full_refresh_swap", f"SELECT * FROM ({CHANGED_SQL})")
 def full_refresh_swap(spark, sf):
     name = f"{scratch_database(spark)}.orders_t"
-    load.full_refresh_swap(spark, name, target_orders(spark, sf), "199701010000")
-    load.full_refresh_swap(spark, name, staged_orders(spark, sf), "199701020000")
+    publish.full_refresh_swap(spark, name, target_orders(spark, sf), "199701010000")
+    publish.full_refresh_swap(spark, name, staged_orders(spark, sf), "199701020000")
     return spark.table(name)
 
 

@@ -147,77 +147,11 @@ def upsert_by_key(target: DataFrame, staged: DataFrame, keys: Sequence[str]) ->
     return key_joins.delete_by_keys(target, staged, keys).unionByName(staged.select(*target.columns))
 
 
-def full_refresh_swap(spark: SparkSession, table: str, staged: DataFrame, stamp: str) -> None:
-    """Write the rows next to the table, then rename them into its place.  Runs at once.
-
-    A table that is there already hands its format, partitioning, comments and properties on, and takes columns by
-    name.  If the second rename fails the old rows are still there as ``<table>_bak_<stamp>``.
-    """
-    tmp, backup = f"{table}_tmp", f"{table}_bak_{stamp}"
-    there = spark.catalog.tableExists(table)
-    if there and sorted(spark.table(table).columns) == sorted(staged.columns):
-        spark.sql(f"DROP TABLE IF EXISTS {tmp}")
-        spark.sql(f"CREATE TABLE {tmp} LIKE {table}")
-        kept = [r for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if not r["key"].startswith(("transient", "numFiles", "totalSize"))]
-        if kept:
-            pairs = ", ".join(f"{_quoted(r['key'])} = {_quoted(r['value'])}" for r in kept)
-            spark.sql(f"ALTER TABLE {tmp} SET TBLPROPERTIES ({pairs})")
-        _insert(staged, tmp)
-    else:
-        staged.write.mode("overwrite").saveAsTable(tmp)
-    if there:
-        spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
-    spark.sql(f"ALTER TABLE {tmp} RENAME TO {table}")
-    spark.sql(f"DROP TABLE IF EXISTS {backup}")
-
-
-def _quoted(text_: str) -> str:
-    return "'" + text_.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _insert(rows: DataFrame, table: str) -> None:
-    """Replace the partitions that ``rows`` has, or all rows of a table without partitions."""
-    spark = rows.sparkSession
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    # the session's setting is the one that an insert obeys
-    spark.conf.set(setting, "dynamic")
-    try:
-        rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
-
-
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-
-
 def full_refresh_rewrite(table: str, staged: DataFrame) -> None:
     """Replace all rows of a table, columns by position.  Runs at once."""
     staged.write.insertInto(table, overwrite=True)
 
 
-def publish_upsert(spark: SparkSession, table: str, staged: DataFrame, keys: Sequence[str], stamp: str,
-                   keep: Callable[[DataFrame], DataFrame] = materialize) -> None:
-    """Upsert into a table that Spark cannot change in place.  Runs at once.
-
-    Of a partitioned table only those partitions are written anew that lose or gain rows; a partition that would
-    be left empty needs the whole table to be rewritten, as a table without partitions always is.
-    """
-    target = spark.table(table)
-    parts = partition_columns(spark, table)
-    if not parts:
-        full_refresh_swap(spark, table, upsert_by_key(target, staged, keys), stamp)
-        return
-    lost = key_joins.rows_to_replace(target, staged, keys).select(*parts)
-    touched = keep(lost.union(staged.select(*parts)).distinct())
-    whole = keep(upsert_by_key(key_joins.semi(target, touched, parts, nulls=True), staged, keys))
-    if key_joins.anti(touched, whole, parts, nulls=True).isEmpty():
-        _insert(whole, table)
-    else:
-        full_refresh_swap(spark, table, upsert_by_key(target, staged, keys), stamp)
-
-
 def lob_load(normal: DataFrame, over: DataFrame, lobs: DataFrame, lob_columns: Sequence[str]) -> DataFrame:
     """Rows of normal length, and over-length rows with their contents looked up.
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from feedkit.functions import text
 from feedkit.operators import keys as key_joins
-from feedkit.operators import load
+from feedkit.operators import load, publish
 from feedkit.plans.storage import materialize
 
 
@@ -64,8 +64,18 @@ def load_table(spark: SparkSession, table: str, lines: DataFrame, spec: LoadSpec
     return load.load_metrics(tagged, load_tagged(spark, table, tagged, spec, stamp))
 
 
+def _digest(rows: DataFrame) -> str:
+    """What tells one set of rows from another, in any order: their number and the sum of their hashes.  Runs at once."""
+    total = F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))
+    return "/".join(str(v) for v in rows.agg(F.count("*"), F.coalesce(total, F.lit(0))).first())
+
+
 def load_tagged(spark: SparkSession, table: str, tagged: DataFrame, spec: LoadSpec, stamp: str) -> int:
-    """Keep the rejects of tagged rows, put the good ones into the table, return how many rows they replaced.  Runs at once."""
+    """Keep the rejects of tagged rows, put the good ones into the table, return how many rows they replaced.  Runs at once.
+
+    A try that broke off is finished or undone first.  If the same rows were published under this stamp already the table
+    stays as it is, and the number is the one of then.
+    """
     names = spec.schema.fieldNames()
     good = tagged.where("kind = 'good'").select(*names)
     rejects = {
@@ -73,9 +83,12 @@ def load_tagged(spark: SparkSession, table: str, tagged: DataFrame, spec: LoadSp
         "uv": tagged.where("kind = 'uv'").select(*load.LINE_KEY, *names),
     }
     load.reject_snapshot(spark, rejects, table, stamp)
+    digest = _digest(good)
+    if done := publish.is_published(spark, table, stamp, {"digest": digest}):
+        return done["replaced"]
     if spec.mode == "full":
-        load.full_refresh_swap(spark, table, good, stamp)
+        publish.full_refresh_swap(spark, table, good, stamp, {"digest": digest, "replaced": 0})
         return 0
-    deleted = key_joins.rows_to_replace(spark.table(table), good, spec.keys).count()
-    load.publish_upsert(spark, table, good, spec.keys, stamp)
-    return deleted
+    replaced = key_joins.rows_to_replace(spark.table(table), good, spec.keys).count()
+    publish.publish_upsert(spark, table, good, spec.keys, stamp, {"digest": digest, "replaced": replaced})
+    return replaced

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedkit.functions import match, text
-from feedkit.operators import bytecut, extract, feed, keys, load, reports
+from feedkit.operators import bytecut, extract, feed, keys, load, publish, reports
 from feedkit.plans.feed_job import FeedSpec, transform_chain
 from feedkit.plans.load_job import LoadSpec, load_table
 from feedkit.plans.storage import scratch_database, scratch_path
@@ -139,7 +139,7 @@ def test_a_load_of_one_stamp_twice_gives_the_same_table(spark):
     assert files == {r["f"] for r in spark.table(table).where("p = 'z'").select(F.col("_metadata.file_path").alias("f")).collect()}
     # emptying a partition rewrites the table, which keeps its layout
     load_table(spark, table, feed_lines(spark, ["4,d,x"]), spec, "3")
-    assert load.partition_columns(spark, table) == ["p"]
+    assert publish.partition_columns(spark, table) == ["p"]
     assert spark.table(table).where("p = 'z'").count() == 0
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     assert properties["owner.team"] == "x"
