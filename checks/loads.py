@@ -131,6 +131,14 @@ def rows_to_replace(spark, sf):
     f"SELECT * FROM ({TARGET_SQL}) t WHERE NOT EXISTS {MATCH_SQL} UNION ALL SELECT * FROM ({CHANGED_SQL})",
 )
 def upsert_by_key(spark, sf):
+    return load.upsert_by_key(target_orders(spark, sf), staged_orders(spark, sf), ["o_orderkey"])
+
+
+@query(
+    "publish_upsert",
+    f"SELECT * FROM ({TARGET_SQL}) t WHERE NOT EXISTS {MATCH_SQL} UNION ALL SELECT * FROM ({CHANGED_SQL})",
+)
+def publish_upsert(spark, sf):
     # through a partitioned table, and a second time with the same stamp
     name = f"{scratch_database(spark)}.orders_t"
     columns = [*[c for c in target_orders(spark, sf).columns if c != "o_orderstatus"], "o_orderstatus"]

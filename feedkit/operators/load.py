@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +11,18 @@ from pyspark.sql import types as T
 
 from feedkit.functions import text
 from feedkit.operators import keys as key_joins
+from feedkit.operators.order import with_rank
 from feedkit.plans.once import compute_once
 from feedkit.plans.storage import materialize
 
 LINE_KEY = ["file", "block", "line_no"]
 
+# Digits of a line's place as one number: up to a million files of 8 TB each in one load.
+FILE_BITS, BLOCK_BITS, LINE_BITS = 20, 43, 63
+PLACE = "decimal(38,0)"
+# Copies of one row that are written out at a time.
+COPIES = 4096
+
 _DAY = r"[+-]?\d{4,}-\d{2}-\d{2}"
 _TIME = r"[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?"
 
@@ -109,6 +117,32 @@ def meet_first(rows: DataFrame, firsts: DataFrame, keys: Sequence[str], flag: st
     return met.select(*rows.columns, (F.coalesce("_first", "_id") == F.col("_id")).alias(flag))
 
 
+def in_place(staged: DataFrame, keep: Callable[[DataFrame], DataFrame] = materialize) -> DataFrame:
+    """Lines with ``_id``, a number that grows with ``LINE_KEY``.  Runs at once over the files' names and extents.
+
+    The number packs the rank of the file, the block and the line number into one decimal, whose minimum a hash
+    aggregate combines before the shuffle; no line is sorted or written.  Only names of files are ranked.  More files or
+    larger ones than the digits hold are numbered through a written table in order (``keep``).
+    """
+    extents = staged.groupBy("file").agg(
+        F.min("block").alias("_low"), F.max("block").alias("_high"), F.min("line_no").alias("_line"), F.count("line_no").alias("_n"),
+        F.count("block").alias("_m"), F.count("*").alias("_all"))
+    ranked = with_rank(extents, [("file", "asc")], "_rank")
+    ends = ranked.agg(F.count("*").alias("files"), F.min("_low").alias("low"), F.max("_high").alias("high"), F.min("_line").alias("line"),
+                      F.bool_and(F.col("_n") + F.col("_m") == 2 * F.col("_all")).alias("whole")).first()
+    if ends["files"] == 0:
+        return staged.withColumn("_id", F.lit(0).cast(PLACE))
+    fits = ends["whole"] and ends["files"] < 1 << FILE_BITS and 0 <= ends["low"] and ends["high"] < 1 << BLOCK_BITS and ends["line"] >= 0
+    if not fits:
+        return numbered(staged, LINE_KEY, keep)
+    ranks = ranked.select(F.col("file").alias("_of"), "_rank")
+    place = (
+        F.col("_rank").cast(PLACE) * F.lit(Decimal(1 << (BLOCK_BITS + LINE_BITS))).cast(PLACE)
+        + F.col("block").cast(PLACE) * F.lit(Decimal(1 << LINE_BITS)).cast(PLACE) + F.col("line_no").cast(PLACE)
+    )
+    return staged.join(ranks, F.col("file").eqNullSafe(F.col("_of"))).select(*staged.columns, place.cast(PLACE).alias("_id"))
+
+
 def unique_violations(staged: DataFrame, keys: Sequence[str],
                       order: Sequence[str] = LINE_KEY) -> tuple[DataFrame, DataFrame]:
     """The first row of each key, and the rows of a key that is taken already.  Runs at once."""
@@ -117,29 +151,52 @@ def unique_violations(staged: DataFrame, keys: Sequence[str],
 
 
 def mark_first(staged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Adds ``_first``: is this row the first of its key in the order of ``order``?  Runs at once.
+    """Adds ``_first``: is this row the first of its key in the order of ``order``?  Runs at once for lines and maps only.
 
-    Of rows that ``order`` does not tell apart any one may be first.  A key with very many rows stays spread out: its
-    first row is found by an aggregate that combines before the shuffle.
+    ``LINE_KEY`` tells lines apart.  Of rows that another ``order`` does not tell apart the least by all other columns is
+    first.  A key with very many rows stays spread out: its first row is found by an aggregate that combines before
+    the shuffle.  Equal rows are counted, not compared.  Rows with maps, which have no order, go through a written table.
     """
-    rows = numbered(staged, order)
+    if list(order) == LINE_KEY:
+        rows = in_place(staged)
+    elif any(isinstance(f.dataType, T.MapType) for f in staged.schema):
+        rows = numbered(staged, order)
+    else:
+        return _mark_counted(staged, keys, order)
     return meet_first(rows, first_ids(rows, keys), keys, "_is_first").select(
         *staged.columns, F.col("_is_first").alias("_first"))
 
 
-def duplicate_rows(staged: DataFrame, order: Sequence[str] = LINE_KEY) -> DataFrame:
-    """Distinct rows by everything but ``order``, with the first order and the number of copies.
+def _mark_counted(staged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``mark_first`` over counts of equal rows; a row with very many copies is counted in shares."""
+    names = staged.columns
+    # grouping takes -0.0 for 0.0, so its sign is kept beside it
+    minus = {c: F.col(c).cast("string") == "-0.0" for c, kind in staged.dtypes if kind in ("float", "double")}
+    signs = [m.alias(f"_minus_{c}") for c, m in minus.items()]
+    counted = staged.select("*", *signs, (F.spark_partition_id() % key_joins.SPREAD).alias("_share"))
+    counted = counted.groupBy(*counted.columns).agg(F.count("*").alias("_n"))
+    rest = [c for c in counted.columns if c not in order and c != "_n"]
+    counted = counted.withColumn("_place", F.struct(*order, *rest))
+    firsts = counted.groupBy(*keys).agg(F.min("_place").alias("_least"), F.sum("_n").alias("_rows")).where("_rows > 1")
+    firsts = firsts.select("_least", *[F.col(c).alias(f"_k_{i}") for i, c in enumerate(keys)])
+    met = counted.join(firsts, [F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(keys)], "left")
+    restored = [F.when(F.col(f"_minus_{c}"), F.lit(-0.0).cast(t)).otherwise(F.col(c)).alias(c) if c in minus else F.col(c) for c, t in staged.dtypes]
+    least = F.col("_least").isNull() | F.col("_place").eqNullSafe(F.col("_least"))
+    chunks = met.select(*restored, least.alias("_least"), "_n", F.explode(F.expr(f"sequence(0, (_n - 1) div {COPIES})")).alias("_chunk"))
+    begin = F.col("_chunk") * COPIES
+    copies = chunks.select(*names, "_least", F.explode(F.sequence(begin + 1, F.least(begin + COPIES, F.col("_n")))).alias("_copy"))
+    return copies.select(*names, (F.col("_least") & (F.col("_copy") == 1)).alias("_first"))
 
-    One order column is aggregated as it is; several are numbered first, which runs at once.
-    """
+
+def duplicate_rows(staged: DataFrame, order: Sequence[str] = LINE_KEY) -> DataFrame:
+    """Distinct rows by everything but ``order``, with the first order and the number of copies."""
     data = [c for c in staged.columns if c not in order]
     present = [c for c in order if c in staged.columns]
     copies = F.count("*").alias("copies")
     if len(present) < 2:
         return staged.groupBy(*data).agg(*[F.min(c).alias(c) for c in present], copies).select(*present, *data, "copies")
-    rows = numbered(staged, present)
-    counts = rows.groupBy(*data).agg(F.min("_id").alias("_first"), copies).select("_first", "copies")
-    return rows.join(counts, F.col("_id") == F.col("_first")).select(*present, *data, "copies")
+    counts = staged.groupBy(*data).agg(F.min(F.struct(*present)).alias("_first"), copies)
+    return counts.select(*[F.col("_first")[c].alias(c) for c in present], *data, "copies")
 
 
 def upsert_by_key(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -29,13 +29,13 @@ class LoadSpec:
 def tag_rows(lines: DataFrame, spec: LoadSpec) -> DataFrame:
     """All lines, typed and tagged: ``kind`` is good, et, uv or duplicate.  Runs at once.
 
-    A row equal to an earlier one is a duplicate; another row with a key that is taken violates uniqueness.  Lines
-    are parsed once, into a table in the order of the input.  Keys are counted by a hash aggregate; only rows of
-    keys that come again are looked at for equals.
+    A row equal to an earlier one is a duplicate; another row with a key that is taken violates uniqueness.  Keys are
+    counted by a hash aggregate; only rows of keys that come again are looked at for equals.  Lines are neither sorted
+    nor written, and are parsed for the keys, for the equals and for the rows.
     """
     order = load.LINE_KEY
     names, key = spec.schema.fieldNames(), list(spec.keys)
-    rows = load.numbered(load.typed_lines(lines, text.delimiter_of(spec.delimiter), spec.schema), order)
+    rows = load.in_place(load.typed_lines(lines, text.delimiter_of(spec.delimiter), spec.schema))
     fits = rows.where("reason IS NULL")
     again = load.first_ids(fits, key)
     keyed = load.meet_first(rows, again, key, "_key_first")
