@@ -78,7 +78,7 @@ def typed_lines(lines: DataFrame, delimiter: str, schema: T.StructType) -> DataF
     count = F.when(F.size("_fields") != n, F.concat(F.size("_fields").cast("string"), F.lit(f" fields, not {n}")))
     problems = [_problem(f, c, F.col("_typed")[f.name]) for f, c in zip(schema.fields, texts)]
     reason = F.coalesce(count, F.nullif(F.concat_ws("; ", *problems), F.lit("")))
-    key = [c for c in LINE_KEY if c in lines.columns]
+    key = [c for c in (*LINE_KEY, "_id") if c in lines.columns]
     flagged = compute_once(cast, "reason", reason)
     return flagged.select(
         *key, "_typed.*", "reason", F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")

@@ -29,26 +29,32 @@ class LoadSpec:
 def tag_rows(lines: DataFrame, spec: LoadSpec) -> DataFrame:
     """All lines, typed and tagged: ``kind`` is good, et, uv or duplicate.  Runs at once.
 
-    A row equal to an earlier one is a duplicate; another row with a key that is taken violates uniqueness.  Keys are
-    counted by a hash aggregate; only rows of keys that come again are looked at for equals.  Lines are neither sorted
-    nor written, and are parsed for the keys, for the equals and for the rows.
+    A row equal to an earlier one is a duplicate; another row with a key that is taken violates uniqueness.  One hash
+    aggregate by key and content (two 64-bit hashes) finds firsts and copies; rows meet only the groups that come again.
+    Lines are neither sorted nor written, and are parsed twice: for the groups and for the rows.
     """
     order = load.LINE_KEY
     names, key = spec.schema.fieldNames(), list(spec.keys)
-    rows = load.in_place(load.typed_lines(lines, text.delimiter_of(spec.delimiter), spec.schema))
-    fits = rows.where("reason IS NULL")
-    again = load.first_ids(fits, key)
-    keyed = load.meet_first(rows, again, key, "_key_first")
-    repeats = key_joins.semi(fits, again.select(*[F.col(f"_k_{i}").alias(c) for i, c in enumerate(key)]), key, nulls=True)
-    equal = load.first_ids(repeats, names)
-    met = load.meet_first(keyed, equal, names, "_row_first")
+    rows = load.typed_lines(load.in_place(lines), text.delimiter_of(spec.delimiter), spec.schema)
+    rows = rows.withColumns({"_hash": F.xxhash64(*names), "_more": F.xxhash64(F.lit(1), *names)})
+    groups = rows.where("reason IS NULL").groupBy(*key, "_hash", "_more").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    again = groups.groupBy(*key).agg(F.min("_first").alias("_first"), F.sum("_n").alias("_n")).where("_n > 1")
+    met = _meet(rows, again, key, "_key_first")
+    met = _meet(met, groups.where("_n > 1"), [*key, "_hash", "_more"], "_row_first")
     kind = (
-        F.when(F.col("reason").isNotNull(), "et").when(~F.col("_row_first"), "duplicate")
-        .when(~F.col("_key_first"), "uv").otherwise("good")
+        F.when(F.col("reason").isNotNull(), "et").when(F.col("_row_first") < F.col("_id"), "duplicate")
+        .when(F.col("_key_first") < F.col("_id"), "uv").otherwise("good")
     )
     return met.select(*order, *names, "reason", "value", kind.alias("kind"))
 
 
+def _meet(rows: DataFrame, firsts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Adds the least ``_id`` of a row's group, NULL where it is the only one."""
+    named = firsts.select(F.col("_first").alias(name), *[F.col(c).alias(f"_k_{i}_{name}") for i, c in enumerate(keys)])
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{i}_{name}")) for i, c in enumerate(keys)]
+    return rows.join(named, same, "left").select(*rows.columns, name)
+
+
 def load_table(spark: SparkSession, table: str, lines: DataFrame, spec: LoadSpec, stamp: str) -> DataFrame:
     """Load lines into a catalog table, keep the rejects, return the metrics.  Runs at once.
 
