@@ -99,6 +99,31 @@ def column_stats(spark, sf):
     return reports.column_stats(orders, [n for n, _ in STAT_COLUMNS])
 
 
+def sketch_sql(ordinal: int, name: str, kind: str) -> str:
+    number = kind in ("bigint", "timestamp_ntz")
+    return f"SELECT ordinal, \"column\", type, rows, nulls, low, high, true AS distinct_near, {str(number).lower()} AS has_quantiles FROM ({column_sql(ordinal, name, kind)})"
+
+
+@query("column_sketches", " UNION ALL ".join(sketch_sql(i + 1, n, k) for i, (n, k) in enumerate(STAT_COLUMNS)))
+def column_sketches(spark, sf):
+    # statistics of two batches, merged, against exact counts of the whole
+    orders = table(spark, sf, "orders").withColumns({
+        "o_orderstatus": F.nullif("o_orderstatus", F.lit("F")), "pair": F.array("o_orderstatus", "o_orderpriority"),
+    })
+    names = [n for n, _ in STAT_COLUMNS]
+    batches = [orders.where("o_custkey % 3 = 0"), orders.where("o_custkey % 3 <> 0")]
+    merged = reports.merge_sketches(batches_of(batches, names), orders.select(*names).schema)
+    exact = reports.column_stats(orders, names).select("column", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * (4 * reports.DISTINCT_ERROR)
+    return reports.read_sketches(merged).join(exact, "column").select(
+        "ordinal", "column", "type", "rows", "nulls", "low", "high", near.alias("distinct_near"), F.col("quantiles").isNotNull().alias("has_quantiles"))
+
+
+def batches_of(frames, names):
+    parts = [reports.column_sketches(df, names) for df in frames]
+    return parts[0].unionAll(parts[1])
+
+
 @query(
     "order_multi",
     """
