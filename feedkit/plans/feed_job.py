@@ -58,10 +58,10 @@ def transform_chain(lines: DataFrame, names: Sequence[str | Step], spec: FeedSpe
 
     A step is a built-in name or a function of lines that changes ``value``, or adds
     ``kind``, and keeps all other columns and rows.  Neighbouring steps run as one stage:
-    a first pass finds the files that fail and where, a second applies the steps up to
-    there.  ``keep`` is called on what ``repair_linefeeds`` gives and on the list of failed
-    files, since they are read more than once; by default they are checkpointed, so these
-    passes run at once.
+    each is applied once to each line, which keeps what it was after every step that can refuse lines; where its file
+    stops decides afterwards which of these comes out.  ``keep`` is called on what ``repair_linefeeds`` and a stage that
+    can refuse lines give and on the list of failed files, since they are read more than once; by default they are
+    checkpointed, so these passes run at once.
     """
     spec = replace(spec, delimiter=text.delimiter_of(spec.delimiter))
     built_in = steps_of(spec)
@@ -103,32 +103,54 @@ def transform_chain(lines: DataFrame, names: Sequence[str | Step], spec: FeedSpe
 
 def _stage(lines: DataFrame, steps: Sequence[tuple[str, Step]],
            keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Row-wise steps on all lines, for each file up to the step that refuses one of them."""
-    done = _apply(lines.withColumn("_limit", F.lit(None).cast("int")), steps)
-    if any("kind" in step(lines).columns for _, step in steps):
-        limits = keep(done.where("kind = 'error'").groupBy("file").agg(F.min("_step").alias("_limit")))
+    """Row-wise steps on all lines once, then for each file what they gave up to the step that refuses one of its lines."""
+    done, refusing = _apply(lines, steps)
+    limit = F.lit(None).cast("int")
+    if refusing:
+        done = keep(done)
+        limits = keep(done.where("_kind = 'error'").groupBy("file").agg(F.min("_step").alias("_limit")))
         if not limits.isEmpty():
-            done = _apply(keys.join_small(lines, limits, ["file"], "line_no", "left"), steps)
+            done, limit = keys.join_small(done, limits, ["file"], "line_no", "left"), F.col("_limit")
+    # a line that was still good at the limit goes back to what it was there
+    back = F.coalesce(limit < F.coalesce("_step", F.lit(len(steps))), F.lit(False))
+    then = F.filter("_then", lambda s: s["step"] == limit)
+    value = F.when(back & (F.size(then) > 0), F.get(then, F.lit(0))["value"]).otherwise(F.col("value"))
     label = F.lit(None).cast("string")
     for k, (name, _) in enumerate(steps):
-        label = F.when(F.col("_limit") == k, name).otherwise(label)
-    gone = (F.col("kind") == "over") & (F.col("_step") < F.col("_limit"))
-    return done.withColumn("failed_step", F.when(~F.coalesce(gone, F.lit(False)), label)).select(*COLUMNS)
+        label = F.when(limit == k, name).otherwise(label)
+    gone = F.coalesce((F.col("_kind") == "over") & (F.col("_step") < limit), F.lit(False))
+    return done.select(
+        "file", "block", "line_no", F.when(back, "good").otherwise(F.col("_kind")).alias("kind"), value.alias("value"),
+        F.when(~gone, label).alias("failed_step"))
 
 
-def _apply(lines: DataFrame, steps: Sequence[tuple[str, Step]]) -> DataFrame:
+def _apply(lines: DataFrame, steps: Sequence[tuple[str, Step]]) -> tuple[DataFrame, bool]:
+    """Lines after all steps, and whether any step can refuse lines.
+
+    ``_kind`` and ``_step`` say how and where a line left; no later step changes it.  ``_then`` holds what it was after each
+    step that can refuse lines, where that is not what it is in the end.
+    """
     rows = lines.withColumns({"_kind": F.lit("good"), "_step": F.lit(None).cast("int")})
+    marks: dict[str, int] = {}
     for k, (_, step) in enumerate(steps):
         out = step(rows.withColumn("_before", F.col("value")))
-        live = (F.col("_kind") == "good") & F.coalesce(F.lit(k) <= F.col("_limit"), F.lit(True))
+        live = F.col("_kind") == "good"
         value = F.when(live, F.col("value")).otherwise(F.col("_before"))
         kind, at = F.col("_kind"), F.col("_step")
-        if "kind" in out.columns:
+        refuses = "kind" in out.columns
+        if refuses:
             kind = F.when(live, F.col("kind")).otherwise(kind)
             at = F.when(live & (F.col("kind") != "good"), F.lit(k)).otherwise(at)
         after = compute_once(out, "_after", F.struct(value.alias("value"), kind.alias("kind"), at.alias("step")))
         rows = after.select(
-            "file", "block", "line_no", "_limit", F.col("_after.value").alias("value"),
+            "file", "block", "line_no", *marks, F.col("_after.value").alias("value"),
             F.col("_after.kind").alias("_kind"), F.col("_after.step").alias("_step"),
         )
-    return rows.withColumnRenamed("_kind", "kind")
+        if refuses:
+            marks[f"_mark_{k}"] = k
+            rows = rows.withColumn(f"_mark_{k}", F.col("value"))
+    if not marks:
+        return rows.withColumn("_then", F.array().cast("array<struct<step:int,value:string>>")), False
+    then = F.array(*[F.struct(F.lit(k).alias("step"), F.col(m).alias("value")) for m, k in marks.items()])
+    changed = F.filter(then, lambda s: ~s["value"].eqNullSafe(F.col("value")))
+    return rows.withColumn("_then", changed).drop(*marks), True

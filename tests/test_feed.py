@@ -119,3 +119,30 @@ def test_chain_without_refusing_steps(spark):
     assert [(r["value"], r["kind"], r["failed_step"]) for r in out.orderBy("line_no").collect()] == [
         ("xx", "good", None), ("bx", "good", None)
     ]
+
+
+def test_each_step_runs_once_for_each_line(spark):
+    ran = {name: spark.sparkContext.accumulator(0) for name in ("first", "last")}
+
+    def counting(name, refuse):
+        seen = ran[name]
+
+        def mark(values):
+            for part in values:
+                seen.add(len(part))
+                yield part + name[0]
+
+        def step(rows):
+            out = rows.withColumn("value", F.pandas_udf(mark, "string", F.PandasUDFType.SCALAR_ITER)("value"))
+            return out.withColumn("kind", F.when(F.col("value").contains(refuse), "error").otherwise("good"))
+
+        step.__name__ = name
+        return step
+
+    lines = spark.createDataFrame([(f, n, f"{f}{n}") for f in "abc" for n in range(10)], "file string, line_no long, value string")
+    out = transform_chain(lines, [counting("first", "a3"), counting("last", "b4")], FeedSpec())
+    rows = {(r["file"], r["line_no"]): (r["kind"], r["value"], r["failed_step"]) for r in out.collect()}
+    assert {name: n.value for name, n in ran.items()} == {"first": 30, "last": 30}
+    assert rows["a", 3] == ("error", "a3f", "first") and rows["a", 4] == ("good", "a4f", "first")
+    assert rows["b", 4] == ("error", "b4fl", "last") and rows["b", 5] == ("good", "b5fl", "last")
+    assert rows["c", 0] == ("good", "c0fl", None)
