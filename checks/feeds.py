@@ -7,9 +7,10 @@ from pyspark.sql import types as T
 
 from checks.registry import query, table
 from feedkit.functions import text
-from feedkit.operators import feed, load, repair
+from feedkit.operators import feed, load, lobstore, repair
+from feedkit.operators.order import with_rank
 from feedkit.plans.feed_job import FeedSpec, transform_chain
-from feedkit.plans.storage import scratch_path
+from feedkit.plans.storage import materialize, scratch_path
 from feedkit.sinks import delimited
 from feedkit.sources import lines as src
 from feedkit.streaming import incremental
@@ -182,6 +183,25 @@ def write_split(spark, sf):
     return back.select(F.col("value").alias("record"), (longest <= 4000).alias("within"))
 
 
+@query(
+    "write_split_exact",
+    """
+    WITH lines AS (SELECT 0 AS n, 'o_orderkey,o_orderstatus' AS record UNION ALL
+                   SELECT row_number() OVER (ORDER BY o_orderkey DESC), CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus FROM orders)
+    SELECT CAST(n // 700 + 1 AS INTEGER) AS file_no, record, count(*) OVER (PARTITION BY n // 700) AS lines FROM lines
+    """,
+)
+def write_split_exact(spark, sf):
+    path = scratch_path(spark, "orders")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").orderBy(F.desc("o_orderkey"))
+    delimited.write_delimited(rows, path, "comma", header=True, lines_per_file=700)
+    back = src.scan_lines(spark, path)
+    sizes = back.groupBy("file").agg(F.count("*").alias("lines"))
+    # files in the order of their names: one row for each file
+    places = with_rank(sizes, [("file", "asc")], "file_no")
+    return back.join(places, "file").select(F.col("file_no").cast("int").alias("file_no"), F.col("value").alias("record"), "lines")
+
+
 @query(
     "write_transcoded",
     """
@@ -384,3 +404,23 @@ def transform_chain_query(spark, sf):
 
     steps = ["repair_linefeeds", "replace_chars", refuse_some, "truncate_columns", mark_over]
     return transform_chain(broken, steps, spec).select("file", "kind", "value", "failed_step")
+
+
+@query(
+    "lob_store",
+    """
+    WITH v AS (SELECT text AS content FROM documents UNION ALL SELECT lang FROM documents)
+    SELECT doc_id, text, lang, (SELECT count(*) FROM v WHERE content = lang) AS lang_refs,
+           (SELECT count(DISTINCT content) FROM v) AS stored FROM documents
+    """,
+)
+def lob_store(spark, sf):
+    # stored in two batches, merged and read back
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    parts = [lobstore.store_contents(docs.where(part), ["text", "lang"]) for part in ("doc_id % 2 = 0", "doc_id % 2 = 1")]
+    store = materialize(lobstore.merge_stores(parts[0][1], parts[1][1]))
+    rows = parts[0][0].unionAll(parts[1][0])
+    refs = store.select(F.col("content").alias("lang"), F.col("refs").alias("lang_refs"))
+    stored = store.agg(F.count("*").alias("n")).scalar()
+    back = lobstore.load_contents(rows, store, ["text", "lang"])
+    return back.join(refs, "lang").select("doc_id", "text", "lang", "lang_refs", stored.alias("stored"))

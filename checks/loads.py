@@ -175,23 +175,49 @@ RIGHT_SQL = """
 """
 
 
-@query(
-    "reconcile",
-    f"""
+RECONCILED_SQL = f"""
     WITH l AS ({LEFT_SQL}), r AS ({RIGHT_SQL})
     SELECT l.place, l.item, CASE WHEN l.item = r.item THEN 'same'
            WHEN l.item IN (SELECT item FROM r) THEN 'moved' ELSE 'only_left' END AS status
     FROM l LEFT JOIN r ON l.place = r.place
     UNION ALL SELECT place, item, 'only_right' FROM r WHERE item NOT IN (SELECT item FROM l)
-    """,
-)
-def reconcile(spark, sf):
+"""
+
+
+def two_lists(spark, sf):
     k = F.col("o_orderkey")
     orders = table(spark, sf, "orders")
     left = orders.select(k.alias("place"), (k * 10).alias("item"))
     item = F.when(k % 50 == 7, -k).when(k % 40 == 3, k * 10 + 10).otherwise(k * 10)
     right = orders.select(F.when(k % 60 == 11, -k).otherwise(k).alias("place"), item.alias("item"))
-    return keys.reconcile(left, right, ["item"], "place")
+    return left, right
+
+
+@query("reconcile", RECONCILED_SQL)
+def reconcile(spark, sf):
+    return keys.reconcile(*two_lists(spark, sf), ["item"], "place")
+
+
+@query("reconcile_ranges", RECONCILED_SQL)
+def reconcile_ranges(spark, sf):
+    return keys.reconcile_ranges(*two_lists(spark, sf), ["item"], "place", width=25)
+
+
+@query(
+    "list_tests",
+    """
+    WITH c AS (SELECT unnest(['itself', 'its beginning', 'another']) AS of)
+    SELECT of, of = 'itself' AS equal, of <> 'another' AS prefix FROM c WHERE (SELECT count(*) FROM orders) > 10
+    """,
+)
+def list_tests(spark, sf):
+    left, other = two_lists(spark, sf)
+    cases = {"itself": (left, left), "its beginning": (left.where("place < 10"), left), "another": (left, other)}
+    rows = [
+        keys.list_tests(keys.reconcile_ranges(a, b, ["item"], "place", width=1000), a, b).select(F.lit(of).alias("of"), "equal", "prefix")
+        for of, (a, b) in cases.items()
+    ]
+    return rows[0].unionAll(rows[1]).unionAll(rows[2])
 
 
 def stats_sql(name: str, columns: list[str]) -> str:

@@ -90,3 +90,10 @@ def glob_literal_prefix(pattern: Column) -> Column:
 def glob_literal_suffix(pattern: Column) -> Column:
     """The part of a name pattern behind its last wildcard."""
     return F.regexp_extract(pattern, r"([^*?\[\]]*)$", 1)
+
+
+def glob_literal_part(pattern: Column) -> Column:
+    """The longest part of a name pattern without wildcards; the first of several."""
+    parts = F.split(pattern, r"(?s)\[!?\][^\]]*\]|\[!?[^\]!][^\]]*\]|\[![^\]]+\]|[*?]", -1)
+    longest = F.array_max(F.transform(parts, lambda p, i: F.struct(F.length(p).alias("n"), (-i).alias("i"), p.alias("part"))))
+    return longest["part"]

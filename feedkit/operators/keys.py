@@ -97,6 +97,47 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], position:
     )
 
 
+# Positions of one range whose digests are compared.
+RANGE = 1 << 16
+
+
+def reconcile_ranges(left: DataFrame, right: DataFrame, keys: Sequence[str], position: str, width: int = RANGE) -> DataFrame:
+    """``reconcile`` that compares only ranges of positions that differ.  ``position`` is a whole number.
+
+    Each side's rows give a count and two sums of 64-bit hashes for every ``width`` positions, combined before the shuffle.
+    Ranges with the same three numbers are the same; their rows are taken from the left as they are.  Only the others go
+    through ``reconcile``, and what is in one list alone there is looked for in the whole other list.
+    """
+    def digests(side, name):
+        place = F.floor(F.col(position) / width).alias("_range")
+        rows = side.select(place, F.xxhash64(position, *keys).alias("_a"), F.xxhash64(F.lit(1), position, *keys).alias("_b"))
+        total = [F.sum(F.col(c).cast("decimal(38,0)")) for c in ("_a", "_b")]
+        return rows.groupBy("_range").agg(F.struct(F.count("*").alias("n"), *[t.alias(f"t{i}") for i, t in enumerate(total)]).alias(name))
+
+    both = digests(left, "_l").join(digests(right, "_r"), "_range", "full")
+    differ = both.where(~F.col("_l").eqNullSafe(F.col("_r"))).select("_range")
+    where = F.floor(F.col(position) / width)
+
+    def split(side):
+        placed = side.select(position, *keys, where.alias("_range"))
+        return semi(placed, differ, ["_range"], nulls=True).drop("_range"), anti(placed, differ, ["_range"], nulls=True).drop("_range")
+
+    (l_near, l_same), (r_near, _) = split(left), split(right)
+    found = reconcile(l_near, r_near, keys, position)
+    # the other place of an element may lie in a range that is the same
+    alone = {s: found.where(F.col("status") == s).drop("status") for s in ("only_left", "only_right")}
+    parts = [
+        l_same.withColumn("status", F.lit("same")), found.where("status IN ('same', 'moved')"),
+        semi(alone["only_left"], right, keys, nulls=True).withColumn("status", F.lit("moved")),
+        anti(alone["only_left"], right, keys, nulls=True).withColumn("status", F.lit("only_left")),
+        anti(alone["only_right"], left, keys, nulls=True).withColumn("status", F.lit("only_right")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def list_tests(reconciled: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: are the lists ``equal``, and is left a ``prefix`` of right?"""
     same = reconciled.agg(F.count_if(F.col("status") == "same").alias("same"))
@@ -131,22 +172,37 @@ def missing_feeds_by_pattern(expected: DataFrame, present: DataFrame, pattern: s
     """Expected rows whose name pattern (``*``, ``?``, ``[..]``; several after commas) no
     present name matches.
 
-    A pattern's literal start is an equi-join key, or its literal end if it has no start: a name is offered under
-    those of its own beginnings and ends that some pattern has, then tested against that pattern.  Patterns with
-    neither meet the names in ``SPREAD`` shares, so no key holds all names.
+    A pattern's literal start is an equi-join key, or its literal end if it has no start, or else its longest literal
+    part.  A name is offered under those of its own beginnings, ends and parts that have the length of some pattern's and
+    are some pattern's, then tested against that pattern.  Patterns of wildcards alone meet the names in ``SPREAD`` shares, so
+    no key holds all names.
     """
     single = expected.select(F.col(pattern).alias("_p"), F.explode(F.split(pattern, ",", -1)).alias("_glob")).distinct()
     start, end = match.glob_literal_prefix(F.col("_glob")), match.glob_literal_suffix(F.col("_glob"))
+    inside = match.glob_literal_part(F.col("_glob"))
     shares = F.transform(F.sequence(F.lit(0), F.lit(SPREAD - 1)), lambda k: F.concat(F.lit("any:"), k.cast("string")))
+    kinds = {"start": start, "end": end, "in": inside}
     marks = F.when(start != "", F.array(F.concat(F.lit("start:"), start)))
-    marks = marks.when(end != "", F.array(F.concat(F.lit("end:"), end))).otherwise(shares)
-    patterns = single.select("_p", "_glob", F.explode(marks).alias("_mark"))
+    marks = marks.when(end != "", F.array(F.concat(F.lit("end:"), end))).when(inside != "", F.array(F.concat(F.lit("in:"), inside)))
+    patterns = single.select("_p", "_glob", F.explode(marks.otherwise(shares)).alias("_mark"))
+    # one row: the literal lengths that occur, at most as many as the longest pattern has characters
+    used = single.select(F.when(start != "", "start").when(end != "", "end").otherwise("in").alias("_kind"),
+                         F.when(start != "", F.length(start)).when(end != "", F.length(end)).otherwise(F.length(inside)).alias("_n"))
+    sizes = used.where("_n > 0").agg(*[F.sort_array(F.collect_set(F.when(F.col("_kind") == k, F.col("_n")))).alias(k) for k in kinds])
     names = present.select(F.col(name).alias("_n")).where(F.col("_n").isNotNull()).distinct()
-    lengths = F.when(F.length("_n") > 0, F.sequence(F.lit(1), F.length("_n"))).otherwise(F.array().cast("array<int>"))
+    names = names.select("_n", *[sizes.select(k).scalar().alias(f"_{k}") for k in kinds])
     share = F.concat(F.lit("any:"), F.pmod(F.xxhash64("_n"), F.lit(SPREAD)).cast("string"))
-    offers = F.concat(
-        F.transform(lengths, lambda k: F.concat(F.lit("start:"), F.substring(F.col("_n"), F.lit(1), k))),
-        F.transform(lengths, lambda k: F.concat(F.lit("end:"), F.right(F.col("_n"), k))), F.array(share))
+
+    def cuts(kind, cut):
+        return F.transform(F.filter(f"_{kind}", lambda k: k <= F.length("_n")), cut)
+
+    def parts(k):
+        places = F.sequence(F.lit(1), F.length("_n") - k + 1)
+        return F.transform(places, lambda at: F.concat(F.lit("in:"), F.substring(F.col("_n"), at, k)))
+
+    offers = F.array_distinct(F.concat(
+        cuts("start", lambda k: F.concat(F.lit("start:"), F.substring(F.col("_n"), F.lit(1), k))),
+        cuts("end", lambda k: F.concat(F.lit("end:"), F.right(F.col("_n"), k))), F.flatten(cuts("in", parts)), F.array(share)))
     offered = semi(names.select("_n", F.explode(offers).alias("_mark")), patterns, ["_mark"])
     found = (
         offered.join(patterns, "_mark")
