@@ -48,9 +48,19 @@ def with_rank(df: DataFrame, spec: Order, name: str = "rank", partitions: int |
     )
 
 
+# Rows of a result that may meet in one task.
+MANY = 1 << 17
+
+
 def top_n(df: DataFrame, spec: Order, n: int) -> DataFrame:
-    """First ``n`` rows of an order; each task keeps only ``n`` rows."""
-    return df.orderBy(*order_columns(df, spec)).limit(n)
+    """First ``n`` rows of an order.
+
+    Each task keeps only ``n`` rows, and these meet in one task.  More than ``MANY`` are ranked in ranges instead, which runs
+    once and leaves them spread out; the order should then be total.
+    """
+    if n <= MANY:
+        return df.orderBy(*order_columns(df, spec)).limit(n)
+    return with_rank(df, spec, "_top").where(F.col("_top") <= n).drop("_top")
 
 
 def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 from feedkit.operators import publish
 from feedkit.plans.journal import Journal
 from feedkit.plans.load_job import LoadSpec, load_table
-from feedkit.plans.storage import scratch_database
+from feedkit.plans.storage import scratch_database, scratch_path
+from feedkit.streaming import incremental
 
 
 class BrokenOff(Exception):
@@ -158,3 +159,21 @@ def test_a_load_offered_again_gives_the_same_numbers(spark):
     spark.sql(f"DROP TABLE {table}")
     spark.createDataFrame([], "id long, name string").write.saveAsTable(table)
     assert load(["2,X"], "s") == 0 and spark.table(table).count() == 1
+
+
+def test_a_batch_that_failed_is_loaded_when_it_is_offered_again(spark):
+    table, inbox, ledger, status = f"{scratch_database(spark)}.goods", *(scratch_path(spark, x) for x in ("inbox", "ledger", "status"))
+    spark.createDataFrame([(1, "old")], "id long, name string").write.saveAsTable(table)
+    spec = LoadSpec(T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())]), ["id"], ",")
+    batch = incremental.load_batches(spark, table, spec, status)
+    spark.createDataFrame([("1,new",), ("2,b",), (",no key",)], "value string").coalesce(1).write.text(inbox)
+
+    def lost(lines, batch_id):
+        batch(lines, batch_id)
+        raise BrokenOff("after the table was published, before the batch was noted")
+
+    with pytest.raises(Exception, match="before the batch was noted"):
+        incremental.incremental_load(spark, inbox, lost, ledger)
+    incremental.incremental_load(spark, inbox, batch, ledger)
+    assert sorted(map(str, map(tuple, spark.table(table).collect()))) == sorted(map(str, [(1, "new"), (2, "b"), (None, "no key")]))
+    assert [tuple(r) for r in spark.read.parquet(status).select("lines", "rejects", "clean").collect()] == [(3, 0, True)]

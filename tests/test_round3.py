@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedkit.functions import match
-from feedkit.operators import keys, lobstore
+from feedkit.operators import keys, lobstore, order
 from feedkit.plans.storage import scratch_path
 from feedkit.sinks import delimited
 from feedkit.sources import lines as src
@@ -86,3 +86,12 @@ def test_contents_are_stored_once(spark):
     changed = store.withColumn("content", F.concat("content", F.lit("x")))
     with pytest.raises(Exception, match="no content for"):
         lobstore.load_contents(kept, changed, ["body", "more"]).collect()
+
+
+def test_many_first_rows_do_not_meet_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(order, "MANY", 10)
+    df = spark.range(0, 1000, 1, 4).select(((F.col("id") * 37) % 1000).alias("k"))
+    top = order.top_n(df, [("k", "desc")], 300)
+    assert [r["k"] for r in top.collect()] == list(range(999, 699, -1))
+    assert "TakeOrdered" not in top._jdf.queryExecution().executedPlan().toString()
+    assert order.top_n(df, [("k", "desc")], 10).count() == 10 and order.top_n(df, [("k", "asc")], 5000).count() == 1000
