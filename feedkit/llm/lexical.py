@@ -21,10 +21,12 @@ from feedkit.llm import words
 from feedkit.llm.stored import Scratch, small_batches
 
 # A shard is closed at so many documents or postings.
-SHARD_DOCS = 2048
-SHARD_POSTINGS = 1 << 18
+SHARD_DOCS = 1024
+SHARD_POSTINGS = 1 << 17
 # Pairs of item and term that one pass over the documents takes, the terms of one item excepted.
 BLOCK_TERMS = 1 << 19
+# Shards are written in pages of one or two: the writer would else gather a hundred rows before it looks at their size.
+PAGES = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false", "parquet.block.size": str(32 << 20)}
 
 
 # words of whole texts
@@ -118,21 +120,29 @@ def query_blocks(items: DataFrame, item: str, column: str, scratch: Scratch, mos
 
 # postings, shard by shard
 
-INTS, LONGS = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
-POSTING_LISTS = {"length": LONGS, "term": INTS, "first": INTS, "place": INTS, "tf": INTS}
-PAIR_LISTS = {"impact": LONGS, "pair": INTS, "pair_first": INTS, "pair_place": INTS, "joint": LONGS}
+POSTING_LISTS = {"length": np.int64, "term": np.int32, "first": np.int32, "place": np.int32, "tf": np.int32}
+PAIR_LISTS = {"impact": np.int64, "pair": np.int32, "pair_first": np.int32, "pair_place": np.int32, "joint": np.int64}
 SHARD_LISTS = {c: POSTING_LISTS[c] for c in ("length", "term", "first", "place")}
+COUNTED = "shard binary, n long, words long, term array<int>, df array<int>"
 
 
-def _one_row(ids: pa.Array, values: dict[str, np.ndarray], kinds: dict[str, T.ArrayType]) -> pa.RecordBatch:
-    """A shard as one row of lists."""
-    lists = [ids, *[pa.array(values[c].astype(np.int32 if k == INTS else np.int64)) for c, k in kinds.items()]]
+def _packed(ids: pa.Array, values: dict[str, np.ndarray], kinds: dict[str, type]) -> bytes:
+    """A shard as one value, which the JVM only passes on: an Arrow stream of one row of lists."""
+    lists = [ids, *[pa.array(values[c].astype(k)) for c, k in kinds.items()]]
     rows = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in lists]
-    return pa.RecordBatch.from_arrays(rows, ["id", *kinds])
+    row = pa.RecordBatch.from_arrays(rows, ["id", *kinds])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema) as out:
+        out.write_batch(row)
+    return sink.getvalue().to_pybytes()
 
 
-def _shard_type(key: T.DataType, kinds: dict[str, T.ArrayType]) -> T.StructType:
-    return T.StructType([T.StructField("id", T.ArrayType(key)), *[T.StructField(c, k) for c, k in kinds.items()]])
+def _unpacked(blob: pa.Scalar) -> tuple[pa.Array, dict[str, np.ndarray]]:
+    """The ids and the lists of a packed shard."""
+    with pa.ipc.open_stream(blob.as_buffer()) as source:
+        row = source.read_next_batch()
+    lists = {c: row.column(i)[0].values.to_numpy(zero_copy_only=False).astype(np.int64) for i, c in enumerate(row.schema.names) if c != "id"}
+    return row.column(0)[0].values, lists
 
 
 def _postings(names: list[str], key: str, column: str, vocabulary: np.ndarray, longest: int):
@@ -144,7 +154,10 @@ def _postings(names: list[str], key: str, column: str, vocabulary: np.ndarray, l
         term, place, tf = term[order], place[order], tf[order]
         terms, first = np.unique(term, return_index=True)
         values = {"length": np.concatenate(lengths), "term": terms, "first": np.append(first, len(term)), "place": place, "tf": tf}
-        return _one_row(pa.concat_arrays(ids), values, POSTING_LISTS)
+        blob = _packed(pa.concat_arrays(ids), values, POSTING_LISTS)
+        counted = [[blob], [int((values["length"] > 0).sum())], [int(values["length"].sum())], [terms], [np.diff(values["first"])]]
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(counted, kinds)], ["shard", "n", "words", "term", "df"])
 
     def run(batches):
         ids, lengths, held, docs, size = [], [], [], 0, 0
@@ -171,9 +184,11 @@ def _postings(names: list[str], key: str, column: str, vocabulary: np.ndarray, l
 
 
 def postings(docs: DataFrame, key: str, column: str, vocabulary: np.ndarray, longest: int) -> DataFrame:
-    """(id, length, term, first, place, tf) of each shard of ``docs``: term k of a shard has the postings first[k] to first[k + 1]."""
-    schema = _shard_type(docs.schema[key].dataType, POSTING_LISTS)
-    return small_batches(docs.select(key, column)).mapInArrow(_postings([key, column], key, column, vocabulary, longest), schema)
+    """The packed shards of ``docs``, each with its documents that have terms, its terms, and its documents of each term.
+
+    In a shard, term k has the postings first[k] to first[k + 1].
+    """
+    return small_batches(docs.select(key, column)).mapInArrow(_postings([key, column], key, column, vocabulary, longest), COUNTED)
 
 
 # impacts and pairs
@@ -183,10 +198,6 @@ def term_weight(n: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * n + 2) / (2 * df + 1)))
 
 
-def _lists(batch: pa.RecordBatch, row: int) -> dict[str, np.ndarray]:
-    return {c: batch.column(i)[row].values.to_numpy(zero_copy_only=False).astype(np.int64) for i, c in enumerate(batch.schema.names) if c != "id"}
-
-
 def pair_lists(rows: dict[str, np.ndarray], weights: np.ndarray, pairs: np.ndarray, n: int, words_in_all: int) -> dict[str, np.ndarray]:
     """Impacts of a shard's postings, and the intersection list of each of ``pairs`` (two terms a row) with its joint impacts."""
     length, term, first, place, tf = (rows[c] for c in ("length", "term", "first", "place", "tf"))
@@ -213,13 +224,13 @@ def pair_lists(rows: dict[str, np.ndarray], weights: np.ndarray, pairs: np.ndarr
             "pair_place": np.concatenate(places) if places else none, "joint": np.concatenate(joint) if joint else none}
 
 
-def _index(names: list[str], weights: np.ndarray, pairs: np.ndarray, n: int, words_in_all: int):
+def _index(weights: np.ndarray, pairs: np.ndarray, n: int, words_in_all: int):
     def run(batches):
         for batch in batches:
-            for row in range(batch.num_rows):
-                have = _lists(batch, row)
+            for blob in batch.column(0):
+                ids, have = _unpacked(blob)
                 have |= pair_lists(have, weights, pairs, n, words_in_all)
-                yield _one_row(batch.column(names.index("id"))[row].values, have, SHARD_LISTS | PAIR_LISTS)
+                yield pa.RecordBatch.from_arrays([pa.array([_packed(ids, have, SHARD_LISTS | PAIR_LISTS)], pa.binary())], ["shard"])
 
     return run
 
@@ -340,17 +351,16 @@ class Shard:
         return docs[stay], scores[stay]
 
 
-def _search(names: list[str], units: list[list[tuple[int, int, int]]], n_terms: int, n_pairs: int, k: int):
+def _search(units: list[list[tuple[int, int, int]]], n_terms: int, n_pairs: int, k: int):
     """The ``k`` best of each item among the shards of one task; the k-th score so far is the next shard's threshold."""
 
     def run(batches):
         best: list[list[tuple]] = [[] for _ in units]
         kind = None
         for batch in batches:
-            kind = batch.column(names.index("id")).type.value_type
-            for row in range(batch.num_rows):
-                shard = Shard(_lists(batch, row), n_terms, n_pairs, k)
-                ids = batch.column(names.index("id"))[row].values
+            for blob in batch.column(0):
+                ids, lists = _unpacked(blob)
+                kind, shard = ids.type, Shard(lists, n_terms, n_pairs, k)
                 for item, mine in enumerate(units):
                     theta = -best[item][-1][0] if len(best[item]) == k else 1
                     docs, scores = shard.search(mine, theta)
@@ -379,14 +389,13 @@ def _search_block(docs: DataFrame, key: str, column: str, block: list[tuple], k:
     every = [t for _, terms in block for t in terms]
     vocabulary = np.unique(np.array([t for t, _ in every], np.int64).view(np.uint64))
     longest = max(size for _, size in every)
-    found = scratch.write(postings(docs, key, column, vocabulary, longest))
-    sums = found.agg(
-        F.sum(F.size(F.filter("length", lambda x: x > 0))).alias("n"), F.sum(F.aggregate("length", F.lit(0).cast("long"), lambda a, x: a + x)).alias("words")).first()
-    n, words_in_all = sums["n"] or 0, sums["words"] or 0
-    held = F.transform("term", lambda t, i: F.struct(t.alias("t"), (F.get("first", i + 1) - F.get("first", i)).alias("n")))
+    found = scratch.write(postings(docs, key, column, vocabulary, longest), **PAGES)
+    sums = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
+    n, words_in_all = sums["n"], sums["words"]
     frequency = np.zeros(len(vocabulary), np.int64)
-    for row in found.select(F.explode(held).alias("h")).groupBy("h.t").agg(F.sum("h.n").alias("df")).toLocalIterator():
-        frequency[row["t"]] = row["df"]
+    held = found.select(F.explode(F.arrays_zip("term", "df")).alias("h"))
+    for row in held.groupBy("h.term").agg(F.sum("h.df").alias("df")).toLocalIterator():
+        frequency[row["term"]] = row["df"]
     weights = np.array([term_weight(n, int(df)) for df in frequency], np.int64)
     numbers: dict[tuple[int, int], int] = {}
     units = []
@@ -395,11 +404,10 @@ def _search_block(docs: DataFrame, key: str, column: str, block: list[tuple], k:
         two = paired(at.tolist(), weights)
         units.append([(a, b, numbers.setdefault((a, b), len(numbers)) if b >= 0 else -1) for a, b in two])
     pairs = np.array(list(numbers), np.int64).reshape(-1, 2)
-    schema = _shard_type(docs.schema[key].dataType, SHARD_LISTS | PAIR_LISTS)
-    index = scratch.write(found.mapInArrow(_index(found.columns, weights, pairs, n, words_in_all), schema))
+    index = scratch.write(found.select("shard").mapInArrow(_index(weights, pairs, n, words_in_all), "shard binary"), **PAGES)
     scratch.drop(found)
     out = T.StructType([T.StructField("number", T.IntegerType()), T.StructField("id", docs.schema[key].dataType), T.StructField("score", T.LongType())])
-    near = index.mapInArrow(_search(index.columns, units, len(vocabulary), len(pairs), k), out)
+    near = index.mapInArrow(_search(units, len(vocabulary), len(pairs), k), out)
     best_first = [F.desc("score"), F.asc_nulls_last("id")]
     near = near.withColumn("task", F.spark_partition_id() % 64)
     part = Window.partitionBy("number", "task").orderBy(*best_first)

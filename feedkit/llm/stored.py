@@ -14,11 +14,11 @@ class Scratch:
         self.spark, self.root = spark, scratch_path(spark, label)
         self.used = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
-        """Run ``df`` once; its rows are then read from files that every executor sees."""
+    def write(self, df: DataFrame, **options: str) -> DataFrame:
+        """Run ``df`` once; its rows are then read from files that every executor sees.  ``options`` are the writer's."""
         path = f"{self.root}/{self.used}"
         self.used += 1
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch = path
         return out
