@@ -21,8 +21,11 @@ HEX_DIGITS = 32
 _ASSIGN = re.compile(rb"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{%d,}" % HEX_DIGITS)
-# What every sensitive name holds, on lower-cased bytes.
-_STEM = re.compile(rb"pass|pwd|secret|token|key|cred|auth|bearer")
+# What every sensitive name holds, and what must follow it for a pair, on lower-cased bytes: a sign, a comma after a quoted name,
+# or a value of the same record.  An option may be followed by anything.
+_STEMS = rb"(?:pass|pwd|secret|token|key|cred|auth|bearer)"
+_NAMED = re.compile(
+    rb"--[\w-]*" + _STEMS + rb"|" + _STEMS + rb"""(?=[\w.$\x80-\xff-]*(?:["'`\]]*[\s\x80-\xff]*[:=>]|["'`]\s*,|(?s:.{0,300}?)\bval))""")
 
 _SPAN = pa.struct([("kind", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("name", pa.string()), ("score", pa.float64())])
 SPANS = "array<struct<kind:string,first:bigint,last:bigint,name:string,score:double>>"
@@ -63,7 +66,7 @@ def text_secrets(raw: bytes, threshold: float, names_too: bool) -> list[dict]:
 def _candidates(piece: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts of a piece that may hold any span, and those that may hold a sensitive name."""
     lower = words._fold(piece).tobytes()
-    stems = np.fromiter((m.start() for m in _STEM.finditer(lower)), np.int64)
+    stems = np.fromiter((m.start() for m in _NAMED.finditer(lower)), np.int64)
     access = np.fromiter((m.start() for m in re.finditer(b"AKIA", piece.tobytes())), np.int64)
     mask = np.concatenate([[0], HEX_TABLE[piece], [0]]).astype(np.int8)
     edges = np.flatnonzero(np.diff(mask))

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,12 @@ def literals(text):
 ])
 def test_pairs_of_many_forms(text):
     assert literals(text) == [KEY], list(pairs(text))
+    # such a text is read by tokens, wherever it lies in a piece
+    texts = ["some key", text, "value", f"é{text}"]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    named = secretscan._candidates(np.frombuffer(b"".join(raw), np.uint8), offsets)[1]
+    assert {1, 3} <= set(named.tolist())
 
 
 def test_constants_are_followed():
@@ -108,6 +115,11 @@ def test_what_is_no_secret(text):
     assert literals(text) == []
 
 
+def test_prose_is_not_read_by_tokens():
+    prose = b"the key to pass is the author's own token, with credit; a monkey passed " * 50
+    assert len(secretscan._candidates(np.frombuffer(prose, np.uint8), np.array([0, len(prose)]))[1]) == 0
+
+
 def test_names_and_literals():
     assert name_weight("dbPassword") == 1 and name_weight("X-Api-Key") == 1 and name_weight("monkey") == 0 and name_weight("") == 0
     assert literal_quality(KEY) == 1 and literal_quality("aaaaaaaaaaaa") == 0 and literal_quality("short") == 0
