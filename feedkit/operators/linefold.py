@@ -9,8 +9,9 @@ A window is named by the position it starts *after*.  Windows that can no longer
 behave differently share one class ``[after, count, carry]``: the delimiters
 counted so far and how many leading bytes of a delimiter its end matches.  There
 are about as many classes as a record has columns, so what a chunk of lines does to any
-window that comes in is a small table.  That lets chunks be folded apart from
-each other and put together afterwards, with the same result as one long pass.
+window that comes in is a small table.  Tables of neighbouring chunks make one for both,
+of the same size.  That lets chunks be folded apart from each other and put together
+as a tree, with the same result as one long pass.
 """
 
 from __future__ import annotations
@@ -150,7 +151,7 @@ def summarize(delimiter):
     """Lines -> one row per chunk: what the chunk does to an incoming window."""
 
     def run(batches):
-        yield from in_batches(((*key, chunk_summary(parts, delimiter)) for key, parts in grouped(batches)), NOTES)
+        yield from in_batches(((*key, chunk_summary(parts, key[1], delimiter)) for key, parts in grouped(batches)), NOTES)
 
     return run
 
@@ -168,72 +169,171 @@ def edges(columns, last):
     return zip(at.tolist(), numbers[at].tolist(), columns[1].to_numpy()[at].tolist(), plain_before.tolist())
 
 
-def chunk_summary(parts, delimiter):
-    classes, prev, last = [], START, START[1]
-    groups = {START: [START]}  # window now -> entries into this chunk that lead to it
-    head, in_head, gap, want = [], True, False, 0
+class Effect:
+    """What a run of lines does to any window that comes in, built line by line or from the effects of its parts.
+
+    ``head`` holds the lines that a window from outside can still meet, ``groups`` the entries into the run by the
+    window they have led to, ``classes`` the windows that start inside.  ``START`` stands for the place before the run.
+    """
+
+    def __init__(self, delimiter):
+        self.delimiter = delimiter
+        self.classes, self.prev, self.last = [], START, START
+        self.groups = {START: [START]}
+        self.head, self.in_head, self.gap, self.want = [], True, False, 0
+
+    def rest(self):
+        """Any number of plain lines."""
+        rest_line(self.classes, self.prev)
+        self.gap = True
+
+    def whole(self, pos, count):
+        """A line with enough delimiters of its own, which no window outlives."""
+        if self.in_head:
+            self.head.append([*pos, self.gap, count, None])
+            self.groups.setdefault(START, []).append(pos)
+        self.groups = {pos: [e for entries in self.groups.values() for e in entries]}
+        self.classes, self.prev, self.in_head, self.gap = [], pos, False, False
+
+    def line(self, pos, line):
+        extend(self.classes, self.prev, line)
+        moved = {}
+        for after, entries in self.groups.items():
+            moved.setdefault(settle(self.classes, self.want, pos, after)[0], []).extend(entries)
+        self.groups = moved
+        if self.in_head:
+            table = None if len(self.delimiter) == 1 else [line.effect(k) for k in range(len(self.delimiter))]
+            self.head.append([*pos, self.gap, line.count, table])
+            self.groups.setdefault(pos, []).append(pos)
+        merge(self.classes, self.want)
+        self.in_head = self.in_head and bool(self.classes) and self.classes[0][0] == START
+        self.prev, self.gap = pos, False
+
+    def follow(self, s):
+        """The part that comes next, by its summary."""
+        start, self.want = self.prev, s["want"]
+        for block, line_no, gap, count, table in s["head"]:
+            if gap:
+                self.rest()
+            if count >= self.want:
+                self.whole((block, line_no), count)
+            else:
+                self.line((block, line_no), headline(block, line_no, count, table, self.delimiter))
+        if s["through"]:
+            if s["gap"]:
+                self.rest()
+        else:
+            leave, moved = leaving(s, start), {}
+            for after, entries in self.groups.items():
+                moved.setdefault(leave(after), []).extend(entries)
+            self.groups, self.classes = moved, windows(s, start)
+            self.in_head = self.gap = False
+        self.prev = self.last = tuple(s["last"])
+
+    def summary(self):
+        return json.dumps({
+            "want": self.want,
+            "head": self.head,
+            "through": self.in_head,
+            "gap": self.gap,
+            "out": [[e, after] for after, entries in self.groups.items() for e in entries],
+            "classes": self.classes,
+            "last": self.last,
+        })
+
+
+def headline(block, line_no, count, table, delimiter):
+    """A line of a summary's head."""
+    return Line((block, line_no), count, None, delimiter, dict(enumerate(tuple(e) for e in table)) if table else None)
+
+
+def leaving(s, start):
+    """Where a window that has entered a part is at the part's end."""
+    out = {tuple(e): tuple(a) for e, a in s["out"]}
+
+    def leave(after):
+        left = out[after if after > start else START]
+        return left if left != START else start
+
+    return leave
+
+
+def windows(s, start):
+    """The windows that start inside a part, at its end."""
+    return [[tuple(a) if tuple(a) != START else start, c, m] for a, c, m in s["classes"]]
+
+
+def chunk_summary(parts, block, delimiter):
+    effect, last = Effect(delimiter), START[1]
     for columns in parts:
         width, texts = columns[2][0].as_py(), columns[4]
-        want, index = width - 1, -1
+        effect.want, index = width - 1, -1
         for index, line_no, n, plain in edges(columns, last):
-            pos, gap = (0, line_no), gap or plain
+            pos = (block, line_no)
+            if plain:
+                effect.gap = True
             if n >= width:
-                if in_head:
-                    head.append([line_no, gap, n - 1, None])
-                    groups.setdefault(START, []).append(pos)
-                groups = {pos: [e for entries in groups.values() for e in entries]}
-                classes, prev, in_head, gap = [], pos, False, False
+                effect.whole(pos, n - 1)
                 continue
-            if gap:
-                rest_line(classes, prev)
-            line = Line(pos, n - 1, None if len(delimiter) == 1 else texts[index].as_py(), delimiter)
-            extend(classes, prev, line)
-            moved = {}
-            for after, entries in groups.items():
-                moved.setdefault(settle(classes, want, pos, after)[0], []).extend(entries)
-            groups = moved
-            if in_head:
-                table = None if len(delimiter) == 1 else [line.effect(k) for k in range(len(delimiter))]
-                head.append([line_no, gap, line.count, table])
-                groups.setdefault(pos, []).append(pos)
-            merge(classes, want)
-            in_head = in_head and bool(classes) and classes[0][0] == START
-            prev, gap = pos, False
-        gap = gap or index < len(texts) - 1
+            if effect.gap:
+                effect.rest()
+            effect.line(pos, Line(pos, n - 1, None if len(delimiter) == 1 else texts[index].as_py(), delimiter))
+        if index < len(texts) - 1:
+            effect.gap = True
         last = columns[0][-1].as_py()
-    if gap:
-        rest_line(classes, prev)
-    return json.dumps({
-        "want": want,
-        "head": head,
-        "through": in_head,
-        "gap": gap,
-        "out": [[e[1], after[1]] for after, entries in groups.items() for e in entries],
-        "classes": [[c[0][1], c[1], c[2]] for c in classes],
-        "last": last,
-    })
+    if effect.gap:
+        effect.rest()
+    effect.last = (block, last)
+    return effect.summary()
+
+
+def in_file_order(notes):
+    """Rows ``(file, block, chunk, text)`` of an Arrow table by block and chunk; a chunk noted twice raises."""
+    rows = sorted(zip(*(notes.column(c).to_pylist() for c in range(4))), key=lambda r: r[1:3])
+    if any(x[1:3] == y[1:3] for x, y in zip(rows, rows[1:])):
+        raise ValueError("a chunk of lines came in two parts; sort the lines first")
+    return rows
+
+
+def compose(delimiter):
+    """Notes of neighbouring parts of a file -> the note of them all, named by the first."""
+
+    def run(notes):
+        rows, effect = in_file_order(notes), Effect(delimiter)
+        for *_, text in rows:
+            effect.follow(json.loads(text))
+        return pa.Table.from_batches([output([(*rows[0][:3], effect.summary())], NOTES)])
+
+    return run
 
 
 def connect(delimiter):
-    """Chunk summaries in order -> one row per chunk: the window that comes in, and what
+    """Notes of all parts of a file -> one row per part: the window that comes in, and what
     becomes of the lines still open at its end."""
 
-    def run(batches):
-        rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(4))))
-        states = (
-            (file, *state)
-            for file, group in groupby(rows, key=lambda r: r[0])
-            for state in file_states(group, delimiter)
-        )
-        yield from in_batches(states, STATES, 1024)
+    def run(notes):
+        rows = in_file_order(notes)
+        return pa.Table.from_batches([output([(rows[0][0], *s) for s in part_states(rows, delimiter)], STATES)])
 
     return run
 
 
-def file_states(rows, delimiter):
-    after, classes, prev = START, [], START
-    waiting = []  # chunks whose open lines are not decided yet
-    seen = None
+def connect_inside(delimiter):
+    """As ``connect``, for the parts of one part whose own state is known."""
+
+    def run(notes, states):
+        rows, known = in_file_order(notes), json.loads(states.column(3)[0].as_py())
+        return pa.Table.from_batches([output([(rows[0][0], *s) for s in part_states(rows, delimiter, known)], STATES)])
+
+    return run
+
+
+def part_states(rows, delimiter, known=None):
+    """``(block, chunk, state)`` of parts in order; ``known`` is the state of what they are parts of."""
+    known = known or {"start": START, "after": START, "classes": [], "tail": None}
+    after, prev = tuple(known["after"]), tuple(known["start"])
+    classes = [[tuple(a), c, m] for a, c, m in known["classes"]]
+    waiting = []  # parts whose open lines are not decided yet
 
     def decide(tail):
         for state in waiting:
@@ -242,25 +342,21 @@ def file_states(rows, delimiter):
         waiting.clear()
 
     for _, block, chunk, text in rows:
-        block, chunk, s = int(block), int(chunk), json.loads(text)
-        if seen is not None and (block, chunk) <= seen:
-            raise ValueError("a chunk of lines came in two parts; sort the lines first")
-        seen = (block, chunk)
+        s = json.loads(text)
         want, start = s["want"], prev
         state = {"start": start, "after": after, "classes": [list(c) for c in classes], "tail": None}
         entered = after >= start
-        for line_no, gap, count, table in s["head"]:
+        for line_block, line_no, gap, count, table in s["head"]:
             if entered and not s["through"]:
                 break
-            pos = (block, line_no)
+            pos = (line_block, line_no)
             if gap:
                 rest_line(classes, prev)
             if count >= want:
                 yield from decide(None)
                 after, entered, prev = pos, True, pos
                 break
-            effects = dict(enumerate(tuple(e) for e in table)) if table else None
-            extend(classes, prev, Line(pos, count, None, delimiter, effects))
+            extend(classes, prev, headline(line_block, line_no, count, table, delimiter))
             after, record = settle(classes, want, pos, after)
             if record is not None:
                 yield from decide(record)
@@ -273,16 +369,13 @@ def file_states(rows, delimiter):
             if s["gap"]:
                 rest_line(classes, prev)
         else:
-            entry = after[1] if after > start else START[1]
-            leave = dict((e, a) for e, a in s["out"])[entry]
-            after = (block, leave) if leave >= 0 else start
-            classes = [[(block, a) if a >= 0 else start, c, m] for a, c, m in s["classes"]]
-        prev = (block, s["last"])
+            after, classes = leaving(s, start)(after), windows(s, start)
+        prev = tuple(s["last"])
         if after < prev:
             waiting.append((block, chunk, state))
         else:
             yield block, chunk, json.dumps(state)
-    yield from decide(None)
+    yield from decide(known["tail"])
 
 
 def fold(delimiter, parts_only=False):

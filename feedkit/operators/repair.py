@@ -16,7 +16,13 @@ cloudpickle.register_pickle_by_value(linefold)
 # is cut into chunks of this many lines, so no single task sees an unbounded run.
 CHUNK_LINES = 1 << 18
 
+# Notes of chunks put together by one task: so many chunks of a block, then all of so many bytes of a file (128 splits
+# of 128 MB).  The last step reads one note for each such stretch: 6,400 for a file of 100 TB.
+FAN, SPAN = 4096, 1 << 34
+
 KEYS = ["file", "block", "chunk"]
+NOTE = "file string, block bigint, chunk bigint, summary string"
+STATE = "file string, block bigint, chunk bigint, state string"
 
 
 def field_count(value: Column, delimiter: str) -> Column:
@@ -26,7 +32,7 @@ def field_count(value: Column, delimiter: str) -> Column:
 
 
 def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = None,
-                     chunk_lines: int = CHUNK_LINES, in_order: bool = False) -> DataFrame:
+                     chunk_lines: int = CHUNK_LINES, in_order: bool = False, fan: int = FAN, span: int = SPAN) -> DataFrame:
     """Lines ``(file, [block,] line_no, value)`` -> ``(file, block, line_no, kind, value)``.
 
     ``kind`` is ``good`` for a record of ``n_columns`` fields (by default as many as the
@@ -34,8 +40,9 @@ def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = N
     lines go away.  Lines are in the order of ``(block, line_no)`` within a file.
 
     Chunks of lines are folded apart: one pass notes what each chunk does to a window
-    that comes in, a pass over these notes (one per ``chunk_lines`` lines) tells each chunk
-    what does come in, and a last pass builds the records.  A file without any whole line
+    that comes in, these notes (one per ``chunk_lines`` lines) are put together as a tree
+    that tells each chunk what does come in, and a last pass builds the records.  A task of
+    the tree reads the notes of ``fan`` chunks, or of ``span`` bytes of a file.  A file without any whole line
     is folded in parallel like any other.  A chunk is a range of ``line_no``, so with sparse
     numbers ``chunk_lines`` should be that much larger.
 
@@ -64,16 +71,10 @@ def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = N
     counts = kept.withColumn("value", F.lit(None).cast("binary")) if len(mark) == 1 else kept
     if not in_order:
         counts = _sorted(counts)
-    notes = counts.mapInArrow(
-        linefold.summarize(mark), "file string, block bigint, chunk bigint, summary string"
-    )
-    states = (
-        notes.repartition("file").sortWithinPartitions(*KEYS)
-        .mapInArrow(linefold.connect(mark), "file string, block bigint, chunk bigint, state string")
-        .select(
-            F.xxhash64(*KEYS).alias("hash"), *KEYS, F.lit(-1).cast("bigint").alias("line_no"), F.lit(0).alias("n"),
-            F.lit(0).alias("width"), F.lit(False).alias("edge"), F.col("state").cast("binary").alias("value"),
-        )
+    notes = counts.mapInArrow(linefold.summarize(mark), NOTE)
+    states = _states(notes, mark, fan, span).select(
+        F.xxhash64(*KEYS).alias("hash"), *KEYS, F.lit(-1).cast("bigint").alias("line_no"), F.lit(0).alias("n"),
+        F.lit(0).alias("width"), F.lit(False).alias("edge"), F.col("state").cast("binary").alias("value"),
     )
     led = _sorted(kept.unionByName(states))
     schema = ("file string, block bigint, line_no bigint, kind string, value binary, "
@@ -96,6 +97,23 @@ def repair_linefeeds(lines: DataFrame, delimiter: str, n_columns: int | None = N
     )
 
 
+def _states(notes: DataFrame, mark: bytes, fan: int, span: int) -> DataFrame:
+    """What comes into every chunk, from notes put together as a tree and read downwards again.
+
+    Up: ``fan`` chunks of a block make one note, the notes of ``span`` bytes of a file one, and these tell what comes
+    into each of them.  Down: from there the same groups tell it their members.
+    """
+    tree = [["file", "block", F.expr(f"chunk div {int(fan)}").alias("part")],
+            ["file", F.expr(f"block div {int(span)}").alias("part")]]
+    levels = [notes]
+    for keys in tree:
+        levels.append(levels[-1].groupBy(*keys).applyInArrow(linefold.compose(mark), NOTE))
+    states = levels.pop().groupBy("file").applyInArrow(linefold.connect(mark), STATE)
+    for keys in reversed(tree):
+        states = levels.pop().groupBy(*keys).cogroup(states.groupBy(*keys)).applyInArrow(linefold.connect_inside(mark), STATE)
+    return states
+
+
 def can_count(mark: bytes) -> Column:
     """Can a line change a delimiter count, also together with its neighbours?"""
     test = (F.col("n") > 1) | (F.col("n") >= F.col("width"))

@@ -25,11 +25,35 @@ def batches(rows, size):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, SCHEMA.types)], SCHEMA.names)
 
 
+def tree(notes, delimiter, fan, span):
+    """States of all chunks, by the steps that ``repair_linefeeds`` has Spark group."""
+    def table(rows):
+        return pa.Table.from_batches([linefold.output(rows, linefold.NOTES)])
+
+    def grouped(rows, key):
+        out = {}
+        for row in rows:
+            out.setdefault(key(row), []).append(row)
+        return out
+
+    keys = [lambda r: (r[1], r[2] // fan), lambda r: r[1] // span]
+    levels = [notes]
+    for key in keys:
+        levels.append([r for g in grouped(levels[-1], key).values() for r in rows_of([linefold.compose(delimiter)(table(g))])])
+    top = levels.pop()
+    states = rows_of([linefold.connect(delimiter)(table(top))]) if top else []
+    for key in reversed(keys):
+        known = grouped(states, key)
+        states = [r for k, g in grouped(levels.pop(), key).items()
+                  for r in rows_of([linefold.connect_inside(delimiter)(table(g), table(known[k]))])]
+    return states
+
+
 def rows_of(out):
     return [tuple(r.values()) for batch in out for r in batch.to_pylist()]
 
 
-def repair(lines, delimiter, width, chunk_lines, blocks=1, batch=7):
+def repair(lines, delimiter, width, chunk_lines, blocks=1, batch=7, fan=4096, span=1 << 34):
     """(good, error) by the chunked fold, both sorted."""
     width = width or (len(lines[0].split(delimiter)) if lines else 0)
     per_block = max(1, -(-len(lines) // blocks))
@@ -41,10 +65,7 @@ def repair(lines, delimiter, width, chunk_lines, blocks=1, batch=7):
             rows.append((hash((block, chunk)), "f", block, chunk, i, n, width, edge, line))
     rows.sort(key=lambda r: r[:5])
     notes = rows_of(linefold.summarize(delimiter)(batches(rows, batch)))
-    ordered = pa.RecordBatch.from_arrays(
-        [pa.array(c) for c in zip(*sorted(notes))], ["file", "block", "chunk", "summary"]
-    ) if notes else None
-    states = rows_of(linefold.connect(delimiter)([ordered] if notes else []))
+    states = tree(notes, delimiter, fan, span)
     led = rows + [
         (hash((block, chunk)), file, block, chunk, -1, 0, 0, False, state.encode())
         for file, block, chunk, state in states

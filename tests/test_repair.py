@@ -31,12 +31,14 @@ def feeds(draw):
     return delimiter, lines, draw(st.sampled_from([None, 1, 2, 3, 4, 6]))
 
 
-@settings(max_examples=300, deadline=None)
-@given(feeds(), st.sampled_from([1, 2, 3, 7, 100]), st.sampled_from([1, 2, 3]), st.sampled_from([1, 3, 100]))
-def test_chunks_give_what_one_pass_gives(feed, chunk_lines, blocks, batch):
+@settings(max_examples=500, deadline=None)
+@given(feeds(), st.sampled_from([1, 2, 3, 7, 100]), st.sampled_from([1, 2, 3, 10]), st.sampled_from([1, 3, 100]),
+       st.sampled_from([1, 2, 3, 4096]), st.sampled_from([1, 2000, 3000, 1 << 34]))
+def test_chunks_give_what_one_pass_gives(feed, chunk_lines, blocks, batch, fan, span):
     delimiter, lines, width = feed
     good, error = models.repair(lines, delimiter, width)
-    assert foldcheck.repair(lines, delimiter, width, chunk_lines, blocks, batch) == (sorted(good), sorted(error))
+    got = foldcheck.repair(lines, delimiter, width, chunk_lines, blocks, batch, fan, span)
+    assert got == (sorted(good), sorted(error))
 
 
 def random_feed(seed, n):
@@ -75,8 +77,8 @@ def test_files_scanned_in_many_splits(spark, conf):
     numbered = src.number_lines(scanned).orderBy("line_no").collect()
     assert [r["value"] for r in numbered] == lines
     assert [r["line_no"] for r in numbered] == list(range(1, 3001))
-    for in_order in (True, False):
-        repaired = repair.repair_linefeeds(scanned, "\t", 5, chunk_lines=100, in_order=in_order)
+    for in_order, tree in ((True, {}), (False, {"fan": 2, "span": 5000})):
+        repaired = repair.repair_linefeeds(scanned, "\t", 5, chunk_lines=100, in_order=in_order, **tree)
         assert outcome(repaired) == expected(lines, 5)
 
 
@@ -112,6 +114,24 @@ def test_documents_with_missing_and_extra_fields(spark, in_order):
     assert outcome(repaired) == expected(lines, 4)
 
 
+def test_no_task_reads_more_notes_than_the_tree_says(spark, monkeypatch):
+    lines = random_feed(4, 900)
+    df = spark.createDataFrame([("f", i // 300 * 1000, i, line) for i, line in enumerate(lines)],
+                               "file string, block long, line_no long, value string")
+    whole = repair.linefold.in_file_order
+
+    def few(notes):
+        if notes.num_rows > 4:
+            raise ValueError("too many notes")
+        return whole(notes)
+
+    # 30 chunks in each of 3 blocks: their 24 notes are too many for one task of the second level
+    monkeypatch.setattr(repair.linefold, "in_file_order", few)
+    with pytest.raises(Exception, match="too many notes"):
+        repair.repair_linefeeds(df, "\t", 5, chunk_lines=10, fan=4).collect()
+    assert outcome(repair.repair_linefeeds(df, "\t", 5, chunk_lines=100, fan=4, span=2000)) == expected(lines, 5)
+
+
 def test_bytes_that_are_no_text_stay(spark):
     rows = [("a", 0, bytearray(b"\xff\t1")), ("a", 1, bytearray(b"\xfe\t2"))]
     df = spark.createDataFrame(rows, "file string, line_no long, value binary")
