@@ -22,7 +22,9 @@ AROUND = frozenset("""ad ads adv advert advertisement adverts adsense banner bre
 consent cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices
 overlay pagination popup promo promoted promotion recommended related replies reply respond search share sharing
 sidebar sidebars signup skip social sponsor sponsored subscribe subscription teaser toolbar widget widgets""".split())
-BESIDE = frozenset("bar bottom box left main page right site top".split())
+BESIDE = frozenset("""area author banner bar block body bottom box button buttons container content count form group header heading holder icon icons
+inner item items left link links list main message meta outer page panel post posts region right section site slot text thread
+title top unit user users wp wrap wrapper zone""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # No class or id closes these; ids of TITLED are made from titles and name no part.
 WHOLE = frozenset("html body main".split())
@@ -30,6 +32,15 @@ TITLED = HEADINGS | frozenset("article p section".split())
 ROLES_AROUND = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 INNER = frozenset("article main".split())
 
+# An element of these ends where one of the second set begins, unless one of the third lies in between.
+_ITEMS, _CELLS = frozenset("ul ol menu table td th".split()), frozenset(["table"])
+_ENDS = {"li": (frozenset(["li"]), _ITEMS), "option": (frozenset(["option", "optgroup"]), frozenset(["select"]))}
+_ENDS |= {x: (frozenset(["dt", "dd"]), _ITEMS | {"dl"}) for x in ("dt", "dd")}
+_ENDS |= {x: (frozenset("td th tr thead tbody tfoot".split()), _CELLS) for x in ("td", "th")}
+_ENDS |= {"tr": (frozenset("tr thead tbody tfoot".split()), _CELLS)}
+_ENDS |= {x: (frozenset("thead tbody tfoot".split()), _CELLS) for x in ("thead", "tbody", "tfoot")}
+_HELD = frozenset("div section header span ul ol menu dl table select".split()) | frozenset(_ENDS)
+
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]+|\"[^\"]*\"|'[^']*')*+(?:>|\Z)|[^>]*(?:>|\Z))", re.S)
@@ -42,6 +53,22 @@ def _names(value: str, known: frozenset[str]) -> bool:
     return any(x in known for x in parts) and all(x in known or x in BESIDE for x in parts)
 
 
+_STARTS = {n: _ENDS[n][1] if n in _ENDS else frozenset(["select"]) for ends, _ in _ENDS.values() for n in ends}
+
+
+def _ended(stack: list[tuple[str, int]], name: str) -> int:
+    """How many elements stay open where an element ``name`` begins: those that need no end tag end before it."""
+    stay = len(stack)
+    if stack and stack[-1][0] == "p" and name in BLOCK:
+        stay -= 1
+    for k in range(stay - 1, -1, -1) if name in _STARTS else ():
+        if stack[k][0] in _ENDS and name in _ENDS[stack[k][0]][0]:
+            stay = k
+        elif stack[k][0] in _STARTS[name]:
+            break
+    return stay
+
+
 _HEADER = frozenset(["header"])
 
 
@@ -84,7 +111,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
     outside is CHROME; a page that does not has OPEN text, except for blocks that are two or more links only.
     An article whose class names a part around it goes only where the page has another; where nothing else is
     marked it is OPEN like the rest.
-    Broken markup is taken as it comes: an end tag closes the innermost element of its name or nothing.
+    Broken markup is taken as it comes: an end tag closes the innermost element of its name or nothing.  List items,
+    terms, cells, rows, options and paragraphs end without an end tag where the next one begins.
     """
     out: list[list] = []
     stack: list[tuple[str, int]] = []
@@ -151,16 +179,16 @@ def blocks(page: str) -> list[tuple[int, str]]:
             flush()
         if name in VOID or token[3].endswith("/>") and name not in BLOCK:
             continue
-        # these need no end tag
-        if stack and (stack[-1][0] == "p" and name in BLOCK or stack[-1][0] == name == "li"):
-            kind = stack.pop()[1]
+        stay = _ended(stack, name)
+        for _, kind in stack[stay:]:
             chrome -= kind == CHROME
             main -= kind == MAIN
             doubt -= kind == _DOUBT
+        del stack[stay:]
         kind = _kind(name, token[3], main > 0)
         if kind != OPEN and name not in BLOCK:
             flush()
-        if kind != OPEN or name in ("div", "section", "header", "span", "ul", "ol", "table", "li"):
+        if kind != OPEN or name in _HELD:
             stack.append((name, kind))
             chrome += kind == CHROME
             main += kind == MAIN

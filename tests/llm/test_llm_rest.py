@@ -184,6 +184,31 @@ def test_class_names_close_no_article(page, want):
     assert "\n".join(t for k, t in htmlblocks.blocks(page) if k != htmlblocks.CHROME) == want
 
 
+@pytest.mark.parametrize("name", [
+    "share-buttons", "related-posts", "ad-container", "comment-list", "user-comments", "social-links", "cookie-message",
+    "wp-block-comments", "disqus_thread", "advert-wrapper", "promo-block", "comment-12 depth", "sidebarWidget", "newsletter_form",
+])
+@pytest.mark.parametrize("attribute", ["class", "id"])
+def test_parts_inside_an_article(name, attribute):
+    name = name if attribute == "class" else name.split(" ")[0]
+    page = f"<article><h1>t</h1><p>a</p><div {attribute}='{name}'><p>no</p><div><ul><li>no</ul></div></div><p>b</p></article><p>out"
+    assert [t for k, t in htmlblocks.blocks(page) if k != htmlblocks.CHROME] == ["t", "a", "b"]
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<h1>T</h1><dl><dt class=social>Social<dd>policy</dl><p>rest", "T policy rest"),
+    ("<dl><dd class=ad>x<dd>y<dt class=ads>z</dl>w", "y w"),
+    ("<table><tr><td class=ad>x<td>y</table>z", "y z"), ("<table><tr><th class=ad><p>x<td>y</table>z", "y z"),
+    ("<table><tr class=ad><td>x<td>x<tr><td>y</table>z", "y z"), ("<table><thead class=ad><tr><td>x<tbody><tr><td>y</table>z", "y z"),
+    ("<table><tr class=ad><td><table><tr><td>x</table>x<tr><td>y</table>z", "y z"),
+    ("<ul><li class=ad>x<ul><li>x</ul>x<li>y</ul>z", "y z"), ("<ul><li class=ad><div>x<li>y</ul>z", "y z"),
+    ("<ul><li class=ad><p class=ad>x<li>y</ul>z", "y z"), ("<ol><li>a<dl><dt>b<dd>c</dl><li>d</ol>", "a b c d"),
+])
+def test_elements_without_end_tags(page, want):
+    for whole in (f"<article>{page}</article>", page):
+        assert " ".join(t for k, t in htmlblocks.blocks(whole) if k != htmlblocks.CHROME) == want
+
+
 def test_windows_of_a_stream():
     r = rng(9)
     tokens, page = r.integers(0, 3, 120), np.sort(r.integers(0, 6, 120))
