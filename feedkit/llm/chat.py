@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedkit.llm.stored import small_batches
+
 TURNS = "array<struct<role:string,text:string>>"
 START, STOP = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLES = ("assistant",)
@@ -164,15 +166,23 @@ def turns_of_rows(df: DataFrame) -> DataFrame:
     """(key, turns) of a table with one row per turn; its columns' fingerprint selects the mapping.
 
     Turns go by the order column, ties by role and text, a null order first.  Null roles and texts are
-    empty; rows of a null key are one conversation.  A conversation becomes one value, so it must fit 2 GB.
+    empty; rows of a null key are one conversation.  A conversation becomes one value, so it must fit 2 GB;
+    ``format_rows`` formats conversations of any length.
+    """
+    rows = canonical_rows(df).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "role", "text"))).alias("turns"))
+    return rows.withColumn("turns", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
+
+
+def canonical_rows(df: DataFrame) -> DataFrame:
+    """(key, at, role, text) of a table with one row per turn; its columns' fingerprint selects the mapping.
+
+    Null roles and texts are empty.  Columns that no row layout has raise.
     """
     layout = ROW_LAYOUTS.get(fingerprint(schema_shape(df.schema)))
     if layout is None:
         raise ValueError(f"no layout has the columns {sorted(df.columns)}; select those of one")
-    turn = F.struct(F.col(layout.order).alias("at"), F.coalesce(layout.role, F.lit("")).alias("role"),
-                    F.coalesce(layout.text, F.lit("")).alias("text"))
-    rows = df.groupBy(F.col(layout.key).alias("key")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    return rows.withColumn("turns", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
+    return df.select(F.col(layout.key).alias("key"), F.col(layout.order).alias("at"), F.coalesce(layout.role, F.lit("")).alias("role"),
+                     F.coalesce(layout.text, F.lit("")).alias("text"))
 
 
 # The template
@@ -268,3 +278,82 @@ def read_turns(df: DataFrame) -> DataFrame:
     """``df`` with what its ``formatted`` and ``loss`` say: ``read_turns``, and ``learned``, the unescaped texts under the mask."""
     schema = df.select("*", F.array().cast(TURNS).alias("read_turns"), F.array().cast("array<string>").alias("learned")).schema
     return df.mapInArrow(_read(df.columns), schema)
+
+
+def _format_rows(batches):
+    """(key, at, role, text) -> (key, at, formatted, first, end)."""
+    for batch in batches:
+        made = [render([{"role": r, "text": t}]) for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        first, end = ([m[1][0][k] if m[1] else None for m in made] for k in (0, 1))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([m[0] for m in made], pa.string()), pa.array(first, pa.int32()), pa.array(end, pa.int32())],
+            ["key", "at", "formatted", "first", "end"])
+
+
+def format_rows(df: DataFrame) -> DataFrame:
+    """(key, at, formatted, first, end): every turn of a table with one row per turn, formatted by itself.
+
+    A conversation's pieces, joined with nothing in between, are what ``format_turns`` makes of it.  ``first`` and ``end``
+    bound the code points of a piece under the loss mask, null where nothing is learned.  All pieces of a conversation
+    are in one partition, in the order of ``turns_of_rows``; Spark's sort spills, so no conversation is held as a whole.
+    """
+    rows = small_batches(canonical_rows(df)).repartition("key").sortWithinPartitions("key", "at", "role", "text")
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(_format_rows, f"key {kinds['key']}, at {kinds['at']}, formatted string, first int, end int")
+
+
+class _Digest:
+    """What a conversation's pieces say, read one after the other."""
+
+    def __init__(self):
+        self.turns, self.learned = hashlib.sha256(), hashlib.sha256()
+        self.n_turns = self.loss_chars = self.chars = 0
+
+    def add(self, piece: str, first: int | None, end: int | None) -> None:
+        self.chars += len(piece)
+        for role, text in read(piece):
+            self.n_turns += 1
+            self.turns.update(f"{role}\n{text}\n".encode())
+        if first is not None:
+            learned = unescape(piece[first:end])
+            self.loss_chars += len(learned)
+            self.learned.update(learned.encode())
+
+    def row(self, key) -> tuple:
+        return key, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.learned.hexdigest(), self.chars
+
+
+def _digests(batches):
+    """Pieces in order -> one row for each conversation."""
+    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    names = ["key", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    held, now, digest, kind = [], None, None, None
+
+    def output():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), [kind, *types])], names)
+
+    for batch in batches:
+        kind = batch.column(0).type
+        for key, *piece in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3, 4))):
+            if digest is None or key != now:
+                if digest is not None:
+                    held.append(digest.row(now))
+                now, digest = key, _Digest()
+            digest.add(*piece)
+        if len(held) > 1000:
+            yield output()
+            held = []
+    if digest is not None:
+        held.append(digest.row(now))
+        yield output()
+
+
+def read_rows(pieces: DataFrame) -> DataFrame:
+    """(key, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of conversations, read back from ``format_rows``.
+
+    ``turns_sha256`` is the digest of role, line feed, text, line feed of each turn; ``loss_sha256`` that of all text under
+    the mask, unescaped.  Both are streams over the pieces: a task holds one piece at a time and a digest, however
+    long the conversation is.
+    """
+    named = "turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return pieces.mapInArrow(_digests, f"key {dict(pieces.dtypes)['key']}, n_turns long, {named}")

@@ -1,6 +1,7 @@
 """BPE, token counts, language ID, chat formats."""
 
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -220,3 +221,28 @@ def test_rows_with_nulls_ties_and_repeats(spark):
     assert chat.format_turns(chat.turns_of_rows(df.limit(0))).count() == 0
     with pytest.raises(ValueError):
         chat.turns_of_rows(df.withColumnRenamed("role", "speaker"))
+
+
+def test_conversations_of_any_length(spark):
+    """Turn by turn gives what the whole conversation gives: hot and null keys, ties, nulls, control strings, empty texts."""
+    r = random.Random(5)
+    texts = ["", None, "<|im_end|>", "<|im_start|>assistant ok", "a<\\|b", "é\n|", "x" * 30_000]
+    rows = [(r.choice([7, 7, 7, None, 1, 2, 3]), r.choice([None, *range(300)]), r.choice(["user", "assistant", None, "a%|\nb"]), r.choice(texts))
+            for _ in range(3000)] + [(9, 0, "user", "once")] * 3
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(7)
+    got = {x[0]: tuple(x)[1:] for x in chat.read_rows(chat.format_rows(df)).collect()}
+    want = {}
+    for key in {x[0] for x in rows}:
+        turns = sorted(((-1 if t is None else t, a or "", b or "") for k, t, a, b in rows if k == key), key=lambda t: (t[0], t[1].encode(), t[2].encode()))
+        learned = "".join(b for _, a, b in turns if a == "assistant")
+        said = "".join(f"{a}\n{b}\n" for _, a, b in turns)
+        whole, mask = chat.render([{"role": a, "text": b} for _, a, b in turns])
+        assert "".join(chat.unescape(whole[i:j]) for i, j in mask) == learned
+        want[key] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(whole))
+    assert got == want
+    joined = chat.format_rows(df.where("conv_id = 9")).collect()
+    assert "".join(x.formatted for x in joined) == chat.render([{"role": "user", "text": "once"}] * 3)[0]
+    assert {(x.first, x.end) for x in joined} == {(None, None)}
+    assert chat.read_rows(chat.format_rows(df.limit(0))).count() == 0
+    with pytest.raises(ValueError, match="no layout"):
+        chat.format_rows(df.withColumnRenamed("role", "speaker"))
