@@ -25,9 +25,12 @@ def test_repair_shuffles_the_text_once(spark, tmp_path):
     repaired = repair.repair_linefeeds(scanned, "\t", 3, chunk_lines=1, in_order=True)
     assert sorted(r["value"] for r in repaired.collect()) == ["1\ta\tb", "2\ta\tb"]
     final = plan(repaired).split("Initial Plan")[0]
-    assert final.count("ReusedExchange") == 1
-    # Notes by file, lines by chunk, parts by record: no other exchange.
-    assert len(re.findall(r"\+- Exchange hashpartitioning", final)) == 3
+    by = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"\+- Exchange hashpartitioning\((.*?), \d+\)", final)]
+    # Lines by chunk, once for both outputs; parts by record.
+    assert by.count("file, block, chunk") == 1 and by.count("file, record_block, record_line") == 1
+    # All others hold notes or states: by stretch of a block, by stretch of a file, by file; the upward ones serve the way down.
+    assert sorted(set(by) - {"file, block, chunk", "file, record_block, record_line"}) == ["file", "file, block, part", "file, part"]
+    assert len(by) == 7 and final.count("ReusedExchange") == 3
 
 
 def test_fields_are_split_once_under_a_filter(spark):
