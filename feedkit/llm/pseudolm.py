@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.llm import words
-from feedkit.llm.stored import small_batches
+from feedkit.llm.stored import Scratch, small_batches
 
 # Frequent words with a symbol of their own, groups of all other words, words on each side, sizes of the layers.
 FREQUENT, GROUPS, SIDE = 224, 32, 2
 EMBED, HIDDEN = 12, 24
+# Words whose counts travel with the tasks; those of all others are met in a join.
+SHIPPED = 1 << 16
 BATCH, RATE, FIRST_SQUARE = 1024, 0.05, 1e-7
 
 
@@ -22,12 +24,22 @@ BATCH, RATE, FIRST_SQUARE = 1024, 0.05, 1e-7
 class Symbols:
     """Frequent words by hash, ascending, then groups of all others.
 
-    ``log_words``: log of the number of words of each symbol; ``log_share``: log of its share of the text.
+    ``log_words``: log of the number of words of each symbol; ``log_share``: log of its share of the text;
+    ``log_used``: log of one more than the occurrences of its words.  ``known`` are the most used words of the groups,
+    ascending, with their log of occurrences ``log_known``; ``counts(word, n)`` has every word of the text and stays a table.
     """
 
     frequent: np.ndarray
     log_words: np.ndarray
     log_share: np.ndarray
+    log_used: np.ndarray
+    known: np.ndarray
+    log_known: np.ndarray
+    counts: DataFrame
+
+    def __getstate__(self):
+        """Tasks get the arrays only."""
+        return {**self.__dict__, "counts": None}
 
     @property
     def size(self) -> int:
@@ -41,6 +53,18 @@ class Symbols:
             out[known] = at[known]
         return out
 
+    def log_within(self, hashes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log p(word | its symbol ``found``) of each word, 0 where only the table ``counts`` tells it; and where that is."""
+        out = np.zeros(len(hashes))
+        rest = np.flatnonzero(found >= len(self.frequent))
+        at = np.searchsorted(self.known, hashes[rest])
+        near = np.minimum(at, max(len(self.known) - 1, 0))
+        met = self.known[near] == hashes[rest] if len(self.known) else np.zeros(len(rest), bool)
+        out[rest[met]] = self.log_known[near[met]] - self.log_used[found[rest[met]]]
+        rare = np.zeros(len(hashes), bool)
+        rare[rest[~met]] = True
+        return out, rare
+
 
 def _text_words(batches):
     for batch in batches:
@@ -52,20 +76,32 @@ def _text_words(batches):
 
 
 def learn_symbols(docs: DataFrame) -> Symbols:
-    """Counts of all words of ``docs(text)``; the driver gets the most frequent and one row per group.  Runs at once."""
+    """Counts of all words of ``docs(text)``; the driver gets the ``SHIPPED`` most frequent and one row per group.  Runs at once.
+
+    The counts of all words are written once; what a word adds to a score is its own count, however rare it is.
+    """
     counts = small_batches(docs).select("text").mapInArrow(_text_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()}
-    frequent = np.sort(np.array(list(top), np.int64).view(np.uint64))
-    group = F.pmod(F.shiftrightunsigned("word", 1), F.lit(GROUPS)).alias("g")
+    counts = Scratch(docs.sparkSession, "vocabulary").write(counts)
+    top = counts.orderBy(F.desc("n"), "word").limit(SHIPPED).toArrow()
+    hashes, often = top["word"].to_numpy().view(np.uint64), top["n"].to_numpy().astype(np.float64)
+    order = np.argsort(hashes[:FREQUENT])
+    frequent, own = hashes[:FREQUENT][order], often[:FREQUENT][order]
+    others = FREQUENT + np.argsort(hashes[FREQUENT:])
+    group = _group().alias("g")
     kinds, used = np.zeros(GROUPS), np.zeros(GROUPS)
     for r in counts.groupBy(group).agg(F.count("*").alias("c"), F.sum("n").alias("n")).collect():
         kinds[r["g"]], used[r["g"]] = r["c"], r["n"]
-    often = np.array([top[int(h)] for h in frequent.view(np.int64)], np.float64)
-    for h, n in zip(frequent, often):
+    for h, n in zip(frequent, own):
         kinds[int(h >> np.uint64(1)) % GROUPS] -= 1
         used[int(h >> np.uint64(1)) % GROUPS] -= n
-    share = np.concatenate([often, np.maximum(used, 0)]) + 1
-    return Symbols(frequent, np.log(np.concatenate([np.ones(len(frequent)), np.maximum(kinds, 1)])), np.log(share / share.sum()))
+    share = np.concatenate([own, np.maximum(used, 0)]) + 1
+    return Symbols(
+        frequent, np.log(np.concatenate([np.ones(len(frequent)), np.maximum(kinds, 1)])), np.log(share / share.sum()),
+        np.log(share), hashes[others], np.log(often[others]), counts)
+
+
+def _group():
+    return F.pmod(F.shiftrightunsigned("word", 1), F.lit(GROUPS))
 
 
 class Network:
@@ -130,11 +166,11 @@ def windows(symbols: np.ndarray, word_at: np.ndarray, edge: int) -> np.ndarray:
 
 
 def _pieces_of_words(symbols: Symbols, column: pa.Array):
-    """(texts low to high, symbols, windows, word offsets) of bounded pieces."""
+    """(texts low to high, symbols, word offsets, hashes of the words) of bounded pieces."""
     data, offsets = words.text_bytes(column)
     for low, high in words.pieces(offsets):
         _, _, hashes, word_at = words.hashed_words(data[offsets[low]: offsets[high]], offsets[low: high + 1] - offsets[low], words.LETTERS)
-        yield low, high, symbols.of(hashes), word_at
+        yield low, high, symbols.of(hashes), word_at, hashes
 
 
 def _train(symbols: Symbols, start: np.ndarray, rate: float):
@@ -143,7 +179,7 @@ def _train(symbols: Symbols, start: np.ndarray, rate: float):
         squares = np.full(len(net.values), FIRST_SQUARE, np.float32)
         seen = 0
         for batch in batches:
-            for _, _, found, word_at in _pieces_of_words(symbols, batch.column(0)):
+            for _, _, found, word_at, _ in _pieces_of_words(symbols, batch.column(0)):
                 around = windows(found, word_at, symbols.size)
                 for low in range(0, len(found), BATCH):
                     net.step(around[low: low + BATCH], found[low: low + BATCH], squares, rate)
@@ -174,20 +210,48 @@ def train(docs: DataFrame, symbols: Symbols, rounds: int = 1, rate: float = RATE
 
 
 def _score(symbols: Symbols, values: np.ndarray, names: list[str]):
+    """Sums of all words but the rare ones, whose number follows; a text without them needs no sum and gets any ``_text``."""
+
     def run(batches):
         net = Network(symbols.size, values)
         for batch in batches:
-            for low, high, found, word_at in _pieces_of_words(symbols, batch.column(names.index("text"))):
+            for low, high, found, word_at, hashes in _pieces_of_words(symbols, batch.column(names.index("text"))):
                 around = windows(found, word_at, symbols.size)
                 each = np.empty(len(found))
                 for a in range(0, len(found), BATCH):
                     each[a: a + BATCH] = net.log_probability(around[a: a + BATCH], found[a: a + BATCH])
-                each -= symbols.log_words[found]
+                within, rare = symbols.log_within(hashes, found)
                 doc = np.repeat(np.arange(high - low), np.diff(word_at))
-                total = np.bincount(doc, weights=each, minlength=high - low)
+                total = np.bincount(doc, weights=each + within, minlength=high - low)
+                n_rare = np.bincount(doc[rare], minlength=high - low)
+                part = batch.slice(low, high - low)
+                at = names.index("_text")
+                text = np.where(n_rare > 0, part.column(at).to_numpy(), np.arange(low, high))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(low, high - low).columns, pa.array(np.diff(word_at), pa.int64()), pa.array(total, pa.float64())],
-                    [*names, "n_words", "log_likelihood"])
+                    [*part.columns[:at], pa.array(text, pa.int64()), *part.columns[at + 1:],
+                     pa.array(np.diff(word_at), pa.int64()), pa.array(total, pa.float64()), pa.array(n_rare, pa.int64())],
+                    [*names, "n_words", "log_likelihood", "_rare"])
+
+    return run
+
+
+def _rare_words(symbols: Symbols):
+    """Each text's words that are not ``known``, and how often they come."""
+
+    def run(batches):
+        for batch in batches:
+            for low, high, found, word_at, hashes in _pieces_of_words(symbols, batch.column(2)):
+                _, rare = symbols.log_within(hashes, found)
+                doc, word = np.repeat(np.arange(high - low), np.diff(word_at))[rare], hashes[rare]
+                order = np.lexsort((word, doc))
+                doc, word = doc[order], word[order]
+                new = np.ones(len(word), bool)
+                new[1:] = (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])
+                first = np.flatnonzero(new)
+                count = np.diff(np.append(first, len(word)))
+                key = batch.slice(low, high - low).select([0, 1]).take(pa.array(doc[first]))
+                yield pa.RecordBatch.from_arrays([*key.columns, pa.array(word[first].view(np.int64)), pa.array(count, pa.int64())],
+                                                 ["_text", "_check", "word", "times"])
 
     return run
 
@@ -195,11 +259,23 @@ def _score(symbols: Symbols, values: np.ndarray, names: list[str]):
 def score(docs: DataFrame, symbols: Symbols, net: Network) -> DataFrame:
     """``docs`` with ``n_words`` and ``log_likelihood``, the sum over all words of log p(word | both sides).
 
-    A word's probability is that of its symbol, shared evenly by the words of the symbol.  Null and wordless texts
-    have 0 words and the sum 0.
+    A word's probability is that of its symbol times the word's share of the symbol's occurrences in the text learned from;
+    a word that did not occur there counts as one more occurrence.  Null and wordless texts have 0 words and the sum 0.
+
+    Shares of the ``SHIPPED`` most used words are looked up in the tasks.  All others meet the table of counts in a join, in
+    which none of them is frequent, and their sums meet the texts by two 64-bit hashes of the text; a text that
+    comes more than once has the mean of its copies, which are equal.
     """
-    taken = {"n_words", "log_likelihood"} & set(docs.columns)
+    taken = {"n_words", "log_likelihood", "_text", "_check", "_rare"} & set(docs.columns)
     if taken:
         raise ValueError(f"columns {sorted(taken)} are taken")
-    schema = docs.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(0.0).alias("log_likelihood")).schema
-    return small_batches(docs).mapInArrow(_score(symbols, net.values, docs.columns), schema)
+    marked = docs.withColumns({"_text": F.xxhash64("text"), "_check": F.xxhash64(F.lit(1), "text")})
+    schema = marked.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(0.0).alias("log_likelihood"), F.lit(0).cast("long").alias("_rare")).schema
+    scored = small_batches(marked).mapInArrow(_score(symbols, net.values, marked.columns), schema)
+    rare = marked.select("_text", "_check", "text").mapInArrow(_rare_words(symbols), "_text long, _check long, word long, times long")
+    used = F.array(*[F.lit(float(v)) for v in symbols.log_used[-GROUPS:]])
+    within = F.ln(F.coalesce("n", F.lit(1)).cast("double")) - F.get(used, _group().cast("int"))
+    sums = rare.join(symbols.counts, "word", "left").groupBy("_text", "_check").agg(
+        (F.sum(F.col("times") * within) / F.sum("times")).alias("_mean"))
+    total = F.col("log_likelihood") + F.when(F.col("_rare") > 0, F.col("_rare") * F.col("_mean")).otherwise(0.0)
+    return scored.join(sums, ["_text", "_check"], "left").select(*docs.columns, "n_words", total.alias("log_likelihood"))

@@ -267,6 +267,43 @@ def test_scores_follow_the_language(spark):
     assert pseudolm.score(odd, empty, pseudolm.train(nothing, empty)).count() == 10
 
 
+@pytest.mark.parametrize("shipped", [230, 1 << 16])
+def test_every_word_has_its_own_count(spark, monkeypatch, shipped):
+    monkeypatch.setattr(pseudolm, "SHIPPED", shipped)
+    r = rng(12)
+    texts = [" ".join(f"w{n}" for n in r.zipf(1.3, 60) % 700) for _ in range(90)]
+    texts += [None, "", "?!", "\u00fc w1 seldom seldom", "seldom w3 w699", "W650 Seldom once"] + [texts[0]] * 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    symbols = pseudolm.learn_symbols(docs)
+    net = pseudolm.Network(symbols.size, bias=symbols.log_share)
+    net.values[:] = r.normal(0, 0.3, len(net.values))
+    counts = {}
+    for text in texts:
+        for w in letters(text):
+            counts[w] = counts.get(w, 0) + 1
+    assert len(counts) > 300 and {r.n for r in symbols.counts.collect()} == set(counts.values())
+
+    def symbol(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return int(symbols.of(pseudolm.words.hashed_words(data, np.array([0, len(data)]), pseudolm.words.LETTERS)[2])[0])
+
+    used = {}
+    for w, n in counts.items():
+        used[symbol(w)] = used.get(symbol(w), 0) + n
+    others = ["never met w1 w2", "seldom never seldom seldom", None, texts[5]]
+    rows = list(enumerate(texts + others + [texts[0], texts[0]])) + [(0, texts[0])]
+    got = pseudolm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), symbols, net).collect()
+    assert sorted((r.doc_id, r.text or "") for r in got) == sorted((i, t or "") for i, t in rows)
+    for row in got:
+        found = letters(row.text)
+        own = np.array([symbol(w) for w in found], np.int64)
+        want = 0.0
+        if found:
+            want = net.log_probability(pseudolm.windows(own, np.array([0, len(own)]), symbols.size), own).astype(float).sum()
+        want += sum(np.log(counts.get(w, 1) / (used[s] + 1)) for w, s in zip(found, own) if s >= pseudolm.FREQUENT)
+        assert row.n_words == len(found) and abs(row.log_likelihood - want) < 1e-3
+
+
 # pipeline
 
 
