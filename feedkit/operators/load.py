@@ -20,6 +20,9 @@ LINE_KEY = ["file", "block", "line_no"]
 # Digits of a line's place as one number: up to a million files of 8 TB each in one load.
 FILE_BITS, BLOCK_BITS, LINE_BITS = 20, 43, 63
 PLACE = "decimal(38,0)"
+# Names of files that are broadcast; lines and slices of a table that is dealt out before it is aggregated.
+FEW_FILES = 1 << 16
+SLICE_LINES, SLICES = 1 << 16, 200
 # Copies of one row that are written out at a time.
 COPIES = 4096
 
@@ -117,30 +120,44 @@ def meet_first(rows: DataFrame, firsts: DataFrame, keys: Sequence[str], flag: st
     return met.select(*rows.columns, (F.coalesce("_first", "_id") == F.col("_id")).alias(flag))
 
 
-def in_place(staged: DataFrame, keep: Callable[[DataFrame], DataFrame] = materialize) -> DataFrame:
-    """Lines with ``_id``, a number that grows with ``LINE_KEY``.  Runs at once over the files' names and extents.
+def dealt(rows: DataFrame, n: int) -> DataFrame:
+    """About ``n`` rows with ``_id`` in even slices, whatever the splits of the input.
+
+    An aggregate whose keys hardly repeat holds all rows of its task, and a split grows with the files.
+    """
+    return rows.repartition(max(1, min(SLICES, -(-n // SLICE_LINES))), "_id")
+
+
+def in_place(staged: DataFrame, keep: Callable[[DataFrame], DataFrame] = materialize) -> tuple[DataFrame, int]:
+    """Lines with ``_id``, a number that grows with ``LINE_KEY``, and how many there are.  Runs at once over the files' names and extents.
 
     The number packs the rank of the file, the block and the line number into one decimal, whose minimum a hash
-    aggregate combines before the shuffle; no line is sorted or written.  Only names of files are ranked.  More files or
-    larger ones than the digits hold are numbered through a written table in order (``keep``).
+    aggregate combines before the shuffle; no line is sorted or written.  Only names of files are ranked, and they travel
+    to the lines, since one file may hold most of them; beyond ``FEW_FILES`` names, lines meet them in a join that spreads each file's
+    lines.  More files or larger ones than the digits hold are numbered through a written table in order (``keep``).
     """
     extents = staged.groupBy("file").agg(
         F.min("block").alias("_low"), F.max("block").alias("_high"), F.min("line_no").alias("_line"), F.count("line_no").alias("_n"),
         F.count("block").alias("_m"), F.count("*").alias("_all"))
     ranked = with_rank(extents, [("file", "asc")], "_rank")
-    ends = ranked.agg(F.count("*").alias("files"), F.min("_low").alias("low"), F.max("_high").alias("high"), F.min("_line").alias("line"),
+    ends = ranked.agg(F.count("*").alias("files"), F.sum("_all").alias("lines"), F.min("_low").alias("low"), F.max("_high").alias("high"), F.min("_line").alias("line"),
                       F.bool_and(F.col("_n") + F.col("_m") == 2 * F.col("_all")).alias("whole")).first()
     if ends["files"] == 0:
-        return staged.withColumn("_id", F.lit(0).cast(PLACE))
+        return staged.withColumn("_id", F.lit(0).cast(PLACE)), 0
     fits = ends["whole"] and ends["files"] < 1 << FILE_BITS and 0 <= ends["low"] and ends["high"] < 1 << BLOCK_BITS and ends["line"] >= 0
     if not fits:
-        return numbered(staged, LINE_KEY, keep)
-    ranks = ranked.select(F.col("file").alias("_of"), "_rank")
+        return numbered(staged, LINE_KEY, keep), ends["lines"]
+    of = F.coalesce(F.concat(F.lit("="), "file"), F.lit("")).alias("_of")
+    named, ranks = staged.select("*", of), ranked.select(of, "_rank")
+    if ends["files"] <= FEW_FILES:
+        met = named.join(F.broadcast(ranks), "_of")
+    else:
+        met = key_joins.join_small(named, ranks, ["_of"], "line_no")
     place = (
         F.col("_rank").cast(PLACE) * F.lit(Decimal(1 << (BLOCK_BITS + LINE_BITS))).cast(PLACE)
         + F.col("block").cast(PLACE) * F.lit(Decimal(1 << LINE_BITS)).cast(PLACE) + F.col("line_no").cast(PLACE)
     )
-    return staged.join(ranks, F.col("file").eqNullSafe(F.col("_of"))).select(*staged.columns, place.cast(PLACE).alias("_id"))
+    return met.select(*staged.columns, place.cast(PLACE).alias("_id")), ends["lines"]
 
 
 def unique_violations(staged: DataFrame, keys: Sequence[str],
@@ -158,12 +175,14 @@ def mark_first(staged: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     the shuffle.  Equal rows are counted, not compared.  Rows with maps, which have no order, go through a written table.
     """
     if list(order) == LINE_KEY:
-        rows = in_place(staged)
+        rows, n = in_place(staged)
+        firsts = first_ids(dealt(rows, n), keys)
     elif any(isinstance(f.dataType, T.MapType) for f in staged.schema):
         rows = numbered(staged, order)
+        firsts = first_ids(rows, keys)
     else:
         return _mark_counted(staged, keys, order)
-    return meet_first(rows, first_ids(rows, keys), keys, "_is_first").select(
+    return meet_first(rows, firsts, keys, "_is_first").select(
         *staged.columns, F.col("_is_first").alias("_first"))
 
 

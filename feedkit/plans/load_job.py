@@ -31,13 +31,17 @@ def tag_rows(lines: DataFrame, spec: LoadSpec) -> DataFrame:
 
     A row equal to an earlier one is a duplicate; another row with a key that is taken violates uniqueness.  One hash
     aggregate by key and content (two 64-bit hashes) finds firsts and copies; rows meet only the groups that come again.
-    Lines are neither sorted nor written, and are parsed twice: for the groups and for the rows.
+    Lines are neither sorted nor written, and are parsed twice: for the groups, dealt out evenly, and for the rows.
     """
     order = load.LINE_KEY
     names, key = spec.schema.fieldNames(), list(spec.keys)
-    rows = load.typed_lines(load.in_place(lines), text.delimiter_of(spec.delimiter), spec.schema)
-    rows = rows.withColumns({"_hash": F.xxhash64(*names), "_more": F.xxhash64(F.lit(1), *names)})
-    groups = rows.where("reason IS NULL").groupBy(*key, "_hash", "_more").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    placed, n = load.in_place(lines)
+    rows, slices = [
+        load.typed_lines(part, text.delimiter_of(spec.delimiter), spec.schema)
+        .withColumns({"_hash": F.xxhash64(*names), "_more": F.xxhash64(F.lit(1), *names)})
+        for part in (placed, load.dealt(placed, n))
+    ]
+    groups = slices.where("reason IS NULL").groupBy(*key, "_hash", "_more").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
     again = groups.groupBy(*key).agg(F.min("_first").alias("_first"), F.sum("_n").alias("_n")).where("_n > 1")
     met = _meet(rows, again, key, "_key_first")
     met = _meet(met, groups.where("_n > 1"), [*key, "_hash", "_more"], "_row_first")

@@ -80,3 +80,33 @@ def test_loads_sort_no_lines(spark):
     lines = spark.createDataFrame([("f", 0, k, f"{k % 7},{k % 3}") for k in range(100)], "file string, block long, line_no long, value string")
     tagged = tag_rows(lines, LoadSpec(schema, ["id"], ","))
     assert unsorted(tagged) and {r["kind"]: r["count"] for r in tagged.groupBy("kind").count().collect()} == {"good": 7, "uv": 14, "duplicate": 79}
+
+
+@pytest.mark.parametrize("few", [load.FEW_FILES, 0])
+def test_lines_of_one_file_stay_spread(spark, conf, monkeypatch, few):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false")
+    monkeypatch.setattr(load, "FEW_FILES", few)
+    places = [("f", 0, k) for k in range(400)] + [(None, 1, 3), ("", 2, 2), ("a", 0, 9), ("=", 0, 1)]
+    lines = spark.createDataFrame(places, "file string, block long, line_no long").repartition(4)
+    rows, n = load.in_place(lines)
+    assert n == len(places) and rows.columns == [*lines.columns, "_id"]
+    tasks = [r["count"] for r in rows.where("file = 'f'").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) >= 4 and max(tasks) < 300
+    got = [tuple(r)[:3] for r in sorted(rows.collect(), key=lambda r: r["_id"])]
+    assert got == sorted(places, key=lambda p: (p[0] is not None, p[0] or "", *p[1:]))
+
+
+def test_groups_are_found_in_even_slices(spark, monkeypatch):
+    monkeypatch.setattr(load, "SLICE_LINES", 10)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    lines = spark.createDataFrame([("f", 0, k, f"{k % 70},{k % 3}") for k in range(100)], "file string, block long, line_no long, value string")
+    lines = lines.coalesce(1)
+    rows, n = load.in_place(lines)
+    tasks = [r["count"] for r in load.dealt(rows, n).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) >= 8 and max(tasks) < 30
+    tagged = tag_rows(lines, LoadSpec(schema, ["id"], ","))
+    assert "REPARTITION_BY_NUM" in plan(tagged)
+    assert "REPARTITION_BY_NUM" in plan(load.mark_first(rows.drop("_id"), ["block"], load.LINE_KEY))
+    assert {r["kind"]: r["count"] for r in tagged.groupBy("kind").count().collect()} == {"good": 70, "uv": 30}
+    monkeypatch.setattr(load, "SLICES", 3)
+    assert load.dealt(rows, n).rdd.getNumPartitions() == 3
