@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,23 @@ SHIPPED = 1 << 16
 BATCH, RATE, FIRST_SQUARE = 1024, 0.05, 1e-7
 
 
+class Places:
+    """Places of words among ascending hashes: by leading bits, then step by step through the few hashes that share them."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = max(4, len(hashes).bit_length() + 1)
+        self.hashes, self.shift = np.append(hashes, ~np.uint64(0)), np.uint64(64 - bits)
+        bounds = np.searchsorted(hashes >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64))
+        self.first, self.most = bounds[:-1], int(np.diff(bounds).max())
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether the word is there) of each word."""
+        at = self.first[words >> self.shift]
+        for _ in range(self.most - 1):
+            at += self.hashes[at] < words
+        return at, (self.hashes[at] == words) & (at < len(self.hashes) - 1)
+
+
 @dataclass
 class Symbols:
     """Frequent words by hash, ascending, then groups of all others.
@@ -45,22 +63,25 @@ class Symbols:
     def size(self) -> int:
         return len(self.log_words)
 
+    @cached_property
+    def _frequent_places(self) -> Places:
+        return Places(self.frequent)
+
+    @cached_property
+    def _known_places(self) -> Places:
+        return Places(self.known)
+
     def of(self, hashes: np.ndarray) -> np.ndarray:
         out = (self.size - GROUPS + (hashes >> np.uint64(1)) % np.uint64(GROUPS).astype(np.uint64)).astype(np.int64)
-        if len(self.frequent) and len(hashes):
-            at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
-            known = self.frequent[at] == hashes
-            out[known] = at[known]
-        return out
+        at, met = self._frequent_places.find(hashes)
+        return np.where(met, at, out)
 
     def log_within(self, hashes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log p(word | its symbol ``found``) of each word, 0 where only the table ``counts`` tells it; and where that is."""
         out = np.zeros(len(hashes))
         rest = np.flatnonzero(found >= len(self.frequent))
-        at = np.searchsorted(self.known, hashes[rest])
-        near = np.minimum(at, max(len(self.known) - 1, 0))
-        met = self.known[near] == hashes[rest] if len(self.known) else np.zeros(len(rest), bool)
-        out[rest[met]] = self.log_known[near[met]] - self.log_used[found[rest[met]]]
+        at, met = self._known_places.find(hashes[rest])
+        out[rest[met]] = self.log_known[at[met]] - self.log_used[found[rest[met]]]
         rare = np.zeros(len(hashes), bool)
         rare[rest[~met]] = True
         return out, rare
@@ -119,33 +140,49 @@ class Network:
         at = np.concatenate([[0], np.cumsum(sizes)])
         self.parts = [self.values[a:b].reshape(s) for a, b, s in zip(at[:-1], at[1:], shapes)]
         self.bounds, self.shapes = at, shapes
+        self.cells = np.arange(sizes[0]).reshape(shapes[0])
+        self.rows, self.room = 0, []
+
+    def _room(self, rows: int) -> list[np.ndarray]:
+        """Arrays to work in: hidden layer, all symbols, hidden errors, slopes, input errors.  Kept, so that no step asks for new memory."""
+        if self.rows < rows:
+            widths = (HIDDEN, self.symbols, HIDDEN, HIDDEN, 2 * SIDE * EMBED)
+            self.rows, self.room = rows, [np.empty((rows, w), np.float32) for w in widths]
+        return [r[:rows] for r in self.room]
 
     def _forward(self, around: np.ndarray):
         embed, w1, b1, w2, b2 = self.parts
-        x = embed[around].reshape(len(around), -1)
-        h = np.tanh(x @ w1 + b1)
-        z = h @ w2 + b2
+        x = embed.take(around, axis=0).reshape(len(around), -1)
+        h, z, _, _, _ = self._room(len(around))
+        np.matmul(x, w1, out=h)
+        h += b1
+        np.tanh(h, out=h)
+        np.matmul(h, w2, out=z)
+        z += b2
         z -= z.max(axis=1, keepdims=True)
         return x, h, z
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log p(target | words around) of each row."""
         _, _, z = self._forward(around)
-        chosen = z[np.arange(len(target)), target].copy()
+        chosen = z[np.arange(len(target)), target]
         return chosen - np.log(np.exp(z, out=z).sum(axis=1))
 
     def step(self, around: np.ndarray, target: np.ndarray, squares: np.ndarray, rate: float) -> None:
         """One descent step with Adagrad's scales."""
-        embed, w1, b1, w2, b2 = self.parts
+        embed, w1, _, w2, _ = self.parts
         x, h, z = self._forward(around)
+        _, _, dh, slope, dx = self._room(len(around))
         p = np.exp(z, out=z)
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(target)), target] -= 1
         p /= len(target)
-        dh = (p @ w2.T) * (1 - h * h)
-        dx = dh @ w1.T
+        np.matmul(p, w2.T, out=dh)
+        np.subtract(1, np.multiply(h, h, out=slope), out=slope)
+        dh *= slope
+        np.matmul(dh, w1.T, out=dx)
         d_embed = np.zeros(embed.size, np.float32)
-        np.add.at(d_embed, (around[:, :, None] * EMBED + np.arange(EMBED)).ravel(), dx.ravel())
+        np.add.at(d_embed, self.cells.take(around, axis=0).ravel(), dx.ravel())
         gradient = np.concatenate([d_embed, (x.T @ dh).ravel(), dh.sum(axis=0), (h.T @ p).ravel(), p.sum(axis=0)])
         squares += gradient * gradient
         self.values -= rate * gradient / (np.sqrt(squares) + 1e-6)
@@ -154,14 +191,14 @@ class Network:
 def windows(symbols: np.ndarray, word_at: np.ndarray, edge: int) -> np.ndarray:
     """The symbols on both sides of each word; ``edge`` stands beyond the ends of a text."""
     n = len(symbols)
-    doc = np.repeat(np.arange(len(word_at) - 1), np.diff(word_at))
-    first, end = word_at[doc], word_at[doc + 1]
     out = np.empty((n, 2 * SIDE), np.int64)
-    place = np.arange(n)
-    for column, shift in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
-        at = place + shift
-        inside = (at >= first) & (at < end)
-        out[:, column] = np.where(inside, symbols[np.where(inside, at, 0)], edge) if n else edge
+    for k in range(1, SIDE + 1):
+        before, after = out[:, SIDE - k], out[:, SIDE + k - 1]
+        before[k:], after[:-k] = symbols[:-k], symbols[k:]
+        first = (word_at[:, None] + np.arange(k)).ravel()
+        before[first[first < n]] = edge
+        last = (word_at[:, None] - np.arange(1, k + 1)).ravel()
+        after[last[last >= 0]] = edge
     return out
 
 

@@ -13,8 +13,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that one piece holds (a single longer text excepted), and that one hashing window holds.
+# A window's 64-bit sums and powers should stay in a core's cache.
 PIECE_BYTES = 1 << 20
-WINDOW_BYTES = 1 << 20
+WINDOW_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -53,7 +54,8 @@ def _solid() -> np.ndarray:
 
 
 LETTERS, SOLID = _letters(), _solid()
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
+# Values of the bytes once A to Z are lower-cased.
+_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)[_fold(np.arange(256, dtype=np.uint8))]
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -98,15 +100,14 @@ def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     if not len(data):
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty
-    mask = inside[data]
+    mask = np.frombuffer(data.tobytes().translate(inside.tobytes()), dtype=bool)
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
-    before = np.empty_like(mask)
-    before[0], before[1:] = False, mask[:-1]
-    starts = np.flatnonzero(mask & (~before | cut[:-1]))
-    after = np.empty_like(mask)
-    after[-1], after[:-1] = False, mask[1:]
-    ends = np.flatnonzero(mask & (~after | cut[1:])) + 1
+    edge = (mask[1:] != mask[:-1]) | cut[1:-1]
+    first, last = mask.copy(), mask.copy()
+    first[1:] &= edge
+    last[:-1] &= edge
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     return starts, ends
 
 
@@ -117,10 +118,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     while low < n:
         first = int(starts[low])
         high = max(low + 1, int(np.searchsorted(ends, first + WINDOW_BYTES, side="right")))
-        window = _fold(data[first: int(ends[high - 1])])
+        window = data[first: int(ends[high - 1])]
         up, down = _power_tables(len(window) + 1)
         sums = np.zeros(len(window) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUE[window] * up[: len(window)], out=sums[1:])
+        np.take(_BYTE_VALUE, window, out=sums[1:], mode="clip")
+        sums[1:] *= up[: len(window)]
+        np.cumsum(sums, out=sums)
         a, b = starts[low:high] - first, ends[low:high] - first
         out[low:high] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * _GOLDEN)
         low = high

@@ -2,6 +2,7 @@
 
 import html
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -245,6 +246,65 @@ def test_windows_stop_at_text_ends():
     assert got.tolist() == [[9, 9, 6, 7], [9, 5, 7, 9], [5, 6, 9, 9], [9, 9, 9, 9]]
 
 
+def test_windows_are_those_of_every_word():
+    r = rng(13)
+    for _ in range(40):
+        sizes = r.integers(0, 6, int(r.integers(0, 9)))
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        own = r.integers(0, 50, at[-1])
+        want = [[own[p + k] if low <= p + k < high else 99 for k in (-2, -1, 1, 2)]
+                for low, high in zip(at[:-1], at[1:]) for p in range(low, high)]
+        assert pseudolm.windows(own, at, 99).tolist() == want
+
+
+def test_places_of_hashes():
+    r = rng(14)
+    top = np.uint64(2**64 - 1)
+    near = np.uint64(7 << 60) + np.arange(0, 60, 2, dtype=np.uint64)
+    for some in ([], [0], [5, top], near, np.unique(np.append(r.integers(0, 2**64, 3000, np.uint64), near))):
+        some = np.array(some, np.uint64)
+        asked = np.concatenate([some, near, near + np.uint64(1), r.integers(0, 2**64, 500, np.uint64), np.array([0, top], np.uint64)])
+        at, met = pseudolm.Places(some).find(asked)
+        assert met.tolist() == np.isin(asked, some).tolist() and (some[at[met]] == asked[met]).all()
+
+
+def peak_of(call):
+    call()
+    tracemalloc.start()
+    call()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak
+
+
+def test_batches_share_their_work_arrays():
+    r = rng(15)
+    net = pseudolm.Network(256)
+    net.values[:] = r.normal(0, 0.3, len(net.values))
+    around, target = r.integers(0, 257, (pseudolm.BATCH, 4)), r.integers(0, 256, pseudolm.BATCH)
+    embed, w1, b1, w2, b2 = net.parts
+    z = np.tanh(embed[around].reshape(len(around), -1) @ w1 + b1) @ w2 + b2
+    z = z.astype(float)
+    want = z[np.arange(len(z)), target] - np.log(np.exp(z).sum(axis=1))
+    for n in (5, pseudolm.BATCH, 3, 700):
+        assert np.allclose(net.log_probability(around[:n], target[:n]), want[:n], atol=1e-4)
+    # no array of all symbols by all rows of a batch is asked for again
+    squares = np.full(len(net.values), 1e-7, np.float32)
+    assert peak_of(lambda: net.log_probability(around, target)) < 4 * 256 * pseudolm.BATCH
+    assert peak_of(lambda: net.step(around, target, squares, 0.02)) < 4 * 256 * pseudolm.BATCH
+
+
+def test_words_are_hashed_in_small_windows():
+    r = rng(16)
+    data = np.frombuffer(b" ".join(b"Word%d" % n for n in r.integers(0, 10**6, 90000)), np.uint8)
+    got = pseudolm.words.hashed_words(data, np.array([0, len(data)]), pseudolm.words.LETTERS)[2]
+    for k in (0, 1, 44444, 89999):
+        word = np.frombuffer(data.tobytes().split(b" ")[k].lower(), np.uint8)
+        assert pseudolm.words.hashed_words(word, np.array([0, len(word)]), pseudolm.words.LETTERS)[2].tolist() == [got[k]]
+    peak = peak_of(lambda: pseudolm.words.hashed_words(data, np.array([0, len(data)]), pseudolm.words.LETTERS))
+    assert len(data) > 900_000 and peak < 12 * len(data)
+
+
 def test_scores_follow_the_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     odd = spark.createDataFrame(odd_documents(), DOCS).select("doc_id", "text")
